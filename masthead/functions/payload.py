@@ -8,9 +8,12 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SNIPPET_CHARS = 1500  # fixed value: what a prompt sees of an article
 
+_UNPACKED = T.StructType().add("content", T.StringType()).add("corrupt", T.BooleanType())
+
 
 def _unpack(packed: bytes | None) -> tuple[str, bool]:
     if not packed:
@@ -21,14 +24,14 @@ def _unpack(packed: bytes | None) -> tuple[str, bool]:
         return "", True
 
 
-@F.pandas_udf("struct<content:string,corrupt:boolean>")
+@F.pandas_udf(_UNPACKED)
 def inflate(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     """zlib bytes to text. NULL and empty bytes are empty text; unreadable bytes are too, and marked corrupt."""
     for packed in batches:
         yield pd.DataFrame(map(_unpack, packed), columns=["content", "corrupt"], index=packed.index)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def deflate(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Text to zlib bytes, the inverse of :func:`inflate`."""
     for text in batches:
