@@ -63,23 +63,25 @@ def capped_count(words: Column) -> Column:
     return F.when(F.size(words) > LONG_SENTENCE, KEPT_WORDS).otherwise(F.size(words))
 
 
-def _weak(word: Column, position: int) -> Column:
-    low = F.lower(word)
-    weak = F.btrim(low, F.lit(".,;:\"'")).isin(TAIL_WORDS)
-    return weak | low.endswith("ing") if position > GERUND_AFTER else weak
+def _solid(word: str, position: int) -> str:
+    bare = f"find_in_set(btrim(lower({word}), :marks), :tails) = 0"
+    return f"{bare} and not endswith(lower({word}), 'ing')" if position > GERUND_AFTER else bare
 
 
-def kept_words(words: Column, count: Column) -> Column:
-    """How many of the first ``count`` words stay: up to the last one a headline may end on, 0 if none.
+def kept_words(words: str, count: str) -> Column:
+    """How many of the first ``count`` words (both column names) stay: up to the last one a headline may end
+    on, 0 if none.
 
     A word is dropped only if all behind it are, so its own position is the length it is judged at. At most
     14 positions exist; they are tried from the back, and the first hit ends the search.
     """
-    solid = [
-        F.when((count >= p) & ~_weak(F.get(words, F.lit(p - 1)), p), p)
+    tried = [
+        f"case when {count} >= {p} and {_solid(f'get({words}, {p - 1})', p)} then {p} end"
         for p in range(LONG_SENTENCE, 0, -1)
     ]
-    return F.coalesce(*solid, F.lit(0))
+    search = f"coalesce({', '.join(tried)}, 0)"
+    tails = ",".join(TAIL_WORDS)
+    return F.expr(search.replace(":marks", "'.,;:\"\\''").replace(":tails", f"'{tails}'"))
 
 
 def trim_tail(words: Column, kept: Column) -> Column:
@@ -94,7 +96,7 @@ def with_lead_headline(df: DataFrame, content: str, into: str) -> DataFrame:
         df.withColumn("_sentence", drop_date_lead(first_sentence(F.col(content))))
         .withColumn("_words", sentence_words(F.col("_sentence")))
         .withColumn("_count", capped_count(F.col("_words")))
-        .withColumn("_kept", kept_words(F.col("_words"), F.col("_count")))
+        .withColumn("_kept", kept_words("_words", "_count"))
         .withColumn("_lead", trim_tail(F.col("_words"), F.col("_kept")))
     )
     return with_clean_headline(steps, "_lead", into).drop(

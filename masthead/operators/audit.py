@@ -19,7 +19,8 @@ from masthead.operators.decisions import (
     decide,
     refusal,
     union_all,
-    with_prompt_inputs,
+    with_lead,
+    with_snippet,
 )
 from masthead.operators.inference import REPAIR_CALL, ModelRunner
 from masthead.sources.staging import Staging
@@ -44,91 +45,73 @@ def audit_headlines(
     The critic sees the published headline as it is, and a repaired one after cleaning.
     """
     proposed = F.col("proposed")
-    published = with_prompt_inputs(candidates.withColumnRenamed("rephrased_title", "proposed"))
+    published = with_snippet(
+        candidates.select("id", F.col("rephrased_title").alias("proposed"), "rephrased_article")
+    )
     judged = staging.save(
-        model.critique(published, templates.critic, proposed, "critic").select(
-            "id", "proposed", "snippet", "lead", "critic"
-        ),
-        "critic",
+        with_lead(model.critique(published, templates.critic, proposed, "critic")), "critic"
     )
     critic = F.col("critic")
-    no_answer = critic["error"].isNotNull()
+    failed = critic["error"].isNotNull()
+    approved = ~failed & critic["approved"]
+    refused = ~failed & ~critic["approved"]
 
-    refused = (
-        judged.filter(~no_answer & ~critic["approved"])
+    wrong = (
+        judged.filter(refused)
         .withColumn("first", attempt("published", proposed, refusal(critic)))
         .drop("critic")
     )
     prompt = render(templates.safe, body_snippet=F.col("snippet"))
-    repaired = model.generate(refused, prompt, REPAIR_CALL, "safe").withColumn("_text", F.col("safe")["text"])
+    repaired = model.generate(wrong, prompt, REPAIR_CALL, "safe").withColumn("_text", F.col("safe")["text"])
     repaired = staging.save(
         with_clean_headline(repaired, "_text", "fixed")
         .withColumn("doubt", repair_reason(F.col("fixed"), proposed))
         .drop("_text"),
         "repair",
     )
-    safe, fixed, doubt, first = F.col("safe"), F.col("fixed"), F.col("doubt"), F.col("first")
-    repair_failed = safe["error"].isNotNull()
+    safe, fixed, first = F.col("safe"), F.col("fixed"), F.col("first")
+    doubt = F.when(safe["error"].isNull(), F.col("doubt"))
+    worthwhile = safe["error"].isNull() & F.col("doubt").isNull()
 
     rejudged = staging.save(
-        model.critique(
-            repaired.filter(~repair_failed & doubt.isNull()), templates.critic, fixed, "critic"
-        ).select("id", "lead", "fixed", "first", "critic"),
+        model.critique(repaired.filter(worthwhile), templates.critic, fixed, "critic").select(
+            "id", "lead", "fixed", "first", "critic"
+        ),
         "repair_critic",
     )
 
-    error = F.lit("error")
-    fallback = F.lit("fallback")
-    lead = F.col("lead")
+    # What leaves the funnel at each stage.
+    lead, error = F.col("lead"), F.lit("error")
+    rejected = refusal(critic)
     return union_all(
         [
-            decide(judged.filter(no_answer), error, stage="critic", error=critic["error"]),
             decide(
-                judged.filter(~no_answer & critic["approved"]),
-                F.lit("validated"),
-                proposed,
-                1,
+                judged.filter(~refused),
+                outcome=F.when(failed, error).otherwise("validated"),
+                headline=F.when(approved, proposed),
+                verified=F.when(approved, 1),
                 stage="critic",
+                error=critic["error"],
             ),
             decide(
-                repaired.filter(repair_failed),
-                error,
-                stage="repair",
-                error=safe["error"],
-                tried=attempts(first),
-            ),
-            decide(
-                repaired.filter(~repair_failed & doubt.isNotNull()),
-                fallback,
-                lead,
-                1,
+                repaired.filter(~worthwhile),
+                outcome=F.when(safe["error"].isNotNull(), error).otherwise("fallback"),
+                headline=F.when(safe["error"].isNull(), lead),
+                verified=F.when(safe["error"].isNull(), 1),
                 stage="repair",
                 reason=doubt,
+                error=safe["error"],
                 tried=attempts(first, attempt("repair", fixed, doubt)),
             ),
             decide(
-                rejudged.filter(no_answer),
-                error,
+                rejudged,
+                outcome=F.when(failed, error).when(refused, "fallback").otherwise("fixed"),
+                headline=F.when(approved, fixed).when(refused, lead),
+                verified=F.when(~failed, 1),
                 stage="repair_critic",
+                reason=rejected,
                 error=critic["error"],
-                tried=attempts(first),
-            ),
-            decide(
-                rejudged.filter(~no_answer & critic["approved"]),
-                F.lit("fixed"),
-                fixed,
-                1,
-                stage="repair_critic",
-                tried=attempts(first),
-            ),
-            decide(
-                rejudged.filter(~no_answer & ~critic["approved"]),
-                fallback,
-                lead,
-                1,
-                stage="repair_critic",
-                reason=refusal(critic),
-                tried=attempts(first, attempt("repair", fixed, refusal(critic))),
+                tried=attempts(first, attempt("repair", fixed, rejected)),
             ),
         ]
     )

@@ -12,14 +12,18 @@ from masthead.functions.payload import snippet, with_content
 from masthead.schema import ATTEMPT, DECISION_COLUMNS
 
 
-def with_prompt_inputs(df: DataFrame) -> DataFrame:
-    """Replace the packed text by all a cascade needs of it: the ``snippet`` the prompts show, and the
-    ``lead`` headline should nothing pass. The text itself goes no further."""
-    if "content" not in df.columns:
-        df = with_content(df).drop("corrupt")
-    return with_lead_headline(df, "content", "lead").withColumn("snippet", snippet(F.col("content"))).drop(
-        "content"
-    )
+def with_snippet(df: DataFrame) -> DataFrame:
+    """Replace the packed text by ``content`` and by the ``snippet`` the prompts show."""
+    return with_content(df).drop("corrupt").withColumn("snippet", snippet(F.col("content")))
+
+
+def with_lead(answered: DataFrame) -> DataFrame:
+    """Replace the text by the ``lead`` headline, for use should nothing pass; the text goes no further.
+
+    To be called behind the model call of the same stage: the optimizer folds all projections below a Python
+    call into one expression, which for these rules grows beyond any use.
+    """
+    return with_lead_headline(answered, "content", "lead").drop("content")
 
 
 def attempt(stage: str, generated: Column, reason: Column) -> Column:
@@ -42,26 +46,24 @@ def refusal(critic: Column) -> Column:
 def decide(
     df: DataFrame,
     outcome: Column,
+    stage: Column | str,
     headline: Column | None = None,
-    verified: Column | int | None = None,
-    stage: str = "",
+    verified: Column | None = None,
     reason: Column | None = None,
     error: Column | None = None,
     tried: Column | None = None,
 ) -> DataFrame:
     """Bring rows that are decided into the shape of the decisions table."""
     null = F.lit(None)
-    if not isinstance(verified, Column):
-        verified = F.lit(verified)
     values = [
         F.col("id"),
         (null if headline is None else headline).cast("string"),
-        verified.cast("int"),
-        outcome.cast("string"),
+        (null if verified is None else verified).cast("int"),
+        outcome,
         F.lit(stage),
         (null if reason is None else reason).cast("string"),
         (null if error is None else error).cast("string"),
-        F.array().cast(f"array<{ATTEMPT}>") if tried is None else tried,
+        (F.array() if tried is None else tried).cast(f"array<{ATTEMPT}>"),
     ]
     return df.select(*[v.alias(name) for v, name in zip(values, DECISION_COLUMNS, strict=True)])
 

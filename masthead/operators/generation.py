@@ -19,30 +19,18 @@ from masthead.operators.decisions import (
     decide,
     refusal,
     union_all,
-    with_prompt_inputs,
+    with_lead,
+    with_snippet,
 )
 from masthead.operators.inference import HOOK_CALL, SAFE_CALL, ModelRunner
 from masthead.sources.staging import Staging
 from masthead.sources.templates import Templates
 
 
-def _finish(approved: DataFrame, source: str, stage: str, tried: list) -> DataFrame:
-    """Clean and check a text the critic approved. A bad format is not retried; the lead headline takes over."""
-    text = F.col(source)["text"]
-    checked = (
-        with_clean_headline(approved.withColumn("_text", text), "_text", "_clean")
-        .withColumn("_reason", format_reason(F.col("_clean")))
-    )
-    reason = F.col("_reason")
-    return decide(
-        checked,
-        outcome=F.when(reason.isNull(), source).otherwise("format_fallback"),
-        headline=F.when(reason.isNull(), F.col("_clean")).otherwise(F.col("lead")),
-        verified=F.when(reason.isNull(), 0).otherwise(1),
-        stage=stage,
-        reason=reason,
-        tried=attempts(*tried, attempt("format", F.col("_clean"), reason)),
-    )
+def _checked(judged: DataFrame, source: str) -> DataFrame:
+    """Add ``clean`` and ``doubt``, the cleaned text and what is wrong with its format."""
+    texts = judged.withColumn("_text", F.col(source)["text"])
+    return with_clean_headline(texts, "_text", "clean").withColumn("doubt", format_reason(F.col("clean"))).drop("_text")
 
 
 def generate_headlines(
@@ -56,82 +44,82 @@ def generate_headlines(
     A critic judges the text as the model wrote it; cleaning and the format check follow. An article without a
     title is an error.
     """
-    articles = with_prompt_inputs(
+    articles = with_snippet(
         candidates.select("id", "rephrased_article", F.col("title").isNotNull().alias("titled"))
     )
     prompt = F.when(F.col("titled"), render(templates.hook, body_snippet=F.col("snippet")))
-    hooked = staging.save(
-        model.generate(articles, prompt, HOOK_CALL, "hook").select("id", "titled", "snippet", "lead", "hook"),
-        "hook",
-    )
+    hooked = staging.save(with_lead(model.generate(articles, prompt, HOOK_CALL, "hook")), "hook")
     hook = F.col("hook")
     written = hook["error"].isNull() & (hook["text"] != "")
 
-    judged = staging.save(
-        model.critique(hooked.filter(written), templates.critic, hook["text"], "critic"), "hook_critic"
-    )
-    critic = F.col("critic")
-    no_answer = critic["error"].isNotNull()
+    critic, clean, doubt = F.col("critic"), F.col("clean"), F.col("doubt")
+    failed = critic["error"].isNotNull()
+    approved = ~failed & critic["approved"]
+    refused = ~failed & ~critic["approved"]
+    judged = model.critique(hooked.filter(written), templates.critic, hook["text"], "critic")
+    judged = staging.save(_checked(judged, "hook"), "hook_critic")
 
     # Everything without an approved hook gets a second, safer text.
     empty = hooked.filter(hook["error"].isNull() & (hook["text"] == "")).withColumn(
         "first", attempt("hook", hook["text"], F.lit(EMPTY))
     )
-    refused = judged.filter(~no_answer & ~critic["approved"]).withColumn(
-        "first", attempt("hook", hook["text"], refusal(critic))
-    )
-    retry = union_all([part.select("id", "snippet", "lead", "first") for part in (empty, refused)])
+    wrong = judged.filter(refused).withColumn("first", attempt("hook", hook["text"], refusal(critic)))
+    retry = union_all([part.select("id", "snippet", "lead", "first") for part in (empty, wrong)])
     prompt = render(templates.safe, body_snippet=F.col("snippet"))
     retried = staging.save(model.generate(retry, prompt, SAFE_CALL, "safe"), "safe")
     safe, first = F.col("safe"), F.col("first")
     rewritten = safe["error"].isNull() & (safe["text"] != "")
 
-    rejudged = staging.save(
-        model.critique(retried.filter(rewritten), templates.critic, safe["text"], "critic").drop("snippet"),
-        "safe_critic",
-    )
+    rejudged = model.critique(retried.filter(rewritten), templates.critic, safe["text"], "critic")
+    rejudged = staging.save(_checked(rejudged.drop("snippet"), "safe"), "safe_critic")
 
-    error = F.lit("error")
-    fallback = F.lit("fallback")
-    lead = F.col("lead")
+    # What leaves the funnel at each stage.
+    lead, error = F.col("lead"), F.lit("error")
+    good = approved & doubt.isNull()
+    headline = F.when(good, clean).when(~failed, lead)
+    verified = F.when(good, 0).when(~failed, 1)
+    misshapen = attempt("format", clean, F.when(approved, doubt))
+    rejected = refusal(critic)
     return union_all(
         [
-            decide(hooked.filter(~F.col("titled")), error, stage="load", error=F.lit("article has no title")),
-            decide(hooked.filter(hook["error"].isNotNull()), error, stage="hook", error=hook["error"]),
-            decide(judged.filter(no_answer), error, stage="hook_critic", error=critic["error"]),
-            _finish(judged.filter(~no_answer & critic["approved"]), "hook", "hook_critic", []),
             decide(
-                retried.filter(safe["error"].isNotNull()),
-                error,
-                stage="safe",
-                error=safe["error"],
-                tried=attempts(first),
+                hooked.filter(~F.col("titled") | hook["error"].isNotNull()),
+                outcome=error,
+                stage=F.when(F.col("titled"), "hook").otherwise("load"),
+                error=F.coalesce(hook["error"], F.lit("article has no title")),
             ),
             decide(
-                retried.filter(safe["error"].isNull() & (safe["text"] == "")),
-                fallback,
-                lead,
-                1,
-                stage="safe",
-                reason=F.lit(EMPTY),
-                tried=attempts(first, attempt("safe", safe["text"], F.lit(EMPTY))),
+                judged.filter(~refused),
+                outcome=F.when(failed, error).when(doubt.isNull(), "hook").otherwise("format_fallback"),
+                headline=headline,
+                verified=verified,
+                stage="hook_critic",
+                reason=F.when(approved, doubt),
+                error=critic["error"],
+                tried=attempts(misshapen),
             ),
             decide(
-                rejudged.filter(no_answer),
-                error,
-                stage="safe_critic",
-                error=critic["error"],
-                tried=attempts(first),
+                retried.filter(~rewritten),
+                outcome=F.when(safe["error"].isNotNull(), error).otherwise("fallback"),
+                headline=F.when(safe["error"].isNull(), lead),
+                verified=F.when(safe["error"].isNull(), 1),
+                stage="safe",
+                reason=F.when(safe["error"].isNull(), EMPTY),
+                error=safe["error"],
+                tried=attempts(first, attempt("safe", safe["text"], F.when(safe["error"].isNull(), EMPTY))),
             ),
             decide(
-                rejudged.filter(~no_answer & ~critic["approved"]),
-                fallback,
-                lead,
-                1,
+                rejudged,
+                outcome=F.when(failed, error)
+                .when(refused, "fallback")
+                .when(doubt.isNull(), "safe")
+                .otherwise("format_fallback"),
+                headline=headline,
+                verified=verified,
                 stage="safe_critic",
-                reason=refusal(critic),
-                tried=attempts(first, attempt("safe", safe["text"], refusal(critic))),
+                reason=F.coalesce(rejected, F.when(approved, doubt)),
+                error=critic["error"],
+                tried=attempts(first, attempt("safe", safe["text"], rejected), misshapen),
             ),
-            _finish(rejudged.filter(~no_answer & critic["approved"]), "safe", "safe_critic", [first]),
         ]
     )

@@ -259,13 +259,11 @@ def critic_standin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _generated(spark: SparkSession, chosen: DataFrame) -> DataFrame:
-    staging = Staging(spark)
-    return staging.save(generate_headlines(chosen, _runner(spark), load_templates(), staging), "decisions")
+    return generate_headlines(chosen, _runner(spark), load_templates(), Staging(spark))
 
 
 def _audited(spark: SparkSession, chosen: DataFrame) -> DataFrame:
-    staging = Staging(spark)
-    return staging.save(audit_headlines(chosen, _runner(spark), load_templates(), staging), "decisions")
+    return audit_headlines(chosen, _runner(spark), load_templates(), Staging(spark))
 
 
 _OUTPUT = ["id", "headline", "verified", "outcome", "stage", "reason", "error"]
