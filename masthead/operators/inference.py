@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -38,13 +39,10 @@ CRITIC_CALL = CallOptions(max_tokens=5, temperature=0.0)
 Model = Callable[[list[str], CallOptions], Sequence[str | None]]
 ModelFactory = Callable[[], Model]
 
-_built: dict[ModelFactory, Model] = {}
-
-
+@lru_cache(maxsize=1)
 def _model(factory: ModelFactory) -> Model:
-    if factory not in _built:
-        _built[factory] = factory()
-    return _built[factory]
+    """The model of this worker process, kept from task to task as long as the factory is the same."""
+    return factory()
 
 
 def _ask(model: Model, prompts: list[str], options: CallOptions) -> list[tuple[str | None, str | None]]:
@@ -79,8 +77,12 @@ def _caller(factory: ModelFactory, options: CallOptions, batch: int):
 
 @dataclass(frozen=True)
 class ModelRunner:
-    """How to run a model: its factory (hashable, importable by the workers), prompts per call, and the
-    number of partitions to spread a call over (None keeps the partitions the rows come in)."""
+    """How to run a model.
+
+    ``factory`` builds it. An importable function, or a value that compares equal to its copies, lets a worker
+    keep the model between tasks. ``batch`` is the number of prompts per call. ``partitions`` spreads the
+    rows of every call evenly; None keeps the partitions they come in.
+    """
 
     factory: ModelFactory
     batch: int = 64
