@@ -10,7 +10,7 @@ def spark():
     session = local_session(
         "*",
         "masthead-tests",
-        **{"spark.ui.showConsoleProgress": "false", "spark.sql.dataFrameQueryContext.enabled": "false"},
+        **{"spark.ui.showConsoleProgress": "false", "spark.sql.maxMetadataStringLength": "1000"},
     )
     session.sparkContext.setLogLevel("ERROR")
     ship_package(session)
