@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from masthead.functions.text import WS, squeeze, strip
 
 _WRAPPERS = "\"'*"
+_STEPS = ("_bare", "_depth", "_unwrapped", "_flat")
 
 
 def _marks(edge: Column) -> Column:
@@ -62,12 +63,16 @@ def clean_headline(text: Column) -> Column:
 
 
 def with_clean_headline(df: DataFrame, source: str, into: str) -> DataFrame:
-    """Add the cleaned form of column ``source`` as column ``into``."""
-    return (
-        df.withColumn("_bare", strip(F.col(source)))
-        .withColumn("_depth", wrapper_depth(F.col("_bare")))
-        .withColumn("_bare", unwrap(F.col("_bare"), F.col("_depth")))
-        .withColumn("_bare", squeeze(drop_period(F.col("_bare"))))
-        .withColumn(into, cap_first(F.col("_bare")))
-        .drop("_bare", "_depth")
-    )
+    """Add the cleaned form of column ``source`` as column ``into``.
+
+    The steps refer to each other by name within one projection; Catalyst evaluates each of them once.
+    """
+    bare, depth, unwrapped, flat = (F.col(name) for name in _STEPS)
+    return df.select(
+        "*",
+        strip(F.col(source)).alias("_bare"),
+        wrapper_depth(bare).alias("_depth"),
+        unwrap(bare, depth).alias("_unwrapped"),
+        squeeze(drop_period(unwrapped)).alias("_flat"),
+        cap_first(flat).alias(into),
+    ).drop(*_STEPS)

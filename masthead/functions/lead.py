@@ -92,13 +92,13 @@ def trim_tail(words: Column, kept: Column) -> Column:
 
 def with_lead_headline(df: DataFrame, content: str, into: str) -> DataFrame:
     """Add the lead headline of column ``content`` as column ``into``; empty content gives the empty string."""
-    steps = (
-        df.withColumn("_sentence", drop_date_lead(first_sentence(F.col(content))))
-        .withColumn("_words", sentence_words(F.col("_sentence")))
-        .withColumn("_count", capped_count(F.col("_words")))
-        .withColumn("_kept", kept_words("_words", "_count"))
-        .withColumn("_lead", trim_tail(F.col("_words"), F.col("_kept")))
-    )
-    return with_clean_headline(steps, "_lead", into).drop(
-        "_sentence", "_words", "_count", "_kept", "_lead"
+    sentence, words, kept = F.col("_sentence"), F.col("_words"), F.col("_kept")
+    steps = df.select(
+        "*",
+        drop_date_lead(first_sentence(F.col(content))).alias("_sentence"),
+        sentence_words(sentence).alias("_words"),
+        capped_count(words).alias("_count"),
+        kept_words("_words", "_count").alias("_kept"),
+        trim_tail(words, kept).alias("_lead"),
     )
+    return with_clean_headline(steps, "_lead", into).drop("_sentence", "_words", "_count", "_kept", "_lead")

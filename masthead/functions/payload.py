@@ -40,12 +40,9 @@ def deflate(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 def with_content(df: DataFrame, packed: str = "rephrased_article") -> DataFrame:
     """Replace the packed column by ``content`` and ``corrupt``."""
-    return (
-        df.withColumn("_inflated", inflate(F.col(packed)))
-        .withColumn("content", F.col("_inflated.content"))
-        .withColumn("corrupt", F.col("_inflated.corrupt"))
-        .drop("_inflated", packed)
-    )
+    rest = [name for name in df.columns if name != packed]
+    unpacked = df.select(*rest, inflate(F.col(packed)).alias("_inflated"))
+    return unpacked.select(*rest, "_inflated.content", "_inflated.corrupt")
 
 
 def snippet(content: Column) -> Column:

@@ -27,11 +27,12 @@ def format_reason(headline: Column) -> Column:
     """Why the headline is not acceptable, or NULL if it is. A NULL headline counts as empty."""
     text = F.coalesce(strip(headline), F.lit(""))
     words = word_count(text)
+    # Asked in the order of likelihood; the reasons exclude each other but for the last, which comes last.
     return (
-        F.when(words == 0, EMPTY)
-        .when(words < MIN_WORDS, TOO_SHORT)
+        F.when(words.between(MIN_WORDS, MAX_WORDS), F.when(has_non_latin(text), NON_LATIN))
         .when(words > MAX_WORDS, F.concat(F.lit("length "), words.cast("string"), F.lit(f" {TOO_LONG}")))
-        .when(has_non_latin(text), NON_LATIN)
+        .when(words > 0, TOO_SHORT)
+        .otherwise(EMPTY)
     )
 
 

@@ -2,7 +2,7 @@
 
 The documents carry no headlines, scrape times or flags; these follow from the document id, such that every
 state, rule and outcome occurs. The SQL text is the same for Spark and for the checking engine, but for the
-name of the string type.
+name of the string type and of the function that takes the first line.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ select doc_id as id, lang, source,
   case doc_id % 8 when 0 then '"' || t || '"' when 1 then '**' || t || '**' when 2 then t || '.'
     when 3 then '  ' || t || '  ' when 4 then '' when 5 then 'नमस्ते ' || t when 6 then '''*' || t || '*'''
     else t end as raw
-from (select doc_id, lang, source, text, substring(trim(split_part(text, chr(10), 1)), 1, 90) as t
+from (select doc_id, lang, source, text, substring(trim({first_line}), 1, 90) as t
       from {documents}) x
 """
 
@@ -40,7 +40,9 @@ from (select doc_id, lang, source, text, substring(trim(split_part(text, chr(10)
 def article_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The view above over the documents of ``sf_dir``."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    query = ARTICLE_VIEW.replace("{string}", "string")
+    query = ARTICLE_VIEW.replace("{string}", "string").replace(
+        "{first_line}", "substring_index(text, chr(10), 1)"
+    )
     return spark.sql(query, documents=documents)
 
 

@@ -46,7 +46,12 @@ def _with(*steps: str, final: str) -> str:
     return "with " + ",\n".join(steps) + "\n" + final
 
 
-_ARTICLES = "articles as (" + ARTICLE_VIEW.replace("{string}", "varchar").replace("{documents}", "documents") + ")"
+_VIEW = (
+    ARTICLE_VIEW.replace("{string}", "varchar")
+    .replace("{documents}", "documents")
+    .replace("{first_line}", "split_part(text, chr(10), 1)")
+)
+_ARTICLES = f"articles as ({_VIEW})"
 
 _UNCHECKED = "(headline_verified = 0 or headline_verified is null)"
 _PENDING = "rephrased_title is null and content is not null"

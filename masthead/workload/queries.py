@@ -69,9 +69,9 @@ def registered() -> dict[str, Query]:
     return dict(_queries)
 
 
-def _runner(spark: SparkSession) -> ModelRunner:
+def _runner(spark: SparkSession, partitions: int | None = None) -> ModelRunner:
     ship_package(spark)
-    return ModelRunner(standin)
+    return ModelRunner(standin, partitions=partitions)
 
 
 # ---- candidates --------------------------------------------------------------------------------------
@@ -254,7 +254,9 @@ def generate_standin(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def critic_standin(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = article_texts(spark, sf_dir).select("id", snippet(F.col("content")).alias("snippet"), "raw")
-    judged = _runner(spark).critique(seen, load_templates().critic, F.col("raw"), "critic")
+    # The texts come as one file; the calls are spread over all cores.
+    runner = _runner(spark, partitions=spark.sparkContext.defaultParallelism)
+    judged = runner.critique(seen, load_templates().critic, F.col("raw"), "critic")
     return judged.select("id", "critic.approved", "critic.error")
 
 
