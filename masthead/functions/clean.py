@@ -27,7 +27,7 @@ def wrapper_depth(stripped: Column) -> Column:
     text made of wrappers alone that reads the same both ways agrees everywhere and vanishes whole.
     """
     front = _marks(F.regexp_extract(stripped, f"^[{_WRAPPERS}{WS}]*", 0))
-    back = F.reverse(_marks(F.regexp_extract(stripped, f"[{_WRAPPERS}{WS}]*\\z", 0)))
+    back = _marks(F.regexp_extract(F.reverse(stripped), f"^[{_WRAPPERS}{WS}]*", 0))
     both = F.concat(front, F.lit("\x00"), back)
     pairs = F.length(F.regexp_extract(both, r"^(.*).*\x00\1", 1))
     return F.when(F.substring(stripped, 1, 1).isin(list(_WRAPPERS)), pairs).otherwise(0)

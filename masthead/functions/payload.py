@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SNIPPET_CHARS = 1500  # fixed value: what a prompt sees of an article
+_SLICE = 500
 
 _UNPACKED = T.StructType().add("content", T.StringType()).add("corrupt", T.BooleanType())
 
@@ -26,9 +27,14 @@ def _unpack(packed: bytes | None) -> tuple[str, bool]:
 
 @F.pandas_udf(_UNPACKED)
 def inflate(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    """zlib bytes to text. NULL and empty bytes are empty text; unreadable bytes are too, and marked corrupt."""
+    """zlib bytes to text. NULL and empty bytes are empty text; unreadable bytes are too, and marked corrupt.
+
+    Unpacked in slices, as the texts of a whole Arrow batch may be many times larger than their bytes.
+    """
     for packed in batches:
-        yield pd.DataFrame(map(_unpack, packed), columns=["content", "corrupt"], index=packed.index)
+        for start in range(0, len(packed), _SLICE):
+            unpacked = map(_unpack, packed.iloc[start : start + _SLICE])
+            yield pd.DataFrame(unpacked, columns=["content", "corrupt"])
 
 
 @F.pandas_udf(T.BinaryType())

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from masthead.schema import DAY_COLUMN, DAY_S
+
 # How far back the two jobs look, and their batch sizes.
 GENERATION_WINDOW_S = 86400
 AUDIT_WINDOW_S = 3 * 86400
@@ -21,8 +23,14 @@ _BINS = 1024
 
 
 def recent(df: DataFrame, as_of: int, window_s: int) -> DataFrame:
-    """Articles scraped no longer than ``window_s`` seconds before ``as_of``, the border included."""
-    return df.filter(F.col("scraped_at") >= F.lit(as_of - window_s))
+    """Articles scraped no longer than ``window_s`` seconds before ``as_of``, the border included.
+
+    In a table partitioned by day, older days are not even listed.
+    """
+    since = as_of - window_s
+    if DAY_COLUMN in df.columns:
+        df = df.filter(F.col(DAY_COLUMN) >= since // DAY_S)
+    return df.filter(F.col("scraped_at") >= since)
 
 
 def pending(df: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""The two batch jobs, from the article table to its next version."""
+"""The two batch jobs: choose articles, decide, write."""
 
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from masthead.operators.candidates import (
     AUDIT_WINDOW_S,
     GENERATION_BATCH,
     GENERATION_WINDOW_S,
+    TOP_K_ROWS,
     audit_candidates,
     generation_candidates,
 )
@@ -21,14 +22,17 @@ from masthead.operators.inference import ModelRunner
 from masthead.operators.updates import apply_decisions, rejections
 from masthead.plans.reports import audit_summary, generation_summary
 from masthead.schema import DECISIONS
-from masthead.sources.sinks import append_rejections, write_articles
+from masthead.sources.articles import read_articles
+from masthead.sources.sinks import append_rejections, update_articles
 from masthead.sources.staging import Staging
 from masthead.sources.templates import Templates
 
+Cascade = Callable[[DataFrame, ModelRunner, Templates, Staging], DataFrame]
+
 
 @dataclass(frozen=True)
 class Run:
-    """Where a run left its results, and its one-row summary."""
+    """What a run decided, the articles with that applied, and the one-row summary."""
 
     decisions: DataFrame
     articles: DataFrame
@@ -45,13 +49,17 @@ def run_generation(
     limit: int | None = GENERATION_BATCH,
     shards: int = 1,
     number: int | None = None,
+    store: str | None = None,
 ) -> Run:
-    """Give waiting articles a headline. ``limit=None`` takes all of them in one run."""
+    """Give waiting articles a headline. ``limit=None`` takes all of them in one run.
+
+    Writes ``<out>/decisions`` and appends to ``<out>/rejections``. With ``store``, the folder ``articles`` was
+    read from, the decisions are also written into the stored table.
+    """
     chosen = generation_candidates(articles, as_of, limit, GENERATION_WINDOW_S, shards, number)
     chosen = chosen.select("id", "title", "rephrased_article")
-    decisions, updated = _decide_and_write(
-        spark, articles, chosen, generate_headlines, model, templates, out, as_of - GENERATION_WINDOW_S, limit
-    )
+    decisions = _decide(spark, chosen, generate_headlines, model, templates, out, limit)
+    updated = _update(spark, articles, decisions, as_of - GENERATION_WINDOW_S, store)
     return Run(decisions, updated, generation_summary(decisions, limit))
 
 
@@ -65,34 +73,42 @@ def run_audit(
     limit: int | None = AUDIT_BATCH,
     shards: int = 1,
     number: int | None = None,
+    store: str | None = None,
 ) -> Run:
-    """Audit published headlines and repair the refused ones."""
+    """Audit published headlines and repair the refused ones; written like a generation run."""
     chosen = audit_candidates(articles, as_of, limit, AUDIT_WINDOW_S, shards, number)
     chosen = chosen.select("id", "rephrased_title", "rephrased_article")
-    decisions, updated = _decide_and_write(
-        spark, articles, chosen, audit_headlines, model, templates, out, as_of - AUDIT_WINDOW_S, limit
-    )
-    return Run(decisions, updated, audit_summary(decisions, articles, as_of))
+    decisions = _decide(spark, chosen, audit_headlines, model, templates, out, limit)
+    updated = _update(spark, articles, decisions, as_of - AUDIT_WINDOW_S, store)
+    return Run(decisions, updated, audit_summary(decisions, updated, as_of))
 
 
-def _decide_and_write(
+def _decide(
     spark: SparkSession,
-    articles: DataFrame,
     chosen: DataFrame,
-    cascade: Callable[[DataFrame, ModelRunner, Templates, Staging], DataFrame],
+    cascade: Cascade,
     model: ModelRunner,
     templates: Templates,
     out: str,
-    since: int,
     limit: int | None,
-) -> tuple[DataFrame, DataFrame]:
-    """Write ``<out>/decisions``, ``<out>/articles`` (the next version of the table) and ``<out>/rejections``."""
+) -> DataFrame:
     with Staging(spark) as staging:
         if limit is not None:
+            if limit <= TOP_K_ROWS:
+                # A top-k ends in one partition; the model should have more.
+                chosen = chosen.repartition(max(1, min(limit, spark.sparkContext.defaultParallelism)), "id")
             # Text is unpacked behind the top-k: Spark would otherwise unpack every candidate first.
             chosen = staging.save(chosen, "batch")
         cascade(chosen, model, templates, staging).write.parquet(f"{out}/decisions")
     decisions = spark.read.schema(DECISIONS).parquet(f"{out}/decisions")
-    write_articles(apply_decisions(articles, decisions, since), f"{out}/articles")
     append_rejections(rejections(decisions), f"{out}/rejections")
-    return decisions, spark.read.schema(articles.schema).parquet(f"{out}/articles")
+    return decisions
+
+
+def _update(
+    spark: SparkSession, articles: DataFrame, decisions: DataFrame, since: int, store: str | None
+) -> DataFrame:
+    if store is None:
+        return apply_decisions(articles, decisions, since)
+    update_articles(spark, store, decisions, since)
+    return read_articles(spark, store)

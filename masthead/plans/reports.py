@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from masthead.functions.skip import skip_reason
 from masthead.functions.validate import format_reason, reason_kind
 from masthead.operators.candidates import AUDIT_WINDOW_S, GENERATION_BATCH, any_unverified, headline_state
-from masthead.operators.updates import apply_decisions
 
 
 def _count(*outcomes: str) -> Column:
@@ -29,12 +28,11 @@ def generation_summary(decisions: DataFrame, batch: int | None = GENERATION_BATC
 
 
 def audit_summary(
-    decisions: DataFrame, articles: DataFrame, as_of: int, window_s: int = AUDIT_WINDOW_S
+    decisions: DataFrame, updated: DataFrame, as_of: int, window_s: int = AUDIT_WINDOW_S
 ) -> DataFrame:
-    """Counters of an audit run; a lead headline counts as fixed. ``articles`` is the table before the update.
+    """Counters of an audit run; a lead headline counts as fixed. ``updated`` is the table after the update.
 
-    ``has_more`` asks whether the updated table holds more to audit, and is false after a run that got
-    nothing done.
+    ``has_more`` asks whether that table holds more to audit, and is false after a run that got nothing done.
     """
     counts = decisions.agg(
         F.count(F.lit(1)).alias("loaded"),
@@ -42,9 +40,8 @@ def audit_summary(
         _count("fixed", "fallback").alias("fixed"),
         _count("error").alias("llm_failures"),
     )
-    left = any_unverified(apply_decisions(articles, decisions, as_of - window_s), as_of, window_s)
     progress = F.col("validated") + F.col("fixed") > 0
-    return counts.withColumn("has_more", progress & left.scalar())
+    return counts.withColumn("has_more", progress & any_unverified(updated, as_of, window_s).scalar())
 
 
 def outcome_report(decisions: DataFrame) -> DataFrame:

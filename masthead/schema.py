@@ -5,6 +5,10 @@ ARTICLES = (
     "rephrased_title string, headline_verified int"
 )
 
+# Stored articles are partitioned by the day they were scraped on, counted from the epoch.
+DAY_COLUMN = "scraped_day"
+DAY_S = 86400
+
 # What one model call leaves behind: its text, or the error of that row.
 ANSWER = "struct<text:string,error:string>"
 

@@ -2,15 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from masthead.operators.updates import rejection_line
+from masthead.operators.updates import apply_decisions, rejection_line
+from masthead.schema import DAY_COLUMN, DAY_S
+from masthead.sources.articles import read_articles
+from masthead.sources.staging import Staging
 
 
 def write_articles(articles: DataFrame, path: str) -> None:
-    """A new version of the article table. ``path`` must not be the one being read."""
-    articles.write.parquet(path)
+    """Store the article table, one folder per day.
+
+    Rows are rebalanced by day, so that a day is written in few files; days that are too large for one task are
+    split again at run time.
+    """
+    by_day = articles.withColumn(DAY_COLUMN, F.expr(f"scraped_at div {DAY_S}"))
+    by_day.hint("rebalance", DAY_COLUMN).write.partitionBy(DAY_COLUMN).parquet(path)
+
+
+def update_articles(spark: SparkSession, path: str, decisions: DataFrame, since: int) -> None:
+    """Write decisions into a table stored by :func:`write_articles`.
+
+    Only the days from ``since`` on are read and replaced; whatever is older stays as it is. The new days are staged
+    in full before the old ones go, so the update can be repeated after a failure, and repeating it
+    changes nothing. Nothing else may write to those days meanwhile; where articles keep arriving, use a table
+    format with row-level changes and ``merge_decisions``.
+    """
+    days = read_articles(spark, path).filter(F.col(DAY_COLUMN) >= since // DAY_S)
+    with Staging(spark) as staging:
+        updated = staging.save(apply_decisions(days, decisions), "days")
+        (
+            updated.hint("rebalance", DAY_COLUMN)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(DAY_COLUMN)
+            .parquet(path)
+        )
 
 
 def append_rejections(rejected: DataFrame, path: str) -> None:

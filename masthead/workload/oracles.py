@@ -347,6 +347,11 @@ def oracles() -> dict[str, str]:
         "updated_articles": _with(
             *_generated(_WAITING), _UPDATED, final="select id, rephrased_title, headline_verified from updated"
         ),
+        "stored_articles": _with(
+            *_generated(_WAITING),
+            _UPDATED,
+            final="select id, rephrased_title, headline_verified, scraped_at // 86400 as scraped_day from updated",
+        ),
         "audited_articles": _with(
             *_audited(), _UPDATED, final="select id, rephrased_title, headline_verified from updated"
         ),

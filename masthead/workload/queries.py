@@ -46,6 +46,8 @@ from masthead.plans.reports import (
 )
 from masthead.schema import DECISIONS
 from masthead.session import ship_package
+from masthead.sources.articles import read_articles
+from masthead.sources.sinks import update_articles, write_articles
 from masthead.sources.staging import Staging
 from masthead.sources.templates import load_templates
 from masthead.streaming.incremental import stream_articles, stream_headlines
@@ -300,6 +302,18 @@ def audited_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return updated.select("id", "rephrased_title", "headline_verified")
 
 
+@_query
+def stored_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored table, days and all, after a generation run has been written into it."""
+    table = articles(spark, sf_dir)
+    path = Staging(spark).path("articles")
+    write_articles(table, path)
+    decisions = _generated(spark, generation_candidates(read_articles(spark, path), AS_OF, limit=None))
+    update_articles(spark, path, decisions, AS_OF - GENERATION_WINDOW_S)
+    stored = read_articles(spark, path)
+    return stored.select("id", "rephrased_title", "headline_verified", F.col("scraped_day").cast("bigint"))
+
+
 @_query
 def undecided_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = articles(spark, sf_dir)
@@ -339,8 +353,8 @@ def generation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def audit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = articles(spark, sf_dir)
-    chosen = audit_candidates(table, AS_OF, limit=None)
-    return audit_summary(_audited(spark, chosen), table, AS_OF)
+    decisions = _audited(spark, audit_candidates(table, AS_OF, limit=None))
+    return audit_summary(decisions, apply_decisions(table, decisions, AS_OF - AUDIT_WINDOW_S), AS_OF)
 
 
 @_query

@@ -12,6 +12,7 @@ from masthead.operators.updates import apply_decisions, latest_decisions
 from masthead.plans.jobs import run_audit, run_generation
 from masthead.schema import ARTICLES, DECISIONS
 from masthead.sources.articles import read_articles
+from masthead.sources.sinks import write_articles
 from masthead.sources.staging import Staging, shared_folder
 from masthead.streaming.incremental import stream_articles, stream_headlines
 from tests import scripted
@@ -93,6 +94,30 @@ def test_audit_job(spark, tmp_path, script):
     ]
 
 
+def test_jobs_on_a_stored_table(spark, tmp_path, script):
+    """Generation, then audit, in place; the days before the windows are not touched."""
+    store = str(tmp_path / "store")
+    rows = [article(n, age=n * 40000) for n in range(12)]
+    write_articles(spark.createDataFrame(rows, ARTICLES), store)
+    run = run_generation(
+        spark, read_articles(spark, store), ModelRunner(script), TEMPLATES, str(tmp_path / "1"), NOW, store=store
+    )
+    assert run.summary.first()["processed"] == 3
+    assert headlines(run.articles) == {
+        n: ("A good headline here", 0) if n < 3 else (None, None) for n in range(12)
+    }
+    audit = run_audit(
+        spark, read_articles(spark, store), ModelRunner(script), TEMPLATES, str(tmp_path / "2"), NOW, store=store
+    )
+    # The critic knows the hook as it was written, not in its cleaned form.
+    assert audit.summary.first().asDict() == {
+        "loaded": 3, "validated": 0, "fixed": 3, "llm_failures": 0, "has_more": False,
+    }
+    assert headlines(read_articles(spark, store)) == {
+        n: ("A safe headline here", 1) if n < 3 else (None, None) for n in range(12)
+    }
+
+
 def test_staging_is_removed(spark):
     with Staging(spark) as staging:
         staged = staging.save(spark.range(5), "numbers")

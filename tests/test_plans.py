@@ -134,7 +134,7 @@ def test_update_sorts_and_merges_when_decisions_are_large(spark, articles, decis
 
 
 def test_summaries_join_nothing_but_the_update(articles, decisions):
-    text = plan(audit_summary(decisions, articles, NOW))
+    text = plan(audit_summary(decisions, apply_decisions(articles, decisions), NOW))
     assert "Cartesian" not in text and "NestedLoop" not in text
     assert "rephrased_article" not in text.split("Subquery")[0]
 

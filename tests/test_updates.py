@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from masthead.operators.candidates import recent
 from masthead.operators.updates import (
     apply_decisions,
     latest_decisions,
@@ -16,7 +17,7 @@ from masthead.operators.updates import (
 from masthead.plans.reports import audit_summary, format_report, generation_summary, outcome_report
 from masthead.schema import ARTICLES, DECISIONS
 from masthead.sources.articles import read_articles
-from masthead.sources.sinks import append_rejection_log, append_rejections, write_articles
+from masthead.sources.sinks import append_rejection_log, append_rejections, update_articles, write_articles
 from masthead.sources.templates import Templates, load_templates
 
 NOW = 1_700_000_000
@@ -136,7 +137,9 @@ def test_audit_summary(spark, articles):
         rows = [
             (n, "h", None if o == "error" else 1, o, "critic", None, None, []) for n, o in outcomes
         ]
-        return audit_summary(spark.createDataFrame(rows, DECISIONS), articles, NOW).first().asDict()
+        decisions = spark.createDataFrame(rows, DECISIONS)
+        updated = apply_decisions(articles, decisions)
+        return audit_summary(decisions, updated, NOW).first().asDict()
 
     done = summary((2, "validated"), (6, "fallback"))
     assert done == {"loaded": 2, "validated": 1, "fixed": 1, "llm_failures": 0, "has_more": False}
@@ -163,17 +166,40 @@ def test_reports(spark, decisions):
 
 
 def test_articles_are_read_as_written(spark, articles, tmp_path):
+    write_articles(articles, str(tmp_path / "parquet"))
+    articles.write.orc(str(tmp_path / "orc"))
     for form in ("parquet", "orc"):
-        path = str(tmp_path / form)
-        if form == "parquet":
-            write_articles(articles, path)
-        else:
-            articles.write.orc(path)
-        assert headlines(read_articles(spark, path, form)) == headlines(articles)
+        assert headlines(read_articles(spark, str(tmp_path / form), form)) == headlines(articles)
     articles.createOrReplaceTempView("some_articles")
     assert headlines(read_articles(spark, "some_articles", "table")) == headlines(articles)
 
 
+def test_update_replaces_only_the_days_of_the_window(spark, articles, decisions, tmp_path):
+    path = str(tmp_path / "store")
+    write_articles(articles, path)
+
+    def files():
+        return {f.relative_to(tmp_path) for f in (tmp_path / "store").rglob("*.parquet")}
+
+    before = files()
+    for _ in range(2):
+        update_articles(spark, path, decisions, NOW - 86400)
+        assert headlines(read_articles(spark, path)) == EXPECTED
+    kept = before & files()
+    today = f"scraped_day={NOW // 86400}"
+    assert {f.parts[1] for f in kept} == {f.parts[1] for f in before} - {today}
+    assert len({f.parts[1] for f in before}) == 3
+
+
+def test_recent_days_only_are_scanned(spark, articles, tmp_path):
+    write_articles(articles, str(tmp_path / "store"))
+    stored = read_articles(spark, str(tmp_path / "store"))
+    found = recent(stored, NOW, 86400)
+    assert sorted(row["id"] for row in found.collect()) == [1, 2, 3, 6]
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "(scraped_day#" in text.split("PartitionFilters")[1].split("]")[0]
+
+
 def test_templates(spark, tmp_path):
     packaged = load_templates()
     assert packaged.hook.count("{body_snippet}") == packaged.safe.count("{body_snippet}") == 1
