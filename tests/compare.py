@@ -12,6 +12,9 @@ TABLES = (
 ).split()
 
 
+TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "BOOLEAN": "boolean"}
+
+
 def connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for table in TABLES:
@@ -25,6 +28,9 @@ def differences(df, con: duckdb.DuckDBPyConnection, sql: str) -> list:
     relation = con.sql(sql)
     if sorted(relation.columns) != columns:
         return [("columns", columns, sorted(relation.columns))]
+    types = {c: TYPES.get(str(t), str(t)) for c, t in zip(relation.columns, relation.types, strict=True)}
+    if dict(df.dtypes) != types:
+        return [("types", df.dtypes, types)]
     ours = Counter(tuple(row) for row in df.select(*columns).collect())
     theirs = Counter(relation.project(", ".join(f'"{c}"' for c in columns)).fetchall())
     return [("spark", r) for r in (ours - theirs)][:3] + [("sql", r) for r in (theirs - ours)][:3]
