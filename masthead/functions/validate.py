@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from masthead.functions.text import strip, word_count
@@ -23,10 +23,7 @@ def has_non_latin(text: Column) -> Column:
     return text.rlike(_FOREIGN_LETTER)
 
 
-def format_reason(headline: Column) -> Column:
-    """Why the headline is not acceptable, or NULL if it is. A NULL headline counts as empty."""
-    text = F.coalesce(strip(headline), F.lit(""))
-    words = word_count(text)
+def _reason(text: Column, words: Column) -> Column:
     # Asked in the order of likelihood; the reasons exclude each other but for the last, which comes last.
     return (
         F.when(words.between(MIN_WORDS, MAX_WORDS), F.when(has_non_latin(text), NON_LATIN))
@@ -36,6 +33,23 @@ def format_reason(headline: Column) -> Column:
     )
 
 
+def format_reason(headline: Column) -> Column:
+    """Why the headline is not acceptable, or NULL if it is. A NULL headline counts as empty."""
+    text = F.coalesce(strip(headline), F.lit(""))
+    return _reason(text, word_count(text))
+
+
+def with_format_reason(df: DataFrame, headline: str, into: str) -> DataFrame:
+    """Add the reason for column ``headline`` as column ``into``; the words are counted once."""
+    text, words = F.col("_text"), F.col("_word_count")
+    return df.select(
+        "*",
+        F.coalesce(strip(F.col(headline)), F.lit("")).alias("_text"),
+        word_count(text).alias("_word_count"),
+        _reason(text, words).alias(into),
+    ).drop("_text", "_word_count")
+
+
 def validate_headline(headline: Column) -> Column:
     """The check as ``struct<valid, reason>``."""
     reason = format_reason(headline)

@@ -7,12 +7,12 @@ the funnel as soon as they are decided.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from masthead.functions.clean import with_clean_headline
 from masthead.functions.prompt import render
-from masthead.functions.validate import format_reason
+from masthead.functions.validate import with_format_reason
 from masthead.operators.decisions import (
     attempt,
     attempts,
@@ -29,9 +29,13 @@ from masthead.sources.templates import Templates
 UNCHANGED = "same as the refused headline"
 
 
-def repair_reason(fixed: Column, proposed: Column) -> Column:
-    """Why a repaired headline is not even worth a critic call, or NULL: its format, or that nothing changed."""
-    return F.coalesce(format_reason(fixed), F.when(fixed == proposed, UNCHANGED))
+def with_repair(answered: DataFrame) -> DataFrame:
+    """Add ``fixed``, the cleaned repair, and ``doubt``: why it is not even worth a critic call, its format or
+    that nothing changed."""
+    cleaned = with_clean_headline(answered.withColumn("_raw", F.col("safe")["text"]), "_raw", "fixed")
+    unchanged = F.when(F.col("fixed") == F.col("proposed"), UNCHANGED)
+    checked = with_format_reason(cleaned, "fixed", "_format")
+    return checked.withColumn("doubt", F.coalesce("_format", unchanged)).drop("_raw", "_format")
 
 
 def audit_headlines(
@@ -62,13 +66,7 @@ def audit_headlines(
         .drop("critic")
     )
     prompt = render(templates.safe, body_snippet=F.col("snippet"))
-    repaired = model.generate(wrong, prompt, REPAIR_CALL, "safe").withColumn("_text", F.col("safe")["text"])
-    repaired = staging.save(
-        with_clean_headline(repaired, "_text", "fixed")
-        .withColumn("doubt", repair_reason(F.col("fixed"), proposed))
-        .drop("_text"),
-        "repair",
-    )
+    repaired = staging.save(with_repair(model.generate(wrong, prompt, REPAIR_CALL, "safe")), "repair")
     safe, fixed, first = F.col("safe"), F.col("fixed"), F.col("first")
     doubt = F.when(safe["error"].isNull(), F.col("doubt"))
     worthwhile = safe["error"].isNull() & F.col("doubt").isNull()

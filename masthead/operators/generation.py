@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from masthead.functions.clean import with_clean_headline
 from masthead.functions.prompt import render
-from masthead.functions.validate import EMPTY, format_reason
+from masthead.functions.validate import EMPTY, with_format_reason
 from masthead.operators.decisions import (
     attempt,
     attempts,
@@ -29,8 +29,8 @@ from masthead.sources.templates import Templates
 
 def _checked(judged: DataFrame, source: str) -> DataFrame:
     """Add ``clean`` and ``doubt``, the cleaned text and what is wrong with its format."""
-    texts = judged.withColumn("_text", F.col(source)["text"])
-    return with_clean_headline(texts, "_text", "clean").withColumn("doubt", format_reason(F.col("clean"))).drop("_text")
+    cleaned = with_clean_headline(judged.withColumn("_raw", F.col(source)["text"]), "_raw", "clean")
+    return with_format_reason(cleaned, "clean", "doubt").drop("_raw")
 
 
 def generate_headlines(

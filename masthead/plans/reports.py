@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from masthead.functions.skip import skip_reason
-from masthead.functions.validate import format_reason, reason_kind
+from masthead.functions.validate import reason_kind, with_format_reason
 from masthead.operators.candidates import AUDIT_WINDOW_S, GENERATION_BATCH, any_unverified, headline_state
 
 
@@ -55,8 +55,9 @@ def format_report(df: DataFrame, headline: str, *dims: str) -> DataFrame:
 
     Rows are counted at the finest level first, so the rollup expands the few counts and not the rows.
     """
-    reason = F.coalesce(reason_kind(format_reason(F.col(headline))), F.lit("valid"))
-    finest = df.select(*dims, reason.alias("reason")).groupBy(*dims, "reason").agg(F.count(F.lit(1)).alias("n"))
+    checked = with_format_reason(df.select(*dims, headline), headline, "_reason")
+    reason = F.coalesce(reason_kind(F.col("_reason")), F.lit("valid"))
+    finest = checked.select(*dims, reason.alias("reason")).groupBy(*dims, "reason").agg(F.count(F.lit(1)).alias("n"))
     subtotals = finest.rollup("reason", *dims).agg(F.sum("n").alias("n"), F.grouping("reason").alias("_all"))
     return subtotals.filter(F.col("_all") == 0).select(*dims, "reason", "n")
 

@@ -12,7 +12,7 @@ from masthead.functions.lead import with_lead_headline
 from masthead.functions.payload import snippet, with_content
 from masthead.functions.prompt import STOPS, cut_at_stops, render, verdict
 from masthead.functions.skip import skip_articles, skip_reason
-from masthead.functions.validate import validate_headline
+from masthead.functions.validate import validate_headline, with_format_reason
 from masthead.operators.audit import audit_headlines
 from masthead.operators.candidates import (
     AUDIT_WINDOW_S,
@@ -154,7 +154,8 @@ def clean_headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def format_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = with_clean_headline(article_texts(spark, sf_dir), "raw", "clean")
-    return cleaned.select("id", validate_headline(F.col("clean")).alias("check")).select("id", "check.*")
+    checked = with_format_reason(cleaned, "clean", "reason")
+    return checked.select("id", F.col("reason").isNull().alias("valid"), "reason")
 
 
 @_query
@@ -179,10 +180,8 @@ def waiting_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every waiting article would be given without a model, and whether that passes the format check."""
     waiting = generation_candidates(articles(spark, sf_dir), AS_OF, limit=None)
     unpacked = with_content(waiting.select("id", "scraped_at", "rephrased_article"))
-    leads = with_lead_headline(unpacked, "content", "headline")
-    return leads.select("id", "scraped_at", "headline", validate_headline(F.col("headline")).alias("check")).select(
-        "id", "scraped_at", "headline", "check.*"
-    )
+    leads = with_format_reason(with_lead_headline(unpacked, "content", "headline"), "headline", "reason")
+    return leads.select("id", "scraped_at", "headline", F.col("reason").isNull().alias("valid"), "reason")
 
 
 # ---- payload and prompts -----------------------------------------------------------------------------

@@ -11,7 +11,7 @@ from masthead.functions.clean import with_clean_headline
 from masthead.functions.lead import with_lead_headline
 from masthead.functions.payload import with_content
 from masthead.functions.prompt import render
-from masthead.functions.validate import validate_headline
+from masthead.functions.validate import with_format_reason
 from masthead.operators.candidates import (
     any_unverified,
     audit_candidates,
@@ -85,7 +85,7 @@ def test_shards_are_limited_before_the_shuffle(articles):
 def test_text_rules_are_one_stage_without_python_or_shuffle(articles, rule):
     if rule == "clean":
         df = with_clean_headline(articles, "rephrased_title", "out")
-        df = df.select("id", validate_headline(F.col("out")).alias("check"))
+        df = with_format_reason(df, "out", "reason").select("id", "out", "reason")
     else:
         df = with_lead_headline(articles, "title", "out").select("id", "out")
     text = plan(df)

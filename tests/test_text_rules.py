@@ -16,7 +16,7 @@ from masthead.functions.payload import deflate, snippet, with_content
 from masthead.functions.prompt import cut_at_stops, render, verdict
 from masthead.functions.skip import should_skip, skip_reason
 from masthead.functions.text import WS, WS_CHARS, drop_markers, squeeze, strip
-from masthead.functions.validate import validate_headline
+from masthead.functions.validate import validate_headline, with_format_reason
 
 CLEAN = {
     # given cases
@@ -145,6 +145,8 @@ def test_format(spark):
     got = mapped(spark, FORMAT, lambda df: df.withColumn("out", validate_headline(F.col("value"))))
     assert {text: check["reason"] for text, check in zip(FORMAT, got, strict=True)} == FORMAT
     assert all(check["valid"] == (check["reason"] is None) for check in got)
+    got = mapped(spark, FORMAT, lambda df: with_format_reason(df, "value", "out"))
+    assert dict(zip(FORMAT, got, strict=True)) == FORMAT
 
 
 def test_skip(spark):
