@@ -25,25 +25,30 @@ def _unpack(packed: bytes | None) -> tuple[str, bool]:
         return "", True
 
 
-@F.pandas_udf(_UNPACKED)
-def inflate(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    """zlib bytes to text. NULL and empty bytes are empty text; unreadable bytes are too, and marked corrupt.
-
-    Unpacked in slices, as the texts of a whole Arrow batch may be many times larger than their bytes.
-    """
+def _unpack_batches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    # In slices, as the texts of a whole Arrow batch may be many times larger than their bytes.
     for packed in batches:
         for start in range(0, len(packed), _SLICE):
             unpacked = map(_unpack, packed.iloc[start : start + _SLICE])
             yield pd.DataFrame(unpacked, columns=["content", "corrupt"])
 
 
-@F.pandas_udf(T.BinaryType())
-def deflate(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Text to zlib bytes, the inverse of :func:`inflate`."""
+def _pack_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for text in batches:
         yield text.map(lambda t: None if t is None else zlib.compress(t.encode("utf-8")))
 
 
+def inflate(packed: Column) -> Column:
+    """zlib bytes to ``struct<content, corrupt>``. NULL and empty bytes are empty text; unreadable bytes are
+    too, and marked corrupt."""
+    return F.pandas_udf(_unpack_batches, _UNPACKED)(packed)
+
+
+def deflate(text: Column) -> Column:
+    """Text to zlib bytes, the inverse of :func:`inflate`."""
+    return F.pandas_udf(_pack_batches, T.BinaryType())(text)
+
+
 def with_content(df: DataFrame, packed: str = "rephrased_article") -> DataFrame:
     """Replace the packed column by ``content`` and ``corrupt``."""
     rest = [name for name in df.columns if name != packed]

@@ -395,6 +395,7 @@ def oracles() -> dict[str, str]:
             *_generated(_WAITING),
             final="select id, headline, verified, outcome from decided where outcome <> 'error'",
         ),
+        "arrivals_once": _with(_ARTICLES, final="select id, 1::bigint as n from articles"),
         "still_waiting": _with(
             *_generated(_WAITING), _UPDATED, final=f"select id from updated where {_DAY} and {_PENDING}"
         ),

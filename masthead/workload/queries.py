@@ -44,13 +44,13 @@ from masthead.plans.reports import (
     skip_report,
     state_report,
 )
-from masthead.schema import DECISIONS
+from masthead.schema import DAY_S, DECISIONS
 from masthead.session import ship_package
 from masthead.sources.articles import read_articles
 from masthead.sources.sinks import update_articles, write_articles
 from masthead.sources.staging import Staging
 from masthead.sources.templates import load_templates
-from masthead.streaming.incremental import stream_articles, stream_headlines
+from masthead.streaming.incremental import once_per_id, stream_articles, stream_headlines
 from masthead.workload.inputs import AS_OF, article_texts, articles, articles_path
 from masthead.workload.standin import standin
 
@@ -387,6 +387,26 @@ def streamed_headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_decisions(log).select("id", "headline", "verified", "outcome")
 
 
+@_query
+def arrivals_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every article arrives twice; how often each gets through."""
+    staging = Staging(spark)
+    table = articles(spark, sf_dir)
+    staging.save(table.unionByName(table), "arrivals")
+    arrivals = stream_articles(spark, staging.path("arrivals"), files_per_batch=8)
+    run = (
+        once_per_id(arrivals, delay_s=7 * DAY_S)
+        .select("id")
+        .writeStream.format("parquet")
+        .option("checkpointLocation", staging.path("checkpoint"))
+        .trigger(availableNow=True)
+        .start(staging.path("first"))
+    )
+    run.awaitTermination()
+    passed = spark.read.schema("id bigint").parquet(staging.path("first"))
+    return passed.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+
+
 @_query
 def still_waiting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What still waits after one generation run over the window, as the next run would see it."""
