@@ -35,6 +35,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--shard", type=int)
     parser.add_argument("--num-shards", type=int, default=1)
     parser.add_argument("--model-partitions", type=int, help="partitions of every model call")
+    parser.add_argument("--rows-per-task", type=int, help="rows of a model call per task; beats the former")
     parser.add_argument("--prompts-per-call", type=int, default=64)
     parser.add_argument("--in-place", action="store_true", help="write the decisions into the article table")
     return parser.parse_args(argv)
@@ -57,7 +58,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> Run:
     return job(
         spark,
         read_articles(spark, args.articles),
-        ModelRunner(factory, args.prompts_per_call, args.model_partitions),
+        ModelRunner(factory, args.prompts_per_call, args.model_partitions, args.rows_per_task),
         load_templates(spark, args.templates),
         args.out,
         as_of=int(time.time()) if args.as_of is None else args.as_of,

@@ -49,9 +49,8 @@ def audit_headlines(
     The critic sees the published headline as it is, and a repaired one after cleaning.
     """
     proposed = F.col("proposed")
-    published = with_snippet(
-        candidates.select("id", F.col("rephrased_title").alias("proposed"), "rephrased_article")
-    )
+    inputs = candidates.select("id", F.col("rephrased_title").alias("proposed"), "rephrased_article")
+    published = with_snippet(model.spread(inputs))
     judged = staging.save(
         with_lead(model.critique(published, templates.critic, proposed, "critic")), "critic"
     )
@@ -66,13 +65,13 @@ def audit_headlines(
         .drop("critic")
     )
     prompt = render(templates.safe, body_snippet=F.col("snippet"))
-    repaired = staging.save(with_repair(model.generate(wrong, prompt, REPAIR_CALL, "safe")), "repair")
+    repaired = staging.save(with_repair(model.generate(model.spread(wrong), prompt, REPAIR_CALL, "safe")), "repair")
     safe, fixed, first = F.col("safe"), F.col("fixed"), F.col("first")
     doubt = F.when(safe["error"].isNull(), F.col("doubt"))
     worthwhile = safe["error"].isNull() & F.col("doubt").isNull()
 
     rejudged = staging.save(
-        model.critique(repaired.filter(worthwhile), templates.critic, fixed, "critic").select(
+        model.critique(model.spread(repaired.filter(worthwhile)), templates.critic, fixed, "critic").select(
             "id", "lead", "fixed", "first", "critic"
         ),
         "repair_critic",

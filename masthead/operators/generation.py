@@ -44,9 +44,8 @@ def generate_headlines(
     A critic judges the text as the model wrote it; cleaning and the format check follow. An article without a
     title is an error.
     """
-    articles = with_snippet(
-        candidates.select("id", "rephrased_article", F.col("title").isNotNull().alias("titled"))
-    )
+    inputs = candidates.select("id", "rephrased_article", F.col("title").isNotNull().alias("titled"))
+    articles = with_snippet(model.spread(inputs))
     prompt = F.when(F.col("titled"), render(templates.hook, body_snippet=F.col("snippet")))
     hooked = staging.save(with_lead(model.generate(articles, prompt, HOOK_CALL, "hook")), "hook")
     hook = F.col("hook")
@@ -56,7 +55,7 @@ def generate_headlines(
     failed = critic["error"].isNotNull()
     approved = ~failed & critic["approved"]
     refused = ~failed & ~critic["approved"]
-    judged = model.critique(hooked.filter(written), templates.critic, hook["text"], "critic")
+    judged = model.critique(model.spread(hooked.filter(written)), templates.critic, hook["text"], "critic")
     judged = staging.save(_checked(judged, "hook"), "hook_critic")
 
     # Everything without an approved hook gets a second, safer text.
@@ -66,11 +65,11 @@ def generate_headlines(
     wrong = judged.filter(refused).withColumn("first", attempt("hook", hook["text"], refusal(critic)))
     retry = union_all([part.select("id", "snippet", "lead", "first") for part in (empty, wrong)])
     prompt = render(templates.safe, body_snippet=F.col("snippet"))
-    retried = staging.save(model.generate(retry, prompt, SAFE_CALL, "safe"), "safe")
+    retried = staging.save(model.generate(model.spread(retry), prompt, SAFE_CALL, "safe"), "safe")
     safe, first = F.col("safe"), F.col("first")
     rewritten = safe["error"].isNull() & (safe["text"] != "")
 
-    rejudged = model.critique(retried.filter(rewritten), templates.critic, safe["text"], "critic")
+    rejudged = model.critique(model.spread(retried.filter(rewritten)), templates.critic, safe["text"], "critic")
     rejudged = staging.save(_checked(rejudged.drop("snippet"), "safe"), "safe_critic")
 
     # What leaves the funnel at each stage.

@@ -80,13 +80,25 @@ class ModelRunner:
     """How to run a model.
 
     ``factory`` builds it. An importable function, or a value that compares equal to its copies, lets a worker
-    keep the model between tasks. ``batch`` is the number of prompts per call. ``partitions`` spreads the
-    rows of every call evenly; None keeps the partitions they come in.
+    keep the model between tasks. ``batch`` is the number of prompts per call.
+
+    Model calls are far slower than reading, so partitions sized for reading are too large for them:
+    ``rows_per_task`` counts the rows of every stage and spreads them accordingly, ``partitions`` spreads them
+    over a fixed number. With neither, rows stay in the partitions they come in.
     """
 
     factory: ModelFactory
     batch: int = 64
     partitions: int | None = None
+    rows_per_task: int | None = None
+
+    def spread(self, df: DataFrame) -> DataFrame:
+        """Distribute the rows of a stage by ``id``. To be called while they are narrow: before text is unpacked
+        or a prompt rendered. Ids are unique, so the partitions come out even."""
+        partitions = self.partitions
+        if self.rows_per_task:
+            partitions = max(1, -(-df.count() // self.rows_per_task))
+        return df.repartition(partitions, "id") if partitions else df
 
     def generate(self, df: DataFrame, prompt: Column, options: CallOptions, into: str) -> DataFrame:
         """Add ``into`` = ``struct<text, error>``, the model's answer to ``prompt``, cut and stripped. A NULL
@@ -94,8 +106,6 @@ class ModelRunner:
 
         The result must be staged before it is used more than once.
         """
-        if self.partitions:
-            df = df.repartition(self.partitions, "id")
         ask = _caller(self.factory, options, self.batch)
         answer = F.col(into)
         cut = F.struct(

@@ -257,7 +257,7 @@ def critic_standin(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = article_texts(spark, sf_dir).select("id", snippet(F.col("content")).alias("snippet"), "raw")
     # The texts come as one file; the calls are spread over all cores.
     runner = _runner(spark, partitions=spark.sparkContext.defaultParallelism)
-    judged = runner.critique(seen, load_templates().critic, F.col("raw"), "critic")
+    judged = runner.critique(runner.spread(seen), load_templates().critic, F.col("raw"), "critic")
     return judged.select("id", "critic.approved", "critic.error")
 
 

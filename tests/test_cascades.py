@@ -142,10 +142,10 @@ def script(tmp_path):
     return Script(str(tmp_path))
 
 
-def run_generation(spark, script, batch=64, partitions=None):
+def run_generation(spark, script, batch=64, partitions=None, rows_per_task=None):
     rows = [(n, "title", packed(case[0])) for n, case in enumerate(GENERATION.values())]
     df = spark.createDataFrame(rows, "id bigint, title string, rephrased_article binary")
-    return generate_headlines(df, ModelRunner(script, batch, partitions), TEMPLATES, Staging(spark))
+    return generate_headlines(df, ModelRunner(script, batch, partitions, rows_per_task), TEMPLATES, Staging(spark))
 
 
 def test_generation(spark, script):
@@ -154,9 +154,9 @@ def test_generation(spark, script):
     assert decisions.schema.simpleString() == spark.createDataFrame([], DECISIONS).schema.simpleString()
 
 
-@pytest.mark.parametrize(("batch", "partitions"), [(1, 3), (1000, 1)])
-def test_generation_does_not_depend_on_batching(spark, script, batch, partitions):
-    check(GENERATION, run_generation(spark, script, batch, partitions))
+@pytest.mark.parametrize(("batch", "partitions", "rows_per_task"), [(1, 3, None), (1000, 1, None), (3, None, 4)])
+def test_generation_does_not_depend_on_batching(spark, script, batch, partitions, rows_per_task):
+    check(GENERATION, run_generation(spark, script, batch, partitions, rows_per_task))
 
 
 def test_generation_asks_the_model_no_more_than_needed(spark, script):

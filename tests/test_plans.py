@@ -103,9 +103,15 @@ def test_model_stage_has_no_shuffle_and_a_small_plan(articles):
     assert "Exchange" not in text
     assert text.count("ArrowEvalPython") == 2
     assert len(text) < 60_000
-    assert "Exchange hashpartitioning(id" in plan(
-        ModelRunner(standin, partitions=7).generate(inputs, prompt, HOOK_CALL, "hook")
-    )
+
+
+def test_rows_are_spread_before_they_are_unpacked(articles):
+    packed = articles.select("id", "rephrased_article")
+    text = plan(with_snippet(ModelRunner(standin, partitions=7).spread(packed)))
+    assert text.index("ArrowEvalPython") < text.index("Exchange hashpartitioning(id")
+    for rows, expected in ((10, 5), (7, 8), (1000, 1)):
+        spread = ModelRunner(standin, partitions=3, rows_per_task=rows).spread(packed)
+        assert spread.rdd.getNumPartitions() == expected
 
 
 def test_text_is_not_unpacked_where_it_is_not_read(articles):
