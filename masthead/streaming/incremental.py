@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from masthead.operators.candidates import GENERATION_WINDOW_S, pending, recent
 from masthead.operators.generation import generate_headlines
 from masthead.operators.inference import ModelRunner
-from masthead.schema import ARTICLES
+from masthead.schema import ARTICLES, DECISIONS
 from masthead.sources.staging import Staging
 from masthead.sources.templates import Templates
 
@@ -62,9 +62,15 @@ def stream_headlines(
         waiting = once_per_id(waiting, window_s)
 
     def decide_batch(batch: DataFrame, batch_id: int) -> None:
-        with Staging(batch.sparkSession) as staging:
-            chosen = recent(batch, as_of(), window_s)
-            decisions = generate_headlines(chosen, model, templates, staging)
+        spark = batch.sparkSession
+        with Staging(spark) as staging:
+            # Written first: reading the micro-batch again would run its deduplication again.
+            chosen = recent(batch, as_of(), window_s).select("id", "title", "rephrased_article")
+            chosen = staging.save(chosen, "batch")
+            if chosen.isEmpty():
+                decisions = spark.createDataFrame([], DECISIONS)
+            else:
+                decisions = generate_headlines(chosen, model, templates, staging)
             decisions.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     return (

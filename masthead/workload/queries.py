@@ -371,11 +371,11 @@ def audit_outcome_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def streamed_headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The article files as a stream, two files at a time, into a log of decisions."""
+    """The article files as a stream, four files at a time, into a log of decisions."""
     staging = Staging(spark)
     out = staging.path("stream")
     run = stream_headlines(
-        stream_articles(spark, articles_path(spark, sf_dir), files_per_batch=2),
+        stream_articles(spark, articles_path(spark, sf_dir), files_per_batch=4),
         _runner(spark),
         load_templates(),
         out,
