@@ -19,7 +19,7 @@ def local_session(cores: int | str = "*", app: str = "masthead", **conf: str) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "8g")
-        # Building a job makes thousands of column calls; noting where each came from doubles their cost.
+        # Building a job makes thousands of column calls; do not note where each came from.
         .config("spark.sql.dataFrameQueryContext.enabled", "false")
     )
     for key, value in conf.items():
