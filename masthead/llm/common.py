@@ -17,10 +17,23 @@ from masthead.sources.staging import Staging
 SLAB = 1 << 20  # bytes of text worked on at once
 
 
+_open: list[Staging] = []
+
+
 def staging(spark: SparkSession) -> Staging:
-    """Staged tables in the folder of ``spark.checkpoint.dir``; makes the package importable in Python workers."""
+    """Staged tables in the folder of ``spark.checkpoint.dir``; makes the package importable in Python workers.
+
+    The results of operators are read from them lazily, so they stay until ``release``.
+    """
     ship_package(spark)
-    return Staging(spark)
+    _open.append(Staging(spark))
+    return _open[-1]
+
+
+def release() -> None:
+    """Delete the staged tables of all operators called so far; call it once their results have been written."""
+    while _open:
+        _open.pop().close()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

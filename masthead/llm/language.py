@@ -197,12 +197,15 @@ def sample(labelled: DataFrame) -> dict[str, list[str]]:
     return out
 
 
-def identify(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def identify(
+    docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None
+) -> DataFrame:
     """One row per row of ``docs``: doc_id, lang_pred, score (the posterior of the language, 0 to 1).
 
     ``labelled`` (doc_id, text, lang) is what may be learned from; rows without text, lang or id teach nothing. A null text,
     or one without letters, is ``und`` with score 0, as is everything if nothing could be learned. Rows that repeat an
-    id get a row each. An empty table gives no rows.
+    id get a row each, and ids may be null. An empty table gives no rows. With ``keep``, a struct ``kept`` of those columns
+    of the row comes along.
     """
     spark = docs.sparkSession
     staging(spark)
@@ -216,9 +219,21 @@ def identify(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_
                 texts = [data[limits[i] : limits[i + 1]].tobytes().decode() for i in range(first, last)]
                 found = shared.value.classify(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[first:last], pa.array([f[0] for f in found]), pa.array([f[1] for f in found], pa.float64())],
-                    ["doc_id", "lang_pred", "score"],
+                    [
+                        batch.column(0)[first:last],
+                        pa.array([f[0] for f in found], pa.string()),
+                        pa.array([f[1] for f in found], pa.float64()),
+                        *[column[first:last] for column in batch.columns[2:]],
+                    ],
+                    ["doc_id", "lang_pred", "score", *(["kept"] if keep else [])],
                 )
 
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return texts.mapInArrow(run, "doc_id long, lang_pred string, score double")
+    texts = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(text_col).cast("string").alias("text"),
+        *([F.struct(*keep).alias("kept")] if keep else []),
+    )
+    schema = "doc_id long, lang_pred string, score double"
+    if keep:
+        schema += f", kept {texts.schema['kept'].dataType.simpleString()}"
+    return texts.mapInArrow(run, schema)

@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from masthead.llm import exact, language, packing
+from masthead.llm import exact, jaccard, language, packing, pii
 from masthead.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,10 @@ def op2_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op4_adaptive_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_groups(table(spark, sf_dir, "documents"))
+
+
 def op6_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -39,5 +43,9 @@ def op7_large_item_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), word_tokenizer())
 
 
+def op9_information_theoretic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(table(spark, sf_dir, "documents")))
+
+
 def registered() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_cross_parsing, op6_chunk_recipes, op7_large_item_packing)}
+    return {f.__name__: f for f in (op2_cross_parsing, op4_adaptive_prefix_join, op6_chunk_recipes, op7_large_item_packing, op9_information_theoretic)}
