@@ -19,10 +19,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from masthead.llm.common import slabs, staging, utf8
+from masthead.llm.memory import WordMemory
 
 CAPACITY = 2048
 SEPARATOR = 0  # id after each document
-KNOWN_WORDS = 300_000  # ids of words a worker remembers
+WORD_END = "</w>"  # what the last token of a word ends with, in vocabularies that mark it
 
 _PIECE_FIELDS = [
     ("doc_id", pa.int64()),
@@ -37,28 +38,61 @@ _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part
 
 
 class WordEncoder:
-    """Ids of texts, for tokenizers that treat what ASCII white space separates independently of each other.
+    """Ids of texts, for a tokenizer that lower-cases, and takes white space and changes between letters and punctuation as
+    limits of what it encodes.
 
-    Distinct words are encoded once and remembered, at most ``KNOWN_WORDS`` at a time.
+    Many texts are lower-cased and split in that way at once, and distinct words are encoded once and remembered. Where the opening of a special token occurs, texts are split at white space only.
     """
 
     def __init__(self, definition: str) -> None:
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.known: dict[bytes, list[int]] = {}
-
-    def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
-        split = [text.split() for text in texts]
-        new = list(set(chain.from_iterable(split)).difference(self.known))
-        if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known = {}
-            new = list(set(chain.from_iterable(split)))
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        self.known.update(zip(new, (x.ids for x in found), strict=True))
-        ids_of = self.known.__getitem__
-        for own in split:
-            yield np.fromiter(chain(chain.from_iterable(map(ids_of, own)), (SEPARATOR,)), np.uint32)
+        self.special = os.path.commonprefix([t.content for t in self.tokenizer.get_added_tokens_decoder().values()]).encode()
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        self.memory = WordMemory(self.encoded)
+
+    def encoded(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words, and how many each has. Words of letters have one last token each, so many can be encoded as one text."""
+        words = [w.decode() for w in raw]
+        out: list[list[int]] = [[]] * len(words)
+        alone = range(len(words))
+        if self.last.any():
+            plain = [i for i, w in enumerate(words) if w.isalpha()]
+            for at in range(0, len(plain), 1000):
+                part = plain[at : at + 1000]
+                ids = self.tokenizer.encode_batch_fast([" ".join([words[i] for i in part])], add_special_tokens=False)[0].ids
+                ends = (np.flatnonzero(self.last[ids]) + 1).tolist()
+                if len(ends) == len(part):
+                    for i, first, last in zip(part, [0, *ends], ends, strict=False):
+                        out[i] = ids[first:last]
+            alone = [i for i, ids in enumerate(out) if not ids]
+        found = self.tokenizer.encode_batch_fast([words[i] for i in alone], add_special_tokens=False)
+        for i, x in zip(alone, found, strict=True):
+            out[i] = x.ids
+        return np.fromiter(chain.from_iterable(out), np.uint32), np.fromiter(map(len, out), np.int64, len(out))
+
+    def split(self, data: np.ndarray, limits: np.ndarray) -> list[list[bytes]]:
+        """The words of each text."""
+        if not self.special or self.special not in data.tobytes():
+            data = data + ((data >= 65) & (data <= 90)).astype(np.uint8) * np.uint8(32)
+            letter = (data >= 97) & (data <= 122)
+            mark = (data > 32) & (data < 127) & ~letter & ~((data >= 48) & (data <= 57)) & (data != 39)
+            at = np.flatnonzero(letter[:-1] & mark[1:]) + 1
+            data = np.insert(data, at, 32)
+            limits = limits + np.searchsorted(at, limits, "left")
+        raw = data.tobytes()
+        return [raw[a:b].split() for a, b in zip(limits[:-1].tolist(), limits[1:].tolist(), strict=True)]
+
+    def encode(self, data: np.ndarray, limits: np.ndarray) -> Iterator[np.ndarray]:
+        """The ids of each text, with the separator."""
+        for ids in self.memory.ids_of(self.split(data, limits)):
+            yield np.append(ids, np.uint32(SEPARATOR))
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -79,14 +113,15 @@ def pieces(docs: DataFrame, definition: str, capacity: int = CAPACITY, with_ids:
             data, limits = utf8(batch.column(1))
             for first, last in slabs(limits):
                 rows, kept = [], []
-                texts = [data[limits[i] : limits[i + 1]].tobytes() for i in range(first, last)]
-                for doc_id, ids in zip(batch.column(0)[first:last].to_pylist(), encoder.encode(texts), strict=True):
+                own = encoder.encode(data[limits[first] : limits[last]], limits[first : last + 1] - limits[first])
+                for doc_id, ids in zip(batch.column(0)[first:last].to_pylist(), own, strict=True):
                     for number, start in enumerate(range(0, len(ids), capacity)):
-                        own = ids[start : start + capacity]
-                        n = len(own)
-                        rows.append((doc_id, number, start, n, zlib.crc32(own.astype("<u4").tobytes()), part, int(counts[n])))
+                        piece = ids[start : start + capacity]
+                        n = len(piece)
+                        rows.append((doc_id, number, start, n, zlib.crc32(piece.astype("<u4").tobytes()), part, int(counts[n])))
                         counts[n] += 1
-                        kept.append(own.astype(np.int32))
+                        if with_ids:
+                            kept.append(piece.astype(np.int32))
                 columns = [pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), _PIECE_FIELDS, strict=True)]
                 names = [name for name, _ in _PIECE_FIELDS]
                 if with_ids:

@@ -14,8 +14,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
-from itertools import chain
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,10 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from masthead.llm.common import mix, prefix_hash, slabs, span_hash, staging, utf8
+from masthead.llm.memory import WordMemory
 
 SPACE = "▁"
-KNOWN_WORDS = 300_000  # words a worker remembers
 UNKNOWN_PENALTY = 10.0  # below the lowest score
+NONE = -(1 << 40)
 CELLS = 1 << 20  # characters of equally long words that advance together
 
 
@@ -42,7 +42,6 @@ class Pieces:
     scores: list[float]
     kinds: list[int]
     unknown: int
-    known: dict[str, tuple[int, ...]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         own = [i for i, kind in enumerate(self.kinds) if kind == 0 and self.names[i]]
@@ -62,15 +61,20 @@ class Pieces:
         inside = {c for i in own if len(self.names[i]) > 1 for c in self.names[i]} - {SPACE}
         reach = "".join(re.escape(c) for c in sorted(inside))
         self.cut = re.compile(f"{SPACE}*[{reach}]+|{SPACE}+|[^{SPACE}{reach}]" if reach else f"{SPACE}+|[^{SPACE}]", re.S)
-        self.plain = [n.replace(SPACE, " ") for n in self.names]
+        self.plain = [n.replace(SPACE, " ").encode() if kind == 0 else b"" for n, kind in zip(self.names, self.kinds, strict=True)]
+        for byte, i in self.bytes.items():
+            self.plain[i] = bytes([byte])
+        if self.unknown >= 0:
+            self.plain[self.unknown] = " ⁇ ".encode()
+        self.memory = WordMemory(self.learn)
 
     @staticmethod
     def _key(name: str) -> int:
         points = np.array([ord(c) for c in name], np.uint32)
         return int(span_hash(prefix_hash(_code(points)), np.array([0]), np.array([len(name)]))[0])
 
-    def _best(self, words: np.ndarray) -> list[tuple[int, ...]]:
-        """Ids of equally long words, a row of code points each; -1 - code point stands for an unknown character."""
+    def _best(self, words: np.ndarray) -> list[np.ndarray]:
+        """Ids of equally long words, a row of code points each."""
         count, length = words.shape
         flat = prefix_hash(_code(words.ravel()))
         base = np.arange(count) * length
@@ -96,64 +100,52 @@ class Pieces:
             start[:, end] = froms[choice]
             unknown = -1 - words[:, end - 1].astype(np.int64)
             piece[:, end] = np.where(found[rows, choice], self.ids[at[rows, choice]], unknown)
-        out = []
-        for row in range(count):
-            path, end = [], length
-            while end:
-                path.append(int(piece[row, end]))
-                end = int(start[row, end])
-            out.append(tuple(path[::-1]))
-        return out
-
-    def _bytes_of(self, path: tuple[int, ...]) -> tuple[int, ...]:
-        if min(path) >= 0:
+        steps, at = [], np.full(count, length)
+        while at.any():
+            steps.append(np.where(at > 0, piece[rows, at], NONE))
+            at = start[rows, at]
+        path = np.stack(steps[::-1], 1)  # right-aligned, NONE before the first
+        counts = (path != NONE).sum(1)
+        ids = path[path != NONE]
+        return np.split(ids, np.cumsum(counts)[:-1])
+
+    def _spelt(self, path: np.ndarray) -> np.ndarray:
+        """Unknown characters (-1 - code point) as their bytes, if the vocabulary has bytes, or as unknown."""
+        if not len(path) or path.min() >= 0:
             return path
-        ids: list[int] = []
-        for one in path:
+        out: list[int] = []
+        for one in path.tolist():
             if one >= 0:
-                ids.append(one)
+                out.append(one)
             elif len(self.bytes) == 256:
-                ids += [self.bytes[b] for b in chr(-1 - one).encode("utf-8", "replace")]
+                out += [self.bytes[b] for b in chr(-1 - one).encode("utf-8", "replace")]
             else:
-                ids.append(self.unknown)
-        return tuple(ids)
-
-    def learn(self, words: list[str]) -> None:
-        """Remember the ids of words."""
-        by_length: dict[int, list[str]] = {}
-        for word in words:
-            by_length.setdefault(len(word), []).append(word)
+                out.append(self.unknown)
+        return np.array(out)
+
+    def learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words, one after the other, and how many each has."""
+        by_length: dict[int, list[int]] = {}
+        for i, word in enumerate(words):
+            by_length.setdefault(len(word), []).append(i)
+        found: list[np.ndarray] = [np.zeros(0, np.int64)] * len(words)
         for length, group in by_length.items():
             step = max(1, CELLS // (length * min(length, self.longest)))
             for at in range(0, len(group), step):
                 part = group[at : at + step]
-                points = np.frombuffer("".join(part).encode("utf-32-le"), np.uint32).reshape(len(part), length)
-                self.known.update(zip(part, map(self._bytes_of, self._best(points)), strict=True))
+                points = np.frombuffer("".join([words[i] for i in part]).encode("utf-32-le"), np.uint32).reshape(len(part), length)
+                for i, path in zip(part, self._best(points), strict=True):
+                    found[i] = self._spelt(path)
+        return np.concatenate(found), np.fromiter(map(len, found), np.int64, len(found))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text; a space is put before a text, an empty text has no ids."""
         split = [self.cut.findall(SPACE + text.replace(" ", SPACE)) if text else [] for text in texts]
-        new = set(chain.from_iterable(split)).difference(self.known)
-        if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known.clear()
-            new = set(chain.from_iterable(split))
-        self.learn(list(new))
-        ids_of = self.known.__getitem__
-        return [np.fromiter(chain.from_iterable(map(ids_of, own)), np.int32) for own in split]
+        return [ids.astype(np.int32) for ids in self.memory.ids_of(split)]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: U+2581 comes back as a space, bytes that are no UTF-8 as U+FFFD."""
-        numbers = ids.tolist()
-        if not any(self.kinds[i] for i in set(numbers)):
-            return "".join([self.plain[i] for i in numbers])[1:]
-        parts: list[bytes] = []
-        for i in numbers:
-            kind = self.kinds[i]
-            if kind == 2:
-                parts.append(bytes([int(self.names[i][3:5], 16)]))
-            elif kind == 0 or i == self.unknown:
-                parts.append(self.plain[i].encode() if kind == 0 else " ⁇ ".encode())
-        return b"".join(parts).decode("utf-8", "replace")[1:]
+        return b"".join(map(self.plain.__getitem__, ids.tolist())).decode("utf-8", "replace")[1:]
 
 
 def read_pieces(path: str) -> Pieces:
