@@ -10,9 +10,10 @@ their first n - t + l, for every l. That is used twice:
    sets share k of its shingles, and the estimate uses the counts from step 1. Pairs that share the smaller of their k are verified
    on their whole sets.
 
-Candidates are verified in two rounds. First each set only with the most central set of each shingle; the sets found alike are
-joined to components. Then all remaining pairs that share enough, but only across components, as a further link
-inside one changes nothing. Equal sets are one class from the start.
+Candidates are verified in two steps. First each set only with one set of each shingle, the most central and then some
+others; sets found alike are joined to components. Then all remaining pairs that share enough, but only across components, as a further link
+inside one changes nothing: there, prefixes are taken from the whole sets and only from shingles that occur in several
+components. Equal sets are one class from the start.
 """
 
 from __future__ import annotations
@@ -30,6 +31,9 @@ from masthead.sources.staging import Staging
 
 PERCENT = 75  # similarity of linked texts
 REACH = 0.2  # matches asked for in the first step, as a share of the least overlap
+CENTRAL_ROUNDS = 2  # of the first kind of candidates, at most
+CENTRES = 4  # sets per group picked in a round
+SIZE_STEP = 1.05  # ratio of neighbouring classes of set sizes
 MOST_MATCHES = 8  # largest k tried
 VERIFY_COST = 20  # cost of verifying a candidate, in probes
 POSTINGS = 1_000_000  # of a bucket, and of a task's buffer
@@ -170,19 +174,15 @@ def _repeated(postings: DataFrame, buckets: int) -> DataFrame:
     return postings.groupBy("bucket").applyInArrow(run, "node long, token long, df int")
 
 
-def _second_prefix(repeated: DataFrame, classes: DataFrame) -> DataFrame:
-    """(node, n, hub, k, token): the prefixes of all sets that can have a partner; hub is the share of repeated shingles."""
-    found = repeated.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("found"))
-    n = F.col("n")
-    least = _least(n)
-    matches = F.greatest(F.lit(1), F.ceil(F.lit(REACH) * least))
-    needed = F.greatest(F.lit(1), F.ceil(F.lit(REACH) * _least(least)))
+def _prefixes(found: DataFrame) -> DataFrame:
+    """(node, n, k, token, ...): the rarest shingles of each row's ``found`` (df, token), in which a partner must have k.
+
+    ``found`` holds what can be shared with a partner at all, and a partner has ``needed`` of it: rows with fewer go. Which k pays
+    is estimated from the counts: probes for a longer prefix, and verifications of what shares k of it.
+    """
     return (
-        found.join(classes.select("node", "n"), "node")
-        .withColumn("spare", F.size("found") - needed)
+        found.withColumn("spare", F.size("found") - F.col("needed"))
         .filter("spare >= 0")
-        .withColumn("hub", F.size("found") / (n - least + matches))
-        .withColumn("needed", needed)
         .withColumn(
             "k",
             F.expr(
@@ -190,10 +190,21 @@ def _second_prefix(repeated: DataFrame, classes: DataFrame) -> DataFrame:
                 aggregate(slice(found, 1, int(spare) + k), 0d, (a, x) -> a + x.df - 1) * (1 + {VERIFY_COST} / k) as cost, k as k))).k"""
             ),
         )
-        .select("node", "n", "hub", "k", F.explode(F.expr("slice(found, 1, int(spare) + k).token")).alias("token"))
+        .withColumn("token", F.explode(F.expr("slice(found, 1, int(spare) + k).token")))
+        .drop("found", "spare", "needed")
     )
 
 
+def _first_found(repeated: DataFrame, classes: DataFrame) -> DataFrame:
+    """The repeated shingles of each set's first prefix; hub is the mean of their counts, the highest where all is shared."""
+    found = repeated.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("found"))
+    least = _least(F.col("n"))
+    matches = F.greatest(F.lit(1), F.ceil(F.lit(REACH) * least))
+    needed = F.greatest(F.lit(1), F.ceil(F.lit(REACH) * _least(least)))
+    hub = F.expr("aggregate(found, 0d, (a, x) -> a + x.df)") / (F.col("n") - least + matches)
+    return found.join(classes.select("node", "n"), "node").select("node", "n", "found", needed.alias("needed"), hub.alias("hub"))
+
+
 def _sized(a: Column, b: Column) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
 
@@ -224,41 +235,69 @@ def _whole_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return chosen.mapInArrow(run, "node long, tokens array<long>")
 
 
+def _size_class(n: Column) -> Column:
+    """The largest power of SIZE_STEP that is at most n, as exponent."""
+    return F.floor(F.log(n.cast("double")) / F.log(F.lit(SIZE_STEP)) + 1e-9)
+
+
+def _candidates(prefixes: DataFrame, other: DataFrame, condition: Column, on: tuple | list = ("token",)) -> DataFrame:
+    """Pairs (a, b) that share the smaller of their k; ``other`` has node_b, n_b and k_b."""
+    return (
+        prefixes.join(other, list(on))
+        .filter(condition & _sized(F.col("n"), F.col("n_b")))
+        .groupBy(F.col("node").alias("a"), F.col("node_b").alias("b"))
+        .agg(F.count("*").alias("c"), F.first(F.least("k", "k_b")).alias("k"))
+        .filter("c >= k")
+        .select("a", "b")
+    )
+
+
 def _links(texts: DataFrame, classes: DataFrame, total: int, common: list[int], stage: Staging) -> DataFrame:
     """(node, component) of the nodes that have a link."""
     buckets = max(128, int(total * 0.4) // POSTINGS)
     repeated = _repeated(_buckets(texts, buckets, common), buckets)
-    prefixes = stage.save(_second_prefix(repeated, classes), "prefixes")
+    prefixes = stage.save(_prefixes(_first_found(repeated, classes)), "prefixes")
     wanted = classes.join(prefixes.select("node").distinct(), "node", "left_semi").select("doc_id")
     sets = stage.save(_whole_sets(texts, wanted), "sets")
 
-    top = prefixes.groupBy("token").agg(F.max(F.struct("hub", "node", "n", "k")).alias("top"), F.count("*").alias("c"))
-    top = stage.save(top.filter("c > 1").select("token", "top.*").toDF("token", "hub", "b", "n_b", "k_b"), "centres")
-    near = (
-        prefixes.drop("hub")
-        .join(top.drop("hub"), "token")
-        .filter(_sized(F.col("n"), F.col("n_b")) & (F.col("node") != F.col("b")))
-        .groupBy(F.col("node").alias("a"), "b")
-        .agg(F.count("*").alias("c"), F.first(F.least("k", "k_b")).alias("k"))
-        .filter("c >= k")
-        .select("a", "b")
-    )
-    links = stage.save(_verified(near, sets), "central-links")
-    joined = stage.save(components(links, stage, "central"), "central-components").toDF("node", "component")
-    rest = stage.save(
-        prefixes.drop("hub").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")), "rest"
-    )
-    several = rest.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    rest = stage.save(rest.join(several.select("token"), "token", "left_semi"), "across")
-    other = rest.toDF(*["token", *[f"{c}_b" for c in rest.columns[1:]]])
-    far = (
-        rest.join(other, "token")
-        .filter((F.col("component") < F.col("component_b")) & _sized(F.col("n"), F.col("n_b")))
-        .groupBy(F.col("node").alias("a"), F.col("node_b").alias("b"))
-        .agg(F.count("*").alias("c"), F.first(F.least("k", "k_b")).alias("k"))
-        .filter("c >= k")
-        .select("a", "b")
-    )
+    found = stage.save(prefixes.withColumn("component", F.col("node")), "components-0")
+    links = None
+    for number in range(CENTRAL_ROUNDS):
+        # The most central set of a shingle first, then some picked at random: large groups of similar sets come together.
+        first = F.col("hub") if not number else F.xxhash64("node", F.pmod("token", F.lit(CENTRES)), F.lit(number))
+        top = found.groupBy("token").agg(F.max(F.struct(first, "node", "n", "k", "component")).alias("top"), F.count("*").alias("c"))
+        names = ("node", "n", "k", "component")
+        top = top.filter("c > 1").select("token", *[F.col(f"top.{c}").alias(f"{c}_b") for c in names])
+        near = _candidates(found, stage.save(top, f"centres-{number}"), F.col("component") != F.col("component_b"))
+        own = stage.save(_verified(near, sets), f"central-links-{number}")
+        if own.isEmpty() and number:
+            break
+        links = own if links is None else links.union(own)
+        joined = components(links, stage, f"central-{number}").toDF("node", "component")
+        found = prefixes.join(stage.save(joined, f"joined-{number}"), "node", "left")
+        found = stage.save(found.withColumn("component", F.coalesce("component", "node")), f"components-{number + 1}")
+
+    # What is left lies across components. Only shingles that occur in several of them can be shared there, and of these a set
+    # must have as many as it must share, which leaves few sets; their whole sets are put in order anew.
+    span = [F.min("component").alias("low"), F.max("component").alias("high")]
+    several = stage.save(found.groupBy("token").agg(*span).filter("low < high").select("token"), "spanning")
+    open_ = stage.save(found.join(several, "token", "left_semi").select("node", "n", "component").distinct(), "open")
+    tokens = stage.save(open_.join(sets.dropDuplicates(["node"]), "node").withColumn("token", F.explode("tokens")).drop("tokens"), "open-sets")
+    # The closer two sizes are, the more must be shared: partners are looked for by class of size.
+    tokens = tokens.withColumn("size", _size_class(F.col("n")))
+    each = tokens.groupBy("token", F.col("size").alias("size_b")).agg(F.count("*").alias("df"), *span)
+    every = each.groupBy("token").agg(F.sum("df").alias("df"), F.min("low").alias("from"), F.max("high").alias("to"))
+    each = each.drop("df").join(every.filter("from < to").drop("from", "to"), "token")
+    apart = (F.col("low") != F.col("component")) | (F.col("high") != F.col("component"))
+    within = F.col("size_b").between(_size_class(_least(F.col("n"))), _size_class(F.floor(F.col("n") * 100 / PERCENT)))
+    found = tokens.join(stage.save(each, "spanning-in-open"), "token").filter(apart & within)
+    found = found.groupBy("node", "n", "component", "size", "size_b")
+    found = found.agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("found"))
+    smallest = F.greatest(_least(F.col("n")), F.ceil(F.pow(F.lit(SIZE_STEP), F.col("size_b")) - 1e-6))
+    needed = F.greatest(_least(F.col("n")), F.ceil((F.col("n") + smallest) * PERCENT / (100 + PERCENT)))
+    rest = stage.save(_prefixes(found.withColumn("needed", needed)), "rest")
+    other = rest.select("token", F.col("size").alias("size_b"), F.col("size_b").alias("size"), *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "k", "component")])
+    far = _candidates(rest, other, F.col("component") < F.col("component_b"), ["token", "size", "size_b"])
     return components(links.union(_verified(far, sets)), stage, "all")
 
 
