@@ -15,6 +15,11 @@ _WRAPPERS = "\"'*"
 _STEPS = ("_bare", "_depth", "_unwrapped", "_flat")
 
 
+def _edge(stripped: Column) -> Column:
+    """The wrapper characters a text begins with, and the white space among them."""
+    return F.regexp_extract(stripped, f"^[{_WRAPPERS}{WS}]*+", 0)
+
+
 def _marks(edge: Column) -> Column:
     return F.regexp_replace(edge, f"[{WS}]+", "")
 
@@ -25,20 +30,29 @@ def wrapper_depth(stripped: Column) -> Column:
     The wrapper characters at the front, and those at the back read backwards, agree on exactly as many
     places as there are pairs to remove, so the depth is the length of their longest common prefix. A
     text made of wrappers alone that reads the same both ways agrees everywhere and vanishes whole.
+
+    The prefix ends before the first place that differs. Written side by side, every place takes the eight characters
+    of ``{a, b}, ``, so one search finds it in time linear in the number of wrappers.
     """
-    front = _marks(F.regexp_extract(stripped, f"^[{_WRAPPERS}{WS}]*", 0))
-    back = _marks(F.regexp_extract(F.reverse(stripped), f"^[{_WRAPPERS}{WS}]*", 0))
-    both = F.concat(front, F.lit("\x00"), back)
-    pairs = F.length(F.regexp_extract(both, r"^(.*).*\x00\1", 1))
-    return F.when(F.substring(stripped, 1, 1).isin(list(_WRAPPERS)), pairs).otherwise(0)
+    front, back = _marks(_edge(stripped)), _marks(_edge(F.reverse(stripped)))
+    shorter = F.least(F.length(front), F.length(back))
+    places = F.arrays_zip(*[F.split(F.left(marks, shorter), "") for marks in (front, back)]).cast("string")
+    differs = F.regexp_instr(places, F.lit(r"\{(.), (?!\1)"))
+    agree = F.when(differs == 0, shorter).otherwise(F.floor((differs - 2) / 8).cast("int"))
+    wrapped = F.substring(stripped, 1, 1).isin(list(_WRAPPERS)) & F.substring(stripped, -1, 1).isin(list(_WRAPPERS))
+    return F.when(wrapped, agree).otherwise(0)
+
+
+def _span(edge: Column, depth: Column) -> Column:
+    """How many characters of ``edge`` lead up to its ``depth``-th wrapper, that one included."""
+    blanks = F.array_join(F.slice(F.split(edge, f"[{_WRAPPERS}]"), F.lit(1), depth), "")
+    return depth + F.length(blanks)
 
 
 def unwrap(stripped: Column, depth: Column) -> Column:
     """Remove ``depth`` wrapper pairs and the white space between them."""
-    times = F.concat(F.lit("{"), depth.cast("string"), F.lit("}"))
-    front = F.concat(F.lit(f"^(?:[{WS}]*[{_WRAPPERS}])"), times)
-    back = F.concat(F.lit(f"(?:[{_WRAPPERS}][{WS}]*)"), times, F.lit("\\z"))
-    bare = F.regexp_replace(F.regexp_replace(stripped, front, F.lit("")), back, F.lit(""))
+    front, back = _span(_edge(stripped), depth), _span(_edge(F.reverse(stripped)), depth)
+    bare = F.substr(stripped, front + 1, F.length(stripped) - front - back)
     return F.when(depth > 0, strip(bare)).otherwise(stripped)
 
 
