@@ -1,7 +1,7 @@
 """Command line of the two jobs, for spark-submit.
 
     spark-submit --py-files masthead.zip masthead/main.py generate \\
-        --articles <folder> --out <folder> --model my_models:factory [--all | --batch-size N]
+        --articles <folder> --out <folder> --model my_models:factory [--batch-size N]
 
 ``--model`` names a function without arguments that builds the model on the workers.
 """
@@ -14,7 +14,6 @@ from importlib import import_module
 
 from pyspark.sql import SparkSession
 
-from masthead.operators.candidates import AUDIT_BATCH, GENERATION_BATCH, GENERATION_TEST_BATCH
 from masthead.operators.inference import ModelRunner
 from masthead.plans.jobs import Run, run_audit, run_generation
 from masthead.sources.articles import read_articles
@@ -29,26 +28,17 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--model", required=True, help="module:function that builds the model")
     parser.add_argument("--templates", help="folder with hook.txt, safe.txt and critic.txt")
     parser.add_argument("--as-of", type=int, help="epoch seconds the windows end at; default now")
-    parser.add_argument("--batch-size", type=int, help="most articles of this run")
-    parser.add_argument("--all", action="store_true", help="no limit: everything in the window")
-    parser.add_argument("--test-run", action="store_true", help="a batch of 50")
+    parser.add_argument("--batch-size", type=int, help="at most this many articles, the newest; default all of the window")
     parser.add_argument("--shard", type=int)
     parser.add_argument("--num-shards", type=int, default=1)
     parser.add_argument("--model-partitions", type=int, help="partitions of every model call")
     parser.add_argument("--rows-per-task", type=int, help="rows of a model call per task; beats the former")
     parser.add_argument("--prompts-per-call", type=int, default=64)
     parser.add_argument("--in-place", action="store_true", help="write the decisions into the article table")
-    return parser.parse_args(argv)
-
-
-def batch_size(args: argparse.Namespace) -> int | None:
-    if args.all:
-        return None
-    if args.batch_size is not None:
-        return args.batch_size
-    if args.job == "audit":
-        return AUDIT_BATCH
-    return GENERATION_TEST_BATCH if args.test_run else GENERATION_BATCH
+    args = parser.parse_args(argv)
+    if args.in_place and args.shard is not None:
+        parser.error("--in-place replaces whole days, so runs of several shards would undo each other")
+    return args
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> Run:
@@ -62,7 +52,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> Run:
         load_templates(spark, args.templates),
         args.out,
         as_of=int(time.time()) if args.as_of is None else args.as_of,
-        limit=batch_size(args),
+        limit=args.batch_size,
         shards=args.num_shards,
         number=args.shard,
         store=args.articles if args.in_place else None,

@@ -11,16 +11,12 @@ from pyspark.sql import functions as F
 
 from masthead.schema import DAY_COLUMN, DAY_S
 
-# How far back the two jobs look, and their batch sizes.
+# How far back the two jobs look, and the batch sizes one may ask for. Without a size, a run takes all.
 GENERATION_WINDOW_S = 86400
 AUDIT_WINDOW_S = 3 * 86400
 GENERATION_BATCH = 10
-GENERATION_TEST_BATCH = 50
 AUDIT_BATCH = 20
 
-TOP_K_ROWS = 10_000  # a larger batch is found by its cutoff key instead of being gathered in one task
-_BINS = 1024
-
 
 def recent(df: DataFrame, as_of: int, window_s: int) -> DataFrame:
     """Articles scraped no longer than ``window_s`` seconds before ``as_of``, the border included.
@@ -55,54 +51,21 @@ def shard(df: DataFrame, shards: int = 1, number: int | None = None) -> DataFram
 
 
 def newest(df: DataFrame, limit: int | None) -> DataFrame:
-    """The ``limit`` newest articles (all without a limit); of equally old ones, the higher ids.
+    """The ``limit`` newest articles (all without a limit); of equally old ones, the higher ids. Undated ones come last,
+    and of rows that agree in both, as many are taken as there is room for.
 
-    Small batches are a top-k, each task keeping ``limit`` rows. Larger ones are cut off at the key of the
-    last row that belongs to them, so that no task ever holds the batch.
+    The top-k gathers the two key columns alone; the articles meet the chosen keys by an equi-join, so no task holds
+    the batch with its texts, however large it is.
     """
     if limit is None:
         return df
-    if limit <= TOP_K_ROWS:
-        return df.orderBy(F.desc("scraped_at"), F.desc("id")).limit(limit)
-    keys = df.select("scraped_at", "id")
-    last, missing = _nth_largest(keys, "scraped_at", limit)
-    if missing is None:
-        return df
-    last_id, missing = _nth_largest(keys.filter(F.col("scraped_at") == last), "id", missing)
-    newer = F.col("scraped_at") > last
-    if missing is None:
-        return df.filter(newer | (F.col("scraped_at") == last))
-    return df.filter(newer | ((F.col("scraped_at") == last) & (F.col("id") >= last_id)))
-
-
-def _nth_largest(keys: DataFrame, column: str, n: int) -> tuple[int | None, int | None]:
-    """The value of the ``n``-th largest row, and how many of the rows with that value are among the first
-    ``n``; (None, None) if there are no more than ``n`` rows.
-
-    Each round counts the rows in at most 1024 equal ranges and goes on inside the range that holds the row.
-    Only those counts reach the driver.
-    """
-    value = F.col(column)
-    low, high, rows = keys.agg(F.min(value), F.max(value), F.count(value)).first()
-    if rows <= n:
-        return None, None
-    while low < high:
-        width = -(-(high - low + 1) // _BINS)
-        start = low
-        counts = (
-            keys.filter(value.between(low, high))
-            .groupBy(F.expr(f"({column} - {start}) div {width}").alias("bin"))
-            .count()
-            .orderBy(F.desc("bin"))
-            .collect()
-        )
-        for found, count in counts:
-            if n <= count:
-                low = start + found * width
-                high = min(high, low + width - 1)
-                break
-            n -= count
-    return low, n
+    columns = df.columns
+    keys = df.select("scraped_at", "id").orderBy(F.desc("scraped_at"), F.desc("id")).limit(limit)
+    keys = keys.groupBy(F.col("scraped_at").alias("_at"), F.col("id").alias("_id")).agg(F.count(F.lit(1)).alias("_room"))
+    same = F.col("scraped_at").eqNullSafe(F.col("_at")) & F.col("id").eqNullSafe(F.col("_id"))
+    copies = Window.partitionBy("_at", "_id").orderBy(F.lit(0))
+    chosen = df.join(keys, same).withColumn("_nth", F.row_number().over(copies))
+    return chosen.filter(F.col("_nth") <= F.col("_room")).select(*columns)
 
 
 def newest_per_shard(df: DataFrame, shards: int, limit: int, salts: int = 16) -> DataFrame:
@@ -150,7 +113,7 @@ def any_unverified(df: DataFrame, as_of: int, window_s: int = AUDIT_WINDOW_S) ->
 def generation_candidates(
     articles: DataFrame,
     as_of: int,
-    limit: int | None = GENERATION_BATCH,
+    limit: int | None = None,
     window_s: int = GENERATION_WINDOW_S,
     shards: int = 1,
     number: int | None = None,
@@ -162,7 +125,7 @@ def generation_candidates(
 def audit_candidates(
     articles: DataFrame,
     as_of: int,
-    limit: int | None = AUDIT_BATCH,
+    limit: int | None = None,
     window_s: int = AUDIT_WINDOW_S,
     shards: int = 1,
     number: int | None = None,

@@ -9,11 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from masthead.operators.audit import audit_headlines
 from masthead.operators.candidates import (
-    AUDIT_BATCH,
     AUDIT_WINDOW_S,
-    GENERATION_BATCH,
     GENERATION_WINDOW_S,
-    TOP_K_ROWS,
     audit_candidates,
     generation_candidates,
 )
@@ -46,12 +43,12 @@ def run_generation(
     templates: Templates,
     out: str,
     as_of: int,
-    limit: int | None = GENERATION_BATCH,
+    limit: int | None = None,
     shards: int = 1,
     number: int | None = None,
     store: str | None = None,
 ) -> Run:
-    """Give waiting articles a headline. ``limit=None`` takes all of them in one run.
+    """Give waiting articles a headline: all of the window, or with ``limit`` the newest.
 
     Writes ``<out>/decisions`` and appends to ``<out>/rejections``. With ``store``, the folder ``articles`` was
     read from, the decisions are also written into the stored table.
@@ -70,7 +67,7 @@ def run_audit(
     templates: Templates,
     out: str,
     as_of: int,
-    limit: int | None = AUDIT_BATCH,
+    limit: int | None = None,
     shards: int = 1,
     number: int | None = None,
     store: str | None = None,
@@ -94,9 +91,8 @@ def _decide(
 ) -> DataFrame:
     with Staging(spark) as staging:
         if limit is not None:
-            if limit <= TOP_K_ROWS:
-                # A top-k ends in one partition; the model should have more.
-                chosen = chosen.repartition(max(1, min(limit, spark.sparkContext.defaultParallelism)), "id")
+            # A small batch comes in one partition; the model should have more.
+            chosen = chosen.repartition(max(1, min(limit, spark.sparkContext.defaultParallelism)), "id")
             # Text is unpacked behind the top-k: Spark would otherwise unpack every candidate first.
             chosen = staging.save(chosen, "batch")
         cascade(chosen, model, templates, staging).write.parquet(f"{out}/decisions")

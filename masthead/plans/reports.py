@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from masthead.functions.skip import skip_reason
 from masthead.functions.validate import reason_kind, with_format_reason
-from masthead.operators.candidates import AUDIT_WINDOW_S, GENERATION_BATCH, any_unverified, headline_state
+from masthead.operators.candidates import AUDIT_WINDOW_S, any_unverified, headline_state
 
 
 def _count(*outcomes: str) -> Column:
     return F.count_if(F.col("outcome").isin(*outcomes))
 
 
-def generation_summary(decisions: DataFrame, batch: int | None = GENERATION_BATCH) -> DataFrame:
+def generation_summary(decisions: DataFrame, batch: int | None = None) -> DataFrame:
     """Counters of a generation run. Only model headlines count as processed. ``has_more`` says that the batch
     was full, so it is also true when the batch was an exact fit."""
     loaded = F.count(F.lit(1))
@@ -51,15 +51,18 @@ def outcome_report(decisions: DataFrame) -> DataFrame:
 
 def format_report(df: DataFrame, headline: str, *dims: str) -> DataFrame:
     """Headlines per format reason (``valid`` for good ones), and subtotals over ``dims`` from the last to the
-    first; a NULL dimension marks a subtotal.
+    first. ``level`` is the number of dimensions a row sums over, so that a subtotal is told from a NULL in the data.
 
     Rows are counted at the finest level first, so the rollup expands the few counts and not the rows.
     """
     checked = with_format_reason(df.select(*dims, headline), headline, "_reason")
     reason = F.coalesce(reason_kind(F.col("_reason")), F.lit("valid"))
     finest = checked.select(*dims, reason.alias("reason")).groupBy(*dims, "reason").agg(F.count(F.lit(1)).alias("n"))
-    subtotals = finest.rollup("reason", *dims).agg(F.sum("n").alias("n"), F.grouping("reason").alias("_all"))
-    return subtotals.filter(F.col("_all") == 0).select(*dims, "reason", "n")
+    summed = sum((F.grouping(d).cast("bigint") for d in dims), F.lit(0).cast("bigint"))
+    subtotals = finest.rollup("reason", *dims).agg(
+        F.sum("n").alias("n"), F.grouping("reason").alias("_all"), summed.alias("level")
+    )
+    return subtotals.filter(F.col("_all") == 0).select(*dims, "level", "reason", "n")
 
 
 def skip_report(df: DataFrame, title: str = "title", content: str = "content") -> DataFrame:

@@ -239,6 +239,9 @@ def oracles() -> dict[str, str]:
     """Name -> SQL."""
     raw_texts = "texts as (select id, 'raw' as kind, raw as s from articles)"
     cleaned = [_ARTICLES, raw_texts, *_clean("texts", "cleaned")]
+    counted = """select count(*) as loaded, count(*) filter (outcome in ('hook', 'safe')) as processed,
+      count(*) filter (outcome in ('fallback', 'format_fallback')) as fallback,
+      count(*) filter (outcome = 'error') as errors"""
     sql = {
         "pending_batch": _with(
             _ARTICLES, final=f"select id, scraped_at from articles where {_WAITING} {_NEWEST} limit 10"
@@ -247,6 +250,7 @@ def oracles() -> dict[str, str]:
             _ARTICLES,
             final=f"select id, scraped_at from articles where {_WAITING} and id % 4 = 1 {_NEWEST} limit 10",
         ),
+        "newest_many": _with(_ARTICLES, final=f"select id, scraped_at from articles {_NEWEST} limit 12000"),
         "pending_all": _with(_ARTICLES, final=f"select id, scraped_at from articles where {_WAITING}"),
         "audit_batch": _with(
             _ARTICLES,
@@ -288,7 +292,8 @@ def oracles() -> dict[str, str]:
             r"""kinds as (select a.lang, a.source,
               coalesce(regexp_replace(c.reason, '^length \d+ ', 'length '), 'valid') as reason
               from cleaned c join articles a on a.id = c.id)""",
-            final="""select lang, source, reason, count(*)::bigint as n from kinds
+            final="""select lang, source, (grouping(lang) + grouping(source))::bigint as level, reason,
+                count(*)::bigint as n from kinds
               group by grouping sets ((reason, lang, source), (reason, lang), (reason))""",
         ),
         "lead_headlines": _with(
@@ -371,11 +376,10 @@ def oracles() -> dict[str, str]:
               else rephrased_title end as rephrased_title, headline_verified from articles""",
         ),
         "generation_counts": _with(
-            *_generated(_WAITING),
-            final="""select count(*) as loaded, count(*) filter (outcome in ('hook', 'safe')) as processed,
-              count(*) filter (outcome in ('fallback', 'format_fallback')) as fallback,
-              count(*) filter (outcome = 'error') as errors, count(*) = 10 as has_more from decided""",
+            *_generated(f"{_WAITING} and id in (select id from articles where {_WAITING} {_NEWEST} limit 10)"),
+            final=counted + ", count(*) = 10 as has_more from decided",
         ),
+        "generation_counts_all": _with(*_generated(_WAITING), final=counted + ", false as has_more from decided"),
         "audit_counts": _with(
             *_audited(f"{_DAYS} and {_UNVERIFIED}"),
             _UPDATED,

@@ -15,12 +15,15 @@ from masthead.functions.skip import skip_articles, skip_reason
 from masthead.functions.validate import validate_headline, with_format_reason
 from masthead.operators.audit import audit_headlines
 from masthead.operators.candidates import (
+    AUDIT_BATCH,
     AUDIT_WINDOW_S,
+    GENERATION_BATCH,
     GENERATION_WINDOW_S,
     any_unverified,
     audit_candidates,
     generation_candidates,
     headline_state,
+    newest,
     newest_per_shard,
     pending,
     recent,
@@ -81,23 +84,23 @@ def _runner(spark: SparkSession, partitions: int | None = None) -> ModelRunner:
 
 @_query
 def pending_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return generation_candidates(articles(spark, sf_dir), AS_OF).select("id", "scraped_at")
+    return generation_candidates(articles(spark, sf_dir), AS_OF, GENERATION_BATCH).select("id", "scraped_at")
 
 
 @_query
 def pending_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chosen = generation_candidates(articles(spark, sf_dir), AS_OF, shards=SHARDS, number=SHARD)
+    chosen = generation_candidates(articles(spark, sf_dir), AS_OF, GENERATION_BATCH, shards=SHARDS, number=SHARD)
     return chosen.select("id", "scraped_at")
 
 
 @_query
 def audit_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit_candidates(articles(spark, sf_dir), AS_OF).select("id", "scraped_at", "rephrased_title")
+    return audit_candidates(articles(spark, sf_dir), AS_OF, AUDIT_BATCH).select("id", "scraped_at", "rephrased_title")
 
 
 @_query
 def audit_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chosen = audit_candidates(articles(spark, sf_dir), AS_OF, shards=SHARDS, number=SHARD)
+    chosen = audit_candidates(articles(spark, sf_dir), AS_OF, AUDIT_BATCH, shards=SHARDS, number=SHARD)
     return chosen.select("id", "scraped_at", "rephrased_title")
 
 
@@ -106,6 +109,12 @@ def pending_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return generation_candidates(articles(spark, sf_dir), AS_OF, limit=None).select("id", "scraped_at")
 
 
+@_query
+def newest_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch of 12,000 out of the articles of all ages."""
+    return newest(articles(spark, sf_dir), 12_000).select("id", "scraped_at")
+
+
 @_query
 def all_shards_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     waiting = unverified(recent(articles(spark, sf_dir), AS_OF, AUDIT_WINDOW_S)).select("id", "scraped_at")
@@ -345,8 +354,15 @@ def blanked_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def generation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    waiting = generation_candidates(articles(spark, sf_dir), AS_OF, limit=None)
-    return generation_summary(_generated(spark, waiting))
+    """Counters of a run of a full batch."""
+    waiting = generation_candidates(articles(spark, sf_dir), AS_OF, GENERATION_BATCH)
+    return generation_summary(_generated(spark, waiting), GENERATION_BATCH)
+
+
+@_query
+def generation_counts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of a run over everything that waits within the window."""
+    return generation_summary(_generated(spark, generation_candidates(articles(spark, sf_dir), AS_OF)))
 
 
 @_query

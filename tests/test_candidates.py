@@ -3,7 +3,6 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from masthead.operators import candidates as c
 from masthead.operators.candidates import (
     any_unverified,
     audit_candidates,
@@ -68,23 +67,21 @@ def test_shard(spark):
 
 def test_batches_are_the_newest(spark):
     df = table(spark, [(n, "t", b"x", NOW - n // 3, None, None) for n in range(30)])
-    assert ids(generation_candidates(df, NOW)) == [0, 1, 2, 3, 4, 5, 6, 7, 8, 11]
+    assert ids(generation_candidates(df, NOW, 10)) == [0, 1, 2, 3, 4, 5, 6, 7, 8, 11]
+    assert len(ids(generation_candidates(df, NOW))) == 30
     assert ids(generation_candidates(df, NOW, 4, shards=2, number=1)) == [1, 3, 5, 7]
 
 
-@pytest.mark.parametrize("limit", [1, 7, 100, 333, 334, 335, 900, 999, 1000, 1001])
-def test_large_batches_are_the_same_rows(spark, monkeypatch, limit):
-    """A third of the rows share one second; the cutoff falls inside, at and beyond it."""
-    monkeypatch.setattr(c, "_BINS", 5)
-    df = (
-        spark.range(1000)
-        .withColumn("id", F.col("id") * 7919 - 3000)
-        .withColumn("scraped_at", F.when(F.col("id") % 3 == 0, NOW - 400).otherwise(NOW - F.col("id") % 997))
-    )
-    small = ids(newest(df, limit))
-    monkeypatch.setattr(c, "TOP_K_ROWS", 0)
-    assert ids(newest(df, limit)) == small
-    assert len(small) == min(limit, 1000)
+@pytest.mark.parametrize("limit", [0, 1, 7, 100, 333, 334, 335, 900, 1000, 11_000, 16_999, 20_000])
+def test_batches_of_any_size_follow_the_order(spark, limit):
+    """A third of the rows share one second, some have no date, some ids come twice."""
+    rows = [(n * 7919 - 3000, NOW - 400 if n % 3 == 0 else NOW - n % 997) for n in range(12_000)]
+    rows += [(n % 40, None) for n in range(5_000)]
+    rows += [(rows[3][0], NOW - 400)] * 5
+    df = spark.createDataFrame(rows, "id bigint, scraped_at bigint")
+    ordered = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[0]), reverse=True)
+    got = [(r["id"], r["scraped_at"]) for r in newest(df, limit).collect()]
+    assert sorted(got, key=str) == sorted(ordered[:limit], key=str)
 
 
 def test_all_shards_at_once_equal_one_run_per_shard(spark):

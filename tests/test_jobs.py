@@ -44,7 +44,7 @@ def test_generation_job(spark, tmp_path, script):
     rows = [article(n, age=n) for n in range(12)]
     rows += [article(50, age=90000), article(51, title="has one", flag=0), article(52, text=None)]
     table = spark.createDataFrame(rows, ARTICLES)
-    run = run_generation(spark, table, ModelRunner(script), TEMPLATES, str(tmp_path / "1"), NOW)
+    run = run_generation(spark, table, ModelRunner(script), TEMPLATES, str(tmp_path / "1"), NOW, limit=10)
     assert run.summary.first().asDict() == {
         "loaded": 10, "processed": 10, "fallback": 0, "errors": 0, "has_more": True,
     }
@@ -55,7 +55,7 @@ def test_generation_job(spark, tmp_path, script):
         10: (None, None), 11: (None, None), 50: (None, None), 51: ("has one", 0), 52: (None, None),
     }
 
-    second = run_generation(spark, run.articles, ModelRunner(script), TEMPLATES, str(tmp_path / "2"), NOW)
+    second = run_generation(spark, run.articles, ModelRunner(script), TEMPLATES, str(tmp_path / "2"), NOW, limit=10)
     assert second.summary.first()["loaded"] == 2
     assert second.summary.first()["has_more"] is False
     third = run_generation(spark, second.articles, ModelRunner(script), TEMPLATES, str(tmp_path / "3"), NOW)

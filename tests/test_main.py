@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from masthead.main import arguments, batch_size, run
+from masthead.main import arguments, run
 from masthead.sources.sinks import write_articles
 from masthead.workload.inputs import AS_OF, articles
 
@@ -13,17 +13,15 @@ def parse(*extra, job="generate"):
 
 @pytest.mark.parametrize(
     ("args", "expected"),
-    [
-        (parse(), 10),
-        (parse("--test-run"), 50),
-        (parse("--batch-size", "7", "--test-run"), 7),
-        (parse("--all"), None),
-        (parse(job="audit"), 20),
-        (parse("--batch-size", "3", job="audit"), 3),
-    ],
+    [(parse(), None), (parse("--batch-size", "7"), 7), (parse(job="audit"), None), (parse("--batch-size", "3", job="audit"), 3)],
 )
 def test_batch_size(args, expected):
-    assert batch_size(args) == expected
+    assert args.batch_size == expected
+
+
+def test_shards_do_not_share_a_store():
+    with pytest.raises(SystemExit):
+        parse("--in-place", "--num-shards", "4", "--shard", "1")
 
 
 def test_both_jobs_in_place(spark, tmp_path):
@@ -31,7 +29,7 @@ def test_both_jobs_in_place(spark, tmp_path):
     write_articles(articles(spark, "/root/testdata/sf0.001"), store)
     for job in ("generate", "audit"):
         args = arguments(
-            [job, "--articles", store, "--out", str(tmp_path / job), "--as-of", str(AS_OF), "--all", "--in-place",
+            [job, "--articles", store, "--out", str(tmp_path / job), "--as-of", str(AS_OF), "--in-place",
              "--model", "masthead.workload.standin:standin", "--model-partitions", "3"]
         )
         summary = run(spark, args).summary.first()

@@ -69,10 +69,12 @@ def test_candidate_filters_and_columns_reach_the_scan(articles):
     assert "rephrased_article" not in scans(text)[0]
 
 
-def test_batches_are_a_top_k(articles):
-    text = plan(generation_candidates(articles, NOW))
+def test_batches_are_a_top_k_of_keys(articles):
+    text = plan(generation_candidates(articles, NOW, 10))
     assert "TakeOrderedAndProject" in text
     assert "Exchange rangepartitioning" not in text
+    assert "Cartesian" not in text and "NestedLoop" not in text
+    assert sorted("title#" in scan.replace("rephrased_title#", "") for scan in scans(text)) == [False, True]
 
 
 def test_shards_are_limited_before_the_shuffle(articles):

@@ -19,17 +19,17 @@ from masthead.functions.text import WS, WS_CHARS, drop_markers, squeeze, strip
 from masthead.functions.validate import validate_headline, with_format_reason
 
 CLEAN = {
-    # given cases
-    "This is a headline.": "This is a headline",
-    '"This is a headline"': "This is a headline",
-    "'This is a headline'": "This is a headline",
-    '""This is a headline""': "This is a headline",
-    "*This is a headline*": "This is a headline",
-    "**This is a headline**": "This is a headline",
-    '"*This is a headline*"': "This is a headline",
-    "This   is   a   headline": "This is a headline",
-    "this is a headline about Modi": "This is a headline about Modi",
-    "BJP wins election": "BJP wins election",
+    # one rule at a time
+    "Harbour reopens after storm.": "Harbour reopens after storm",
+    '"Harbour reopens"': "Harbour reopens",
+    "'Harbour reopens'": "Harbour reopens",
+    "*Harbour reopens*": "Harbour reopens",
+    "''Harbour reopens''": "Harbour reopens",
+    "***Harbour reopens***": "Harbour reopens",
+    "'*Harbour reopens*'": "Harbour reopens",
+    "Harbour \t reopens": "Harbour reopens",
+    "harbour of Genoa reopens": "Harbour of Genoa reopens",
+    "NATO meets": "NATO meets",
     # wrappers, periods and white space in odd places
     '"': "",
     '""': "",
@@ -55,16 +55,16 @@ CLEAN = {
 }
 
 FORMAT = {
-    "BJP wins elections in landmark victory": None,
+    "Harbour reopens after three days of storm": None,
     "": "empty headline",
     "   ": "empty headline",
     None: "empty headline",
-    "Bribe case": "too short",
+    "Harbour reopens": "too short",
     "a b c": None,
     " ".join("w" * 14): None,
     " ".join("w" * 15): "length 15 exceeds 14 words",
-    "This is a very long headline that exceeds the maximum limit of fourteen words and therefore must fail "
-    "validation": "length 19 exceeds 14 words",
+    "The harbour at the mouth of the river reopens today after a storm that had closed it for three whole "
+    "days": "length 21 exceeds 14 words",
     "नमस्ते to all": "contains non-Latin script characters",
     "Привет to all": "contains non-Latin script characters",
     "你好 to all": "contains non-Latin script characters",
@@ -75,20 +75,20 @@ FORMAT = {
 }
 
 SKIP = [
-    ("Original Title", "a" * 15001, "content too long"),
-    ("Original Title", "a" * 15000, None),
-    ("Live Updates: election results", "content", "title phrase"),
-    ("election results explained in detail", "content", "title phrase"),
-    ("election guide from A to Z", "content", "title phrase"),
-    ("Title | Segment 2 | Segment 3", "content", "title pipes"),
-    ("Normal Title", "Opinion: this is a column", "opinion content"),
-    ("Normal Title", " Opinion: this is a column", None),
-    ("Normal Title", "opinion: this is a column", None),
-    ("Opinion | Normal Title", "content", "opinion title"),
-    ("Normal Title | Comment", "content", "opinion title"),
-    ("Editorial: Normal Title", "content", "opinion title"),
-    ("editorial: Normal Title", "content", None),
-    ("Normal Headline Title", "Short content", None),
+    ("Harbour reopens", "x" * 15001, "content too long"),
+    ("Harbour reopens", "x" * 15000, None),
+    ("Storm at the coast, live updates", "text", "title phrase"),
+    ("Why harbours close, explained", "text", "title phrase"),
+    ("Sailing from a to z", "text", "title phrase"),
+    ("Coast | Storm | Harbour", "text", "title pipes"),
+    ("Harbour reopens", "Opinion on harbours", "opinion content"),
+    ("Harbour reopens", " Opinion on harbours", None),
+    ("Harbour reopens", "opinion on harbours", None),
+    ("Opinion | Harbours", "text", "opinion title"),
+    ("Harbours | Comment", "text", "opinion title"),
+    ("Editorial: Harbours", "text", "opinion title"),
+    ("editorial: Harbours", "text", None),
+    ("Harbour reopens", "Ships leave.", None),
     (None, None, None),
     ("EXPLAINED || all of it", "Opinion" + "a" * 15000, "content too long"),
     ("EXPLAINED || all of it", "Opinion", "title phrase"),
@@ -141,6 +141,21 @@ def test_clean_as_one_expression(spark):
     assert dict(zip(CLEAN, got, strict=True)) == CLEAN
 
 
+@pytest.mark.parametrize("depth", [2_999, 20_000])
+def test_wrappers_of_any_depth(spark, depth):
+    cases = {
+        "*" * depth + "deep down" + "*" * depth: "Deep down",
+        "* " * depth + "deep down" + ' "' * depth: "* " * depth + "deep down" + ' "' * depth,
+        "* " * depth + '"deep\'' + " *" * depth: '"deep\'',
+        "*" * depth + "one side": "*" * depth + "one side",
+        "*" * depth + "'": "*" * depth + "'",
+        "*" * depth: "",
+    }
+    expected = {text: " ".join(out.split()) for text, out in cases.items()}
+    got = mapped(spark, cases, lambda df: with_clean_headline(df, "value", "out"))
+    assert dict(zip(cases, got, strict=True)) == expected
+
+
 def test_format(spark):
     got = mapped(spark, FORMAT, lambda df: df.withColumn("out", validate_headline(F.col("value"))))
     assert {text: check["reason"] for text, check in zip(FORMAT, got, strict=True)} == FORMAT

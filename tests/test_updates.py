@@ -154,15 +154,17 @@ def test_reports(spark, decisions):
     counts = {(r["stage"], r["outcome"]): r["n"] for r in outcome_report(decisions).collect()}
     assert counts == {("hook_critic", "hook"): 2, ("safe", "fallback"): 1, ("hook", "error"): 1}
     df = spark.createDataFrame(
-        [("en", "a b c"), ("en", "a b"), ("de", "w " * 15), ("de", "w " * 16), ("de", "")], "lang string, h string"
+        [("en", "a b c"), (None, "a b c"), ("en", "a b"), ("de", "w " * 15), ("de", "w " * 16), ("de", "")],
+        "lang string, h string",
     )
-    got = {(r["lang"], r["reason"]): r["n"] for r in format_report(df, "h", "lang").collect()}
+    got = {(r["level"], r["lang"], r["reason"]): r["n"] for r in format_report(df, "h", "lang").collect()}
     assert got == {
-        ("en", "valid"): 1, (None, "valid"): 1, ("en", "too short"): 1, (None, "too short"): 1,
-        ("de", "length exceeds 14 words"): 2, (None, "length exceeds 14 words"): 2,
-        ("de", "empty headline"): 1, (None, "empty headline"): 1,
+        (0, "en", "valid"): 1, (0, None, "valid"): 1, (1, None, "valid"): 2,
+        (0, "en", "too short"): 1, (1, None, "too short"): 1,
+        (0, "de", "length exceeds 14 words"): 2, (1, None, "length exceeds 14 words"): 2,
+        (0, "de", "empty headline"): 1, (1, None, "empty headline"): 1,
     }
-    assert {r["reason"]: r["n"] for r in format_report(df, "h").collect()}["valid"] == 1
+    assert {r["reason"]: r["n"] for r in format_report(df, "h").collect()}["valid"] == 2
 
 
 def test_articles_are_read_as_written(spark, articles, tmp_path):
