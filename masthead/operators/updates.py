@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from masthead.schema import DAY_COLUMN, DAY_S
 
 def written(decisions: DataFrame) -> DataFrame:
     """The decisions that change an article; failed rows do not."""
@@ -18,6 +19,19 @@ def latest_decisions(decisions: DataFrame, order: str = "batch_id") -> DataFrame
     return last.select("_last.*")
 
 
+def _split(articles: DataFrame, since: int | None) -> tuple[DataFrame, DataFrame | None]:
+    """The articles scraped from ``since`` on, and the others; in a table partitioned by day, neither reads the
+    other's days."""
+    if since is None:
+        return articles, None
+    at = F.col("scraped_at")
+    newer, older = at >= since, (at < since) | at.isNull()
+    if DAY_COLUMN in articles.columns:
+        day = F.col(DAY_COLUMN)
+        newer, older = newer & (day >= since // DAY_S), older & ((day <= since // DAY_S) | day.isNull())
+    return articles.filter(newer), articles.filter(older)
+
+
 def apply_decisions(articles: DataFrame, decisions: DataFrame, since: int | None = None) -> DataFrame:
     """The articles with the decided headlines and flags.
 
@@ -29,11 +43,7 @@ def apply_decisions(articles: DataFrame, decisions: DataFrame, since: int | None
     changes = written(decisions).select(
         "id", F.col("headline").alias("_headline"), F.col("verified").alias("_verified"), F.lit(True).alias("_hit")
     )
-    if since is None:
-        touched, rest = articles, None
-    else:
-        touched = articles.filter(F.col("scraped_at") >= since)
-        rest = articles.filter((F.col("scraped_at") < since) | F.col("scraped_at").isNull())
+    touched, rest = _split(articles, since)
     updated = (
         touched.join(changes, "id", "left")
         .withColumn("rephrased_title", _replaced("_headline", "rephrased_title"))
@@ -81,13 +91,18 @@ def rejection_line(ts: Column) -> Column:
     )
 
 
-def reject_and_blank(articles: DataFrame, rejected: DataFrame, dry_run: bool = False) -> DataFrame:
+def reject_and_blank(
+    articles: DataFrame, rejected: DataFrame, dry_run: bool = False, since: int | None = None
+) -> DataFrame:
     """Blank the headline of every rejected article, leaving its flag alone; a dry run changes nothing.
 
-    ``rejected`` may hold several rows per article.
+    ``rejected`` may hold several rows per article. Articles scraped before ``since`` are left alone and bypass the
+    join.
     """
     if dry_run:
         return articles
     ids = rejected.select("id").distinct().withColumn("_hit", F.lit(True))
     title = F.when(F.col("_hit"), "").otherwise(F.col("rephrased_title"))
-    return articles.join(ids, "id", "left").withColumn("rephrased_title", title).select(*articles.columns)
+    touched, rest = _split(articles, since)
+    blanked = touched.join(ids, "id", "left").withColumn("rephrased_title", title).select(*articles.columns)
+    return blanked if rest is None else blanked.unionByName(rest)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from masthead.operators.updates import apply_decisions, rejection_line
+from masthead.operators.updates import apply_decisions, rejection_line, written
 from masthead.schema import DAY_COLUMN, DAY_S
 from masthead.sources.articles import read_articles
 from masthead.sources.staging import Staging
@@ -24,21 +24,39 @@ def write_articles(articles: DataFrame, path: str) -> None:
 def update_articles(spark: SparkSession, path: str, decisions: DataFrame, since: int) -> None:
     """Write decisions into a table stored by :func:`write_articles`.
 
-    Only the days from ``since`` on are read and replaced; whatever is older stays as it is. The new days are staged
-    in full before the old ones go, so the update can be repeated after a failure, and repeating it
-    changes nothing. Nothing else may write to those days meanwhile; where articles keep arriving, use a table
-    format with row-level changes and ``merge_decisions``.
+    Only the days from ``since`` on that hold a decided article are read whole and replaced. The new days are staged in
+    full before the old ones go. If replacing them fails, the staged copy stays, and the exception names it:
+    :func:`replace_days` with that copy finishes the update. Nothing else may write to those days meanwhile; where
+    articles keep arriving, use a table format with row-level changes and ``merge_decisions``.
     """
-    days = read_articles(spark, path).filter(F.col(DAY_COLUMN) >= since // DAY_S)
-    with Staging(spark) as staging:
-        updated = staging.save(apply_decisions(days, decisions), "days")
-        (
-            updated.hint("rebalance", DAY_COLUMN)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(DAY_COLUMN)
-            .parquet(path)
-        )
+    recent = read_articles(spark, path).filter(F.col(DAY_COLUMN) >= since // DAY_S)
+    hit = recent.select("id", DAY_COLUMN).join(written(decisions).select("id"), "id", "left_semi")
+    days = [row[DAY_COLUMN] for row in hit.select(DAY_COLUMN).distinct().collect()]  # at most the days of the window
+    if not days:
+        return
+    staging = Staging(spark)
+    try:
+        updated = staging.save(apply_decisions(recent.filter(F.col(DAY_COLUMN).isin(days)), decisions), "days")
+    except Exception:
+        staging.close()
+        raise
+    try:
+        replace_days(updated, path)
+    except Exception as failure:
+        failure.add_note(f"the new days are complete in {staging.path('days')}")
+        raise
+    staging.close()
+
+
+def replace_days(updated: DataFrame, path: str) -> None:
+    """Replace the days of a stored table that occur in ``updated``. Repeating it changes nothing."""
+    (
+        updated.hint("rebalance", DAY_COLUMN)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(DAY_COLUMN)
+        .parquet(path)
+    )
 
 
 def append_rejections(rejected: DataFrame, path: str) -> None:

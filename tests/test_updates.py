@@ -16,6 +16,7 @@ from masthead.operators.updates import (
 )
 from masthead.plans.reports import audit_summary, format_report, generation_summary, outcome_report
 from masthead.schema import ARTICLES, DECISIONS
+from masthead.sources import sinks
 from masthead.sources.articles import read_articles
 from masthead.sources.sinks import append_rejection_log, append_rejections, update_articles, write_articles
 from masthead.sources.templates import Templates, load_templates
@@ -216,3 +217,57 @@ def test_templates(spark, tmp_path):
     (tmp_path / "hook.txt").write_text("no slot", "utf-8")
     with pytest.raises(ValueError, match="hook"):
         load_templates(spark, str(tmp_path))
+
+
+def _store(spark, tmp_path):
+    """Four days with three articles each, ids 0 to 11."""
+    path = str(tmp_path / "days")
+    rows = [(n, "t", b"x", NOW - 86400 * (n // 3), None, None) for n in range(12)]
+    write_articles(spark.createDataFrame(rows, ARTICLES), path)
+    return path
+
+
+def _files(path):
+    from pathlib import Path
+
+    return {str(p.relative_to(path)) for p in Path(path).rglob("*.parquet")}
+
+
+def test_one_decision_replaces_one_day(spark, tmp_path):
+    path = _store(spark, tmp_path)
+    before = _files(path)
+    decision = spark.createDataFrame([(4, "new", 0, "hook", "hook_critic", None, None, [])], DECISIONS)
+    update_articles(spark, path, decision, NOW - 10 * 86400)
+    assert len({name.split("/")[0] for name in before - _files(path)}) == 1
+    assert headlines(read_articles(spark, path)) == {n: ("new", 0) if n == 4 else (None, None) for n in range(12)}
+    after = _files(path)
+    update_articles(spark, path, decision.withColumn("outcome", F.lit("error")), NOW - 10 * 86400)
+    assert _files(path) == after
+
+
+def test_a_failed_update_keeps_the_staged_days(spark, tmp_path, monkeypatch):
+    path = _store(spark, tmp_path)
+    decision = spark.createDataFrame([(4, "new", 0, "hook", "hook_critic", None, None, [])], DECISIONS)
+
+    def failing(updated, path):
+        raise OSError("disk gone")
+
+    with monkeypatch.context() as patched, pytest.raises(OSError, match="disk gone") as caught:
+        patched.setattr(sinks, "replace_days", failing)
+        update_articles(spark, path, decision, NOW - 10 * 86400)
+    staged = caught.value.__notes__[0].split(" in ")[1]
+    for _ in range(2):
+        sinks.replace_days(spark.read.parquet(staged), path)
+        assert headlines(read_articles(spark, path)) == {n: ("new", 0) if n == 4 else (None, None) for n in range(12)}
+
+
+def test_updates_of_a_window_read_its_days_only(spark, tmp_path, decisions):
+    table = read_articles(spark, _store(spark, tmp_path))
+    for updated in (
+        apply_decisions(table, decisions, NOW - 86400),
+        reject_and_blank(table, decisions.select("id"), since=NOW - 86400),
+    ):
+        text = updated._jdf.queryExecution().executedPlan().toString()
+        assert text.count("PartitionFilters: [isnotnull(scraped_day") >= 1
+        assert "(scraped_day" in text and "<= " in text
+        assert updated.count() == 12
