@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from masthead.operators.candidates import GENERATION_WINDOW_S, pending, recent
 from masthead.operators.generation import generate_headlines
 from masthead.operators.inference import ModelRunner
+from masthead.operators.updates import rejections, written
 from masthead.schema import ARTICLES, DECISIONS
 from masthead.sources.staging import Staging
 from masthead.sources.templates import Templates
@@ -30,9 +31,9 @@ def stream_articles(spark, path: str, files_per_batch: int | None = None, form:
 
 
 def once_per_id(stream: DataFrame, delay_s: int = GENERATION_WINDOW_S) -> DataFrame:
-    """Only the first arrival of every article. State is kept for ``delay_s`` seconds of scrape time, and
-    copies older than that are dropped as late. With a delay as long as the window of the job, no article
-    the job would take is ever late."""
+    """Only the first arrival of every article. State is kept for ``delay_s`` seconds of scrape time; whatever is older than
+    the newest article by more than that is dropped as late, so dates ahead of the clock must be kept out. The
+    headline stream does without it and asks its own log."""
     return (
         stream.withColumn("_scraped", F.timestamp_seconds("scraped_at"))
         .withWatermark("_scraped", f"{delay_s} seconds")
@@ -53,29 +54,54 @@ def stream_headlines(
 ) -> StreamingQuery:
     """Decide headlines for everything that has arrived, and stop.
 
-    Every micro-batch writes its decisions to ``<out>/batch_id=<n>``, replacing what an earlier attempt at
-    the same batch left, so a replayed batch changes nothing. Started again on the same checkpoint, only new
-    files are taken. The age rule uses the clock of the micro-batch, like a batch run.
+    Every micro-batch writes its decisions to ``<out>/batch_id=<n>`` and the rejected texts to
+    ``<out>/_rejections/batch_id=<n>``, replacing what an earlier attempt at the same batch left, so a replayed batch
+    changes nothing. Started again on the same checkpoint, only new files are taken. The age rule uses the clock
+    of the micro-batch, like a batch run.
+
+    With ``once``, an article that has a decision is not taken again; the log is asked for the ids of the micro-batch,
+    so neither dates ahead of the clock nor late arrivals matter. Articles that failed go to ``<out>/_failed`` and are tried
+    again with the next micro-batch, in their newest version.
     """
-    waiting = pending(stream)
-    if once:
-        waiting = once_per_id(waiting, window_s)
+    kept = ["id", "title", "rephrased_article", "scraped_at"]
 
     def decide_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        now = as_of()
         with Staging(spark) as staging:
-            # Written first: reading the micro-batch again would run its deduplication again.
-            chosen = recent(batch, as_of(), window_s).select("id", "title", "rephrased_article")
-            chosen = staging.save(chosen, "batch")
+            chosen = recent(batch, now, window_s).select(*kept)
+            if once:
+                chosen = chosen.dropDuplicates(["id"])
+            chosen = staging.save(chosen, "arrived")
+            if batch_id > 0:
+                chosen = staging.save(_with_failed(chosen, out, batch_id, now, window_s, once), "batch")
             if chosen.isEmpty():
                 decisions = spark.createDataFrame([], DECISIONS)
             else:
-                decisions = generate_headlines(chosen, model, templates, staging)
+                decisions = generate_headlines(chosen.drop("scraped_at"), model, templates, staging)
             decisions.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+            decided = spark.read.schema(DECISIONS).parquet(f"{out}/batch_id={batch_id}")
+            rejected = rejections(decided, F.timestamp_seconds(F.lit(now)))
+            rejected.write.mode("overwrite").parquet(f"{out}/_rejections/batch_id={batch_id}")
+            failed = chosen.join(decided.filter("outcome = 'error'").select("id"), "id", "left_semi")
+            failed.write.mode("overwrite").parquet(f"{out}/_failed/batch_id={batch_id}")
 
     return (
-        waiting.writeStream.foreachBatch(decide_batch)
+        pending(stream)
+        .writeStream.foreachBatch(decide_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def _with_failed(arrived: DataFrame, out: str, batch_id: int, now: int, window_s: int, once: bool) -> DataFrame:
+    """The arrivals without a decision, and what failed in the micro-batch before."""
+    spark = arrived.sparkSession
+    if once:
+        log = spark.read.schema("id bigint, outcome string, batch_id bigint").parquet(out)
+        seen = written(log.filter(F.col("batch_id") < batch_id)).select("id")
+        arrived = arrived.join(seen.join(arrived.select("id"), "id", "left_semi"), "id", "left_anti")
+    failed = spark.read.schema(arrived.schema).parquet(f"{out}/_failed/batch_id={batch_id - 1}")
+    again = recent(failed, now, window_s).join(arrived.select("id"), "id", "left_anti")
+    return arrived.unionByName(again)

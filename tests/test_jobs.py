@@ -158,3 +158,22 @@ def test_stream(spark, tmp_path, script):
         1: ("A good headline here", 0), 2: ("A good headline here", 0), 3: (None, None), 4: ("has one", None),
         5: ("A good headline here", 0), 6: ("A good headline here", 0), 7: (None, None),
     }
+
+
+def test_stream_retries_what_failed_and_bears_dates_ahead(spark, tmp_path, script):
+    inbox, out, checkpoint = (str(tmp_path / name) for name in ("inbox", "out", "checkpoint"))
+
+    def run(*rows):
+        spark.createDataFrame(rows, ARTICLES).coalesce(1).write.mode("append").parquet(inbox)
+        stream = stream_articles(spark, inbox, files_per_batch=1)
+        query = stream_headlines(stream, ModelRunner(script), TEMPLATES, out, checkpoint, as_of=lambda: NOW)
+        query.awaitTermination()
+        log = spark.read.schema(f"{DECISIONS}, batch_id bigint").parquet(out)
+        return sorted((r["batch_id"], r["id"], r["outcome"] != "error") for r in log.collect())
+
+    assert run(article(1, age=-10 * 86400), article(7, text=STUCK)) == [(0, 1, True), (0, 7, False)]
+    assert run(article(2), article(1))[2:] == [(1, 2, True), (1, 7, False)]
+    assert run(article(7))[4:] == [(2, 7, True)]
+    assert run(article(3), article(7))[5:] == [(3, 3, True)]
+    rejected = spark.read.parquet(f"{out}/_rejections/batch_id=0")
+    assert rejected.columns == ["ts", "id", "stage", "generated", "reason"]
