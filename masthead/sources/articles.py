@@ -21,14 +21,15 @@ def read_articles(spark: SparkSession, source: str, form: str = "parquet") -> Da
 def read_articles_jdbc(
     spark: SparkSession,
     url: str,
+    id_bounds: tuple[int, int],
     table: str = "articles",
-    id_bounds: tuple[int, int] = (0, 1_000_000),
     partitions: int = 32,
     properties: dict[str, str] | None = None,
 ) -> DataFrame:
     """Articles from a relational database, read in parallel ranges of ``id``.
 
-    ``id_bounds`` only places the range borders; ids outside them fall into the first and last range.
+    ``id_bounds``, the smallest and largest id, only places the range borders; ids outside them fall into the first and
+    last range.
     """
     return spark.read.jdbc(
         url,

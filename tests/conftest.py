@@ -6,11 +6,11 @@ from masthead.session import local_session, ship_package
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = local_session(
         "*",
         "masthead-tests",
-        **{"spark.ui.showConsoleProgress": "false", "spark.sql.maxMetadataStringLength": "1000"},
+        **{"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")), "spark.ui.showConsoleProgress": "false", "spark.sql.maxMetadataStringLength": "1000"},
     )
     session.sparkContext.setLogLevel("ERROR")
     ship_package(session)
