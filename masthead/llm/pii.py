@@ -124,13 +124,12 @@ def revealing_terms(docs: DataFrame, hits: DataFrame, spans: DataFrame, stage) -
     )
     together = stage.save(together.filter(F.col("texts") >= SUPPORT).drop("texts"), "together")
     everywhere = docs.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    rows = F.broadcast(docs.agg(F.count("*").alias("n_docs")))  # one row
-    reveals = F.log2(F.col("n_docs") * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))
-    known = F.log2(F.col("n_docs") / F.col("n_entity"))
+    n_docs = F.lit(docs.count())
+    reveals = F.log2(n_docs * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))
+    known = F.log2(n_docs / F.col("n_entity"))
     return (
         together.join(everywhere, "term")
         .join(entities, "entity")
-        .join(rows)
         .withColumn("disclosure", F.when(known > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), reveals / known))))
         .filter(F.col("disclosure") >= GENERALISE)
         .select("entity", "term", "disclosure")
