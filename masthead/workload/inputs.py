@@ -27,13 +27,12 @@ select doc_id as id, lang, source,
   1704672000 - (doc_id * 7919) % 604800 as scraped_at,
   case doc_id % 5 when 0 then cast(null as {string}) when 1 then ''
     when 2 then case when doc_id % 4 = 0 then 'zz yy xx ww vv uu' else t end
-    else case when doc_id % 4 = 1 then 'Zz qq vv ' || substring(t, 1, 10) else t || '.' end end as rephrased_title,
+    else case when doc_id % 4 = 1 then 'Zz qq vv ' || md5(t) else t || '.' end end as rephrased_title,
   case doc_id % 3 when 0 then cast(null as int) when 1 then 0 else 1 end as headline_verified,
   case doc_id % 8 when 0 then '"' || t || '"' when 1 then '**' || t || '**' when 2 then t || '.'
     when 3 then '  ' || t || '  ' when 4 then '' when 5 then 'नमस्ते ' || t when 6 then '''*' || t || '*'''
     else t end as raw
-from (select doc_id, lang, source, text, substring(trim({first_line}), 1, 90) as t
-      from {documents}) x
+from (select doc_id, lang, source, text, trim({first_line}) as t from {documents}) x
 """
 
 

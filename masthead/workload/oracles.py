@@ -129,7 +129,7 @@ def _answers(where: str) -> list[str]:
         _ARTICLES,
         f"""seen as (select *, substring(content, 1, 1500) as snippet from articles where {where})""",
         """opened as (select *, length(snippet) - length(replace(snippet, 'a', '')) as k,
-          substring(trim(split_part(snippet, chr(10), 1)), 1, 90) as line from seen)""",
+          trim(split_part(snippet, chr(10), 1)) as line from seen)""",
         f"""asked as (select *, k % 23 = 7 as hook_fails, k % 29 = 8 as safe_fails, k % 31 = 9 as critic_fails,
           {_cut(hook)} as hook, {_cut(safe)} as safe from opened)""",
         f"""answered as (select *, {_approves('hook')} as hook_ok, {_approves('safe')} as safe_ok from asked)""",

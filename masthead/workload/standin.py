@@ -22,7 +22,7 @@ _WORD = re.compile("[a-z0-9]+")
 
 
 def _opening(snippet: str) -> str:
-    return snippet.split("\n")[0].strip(" ")[:90]
+    return snippet.split("\n")[0].strip(" ")
 
 
 def _hook(snippet: str) -> str:
