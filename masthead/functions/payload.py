@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SNIPPET_CHARS = 1500  # fixed value: what a prompt sees of an article
+SNIPPET_CHARS = 1500  # fixed value: what a prompt sees of an article, unless a job is told otherwise
 _SLICE = 500
 
 _UNPACKED = T.StructType().add("content", T.StringType()).add("corrupt", T.BooleanType())
@@ -56,6 +56,6 @@ def with_content(df: DataFrame, packed: str = "rephrased_article") -> DataFrame:
     return unpacked.select(*rest, "_inflated.content", "_inflated.corrupt")
 
 
-def snippet(content: Column) -> Column:
-    """The first 1500 characters."""
-    return F.substring(content, 1, SNIPPET_CHARS)
+def snippet(content: Column, chars: int | None = SNIPPET_CHARS) -> Column:
+    """The first ``chars`` characters, or with None the whole text."""
+    return content if chars is None else F.substring(content, 1, chars)

@@ -14,6 +14,7 @@ from importlib import import_module
 
 from pyspark.sql import SparkSession
 
+from masthead.functions.payload import SNIPPET_CHARS
 from masthead.operators.inference import ModelRunner
 from masthead.plans.jobs import Run, run_audit, run_generation
 from masthead.sources.articles import read_articles
@@ -34,6 +35,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--model-partitions", type=int, help="partitions of every model call")
     parser.add_argument("--rows-per-task", type=int, help="rows of a model call per task; beats the former")
     parser.add_argument("--prompts-per-call", type=int, default=64)
+    parser.add_argument("--snippet-chars", type=int, default=SNIPPET_CHARS, help="characters of an article in a prompt; 0: all")
     parser.add_argument("--in-place", action="store_true", help="write the decisions into the article table")
     args = parser.parse_args(argv)
     if args.in_place and args.shard is not None:
@@ -56,6 +58,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> Run:
         shards=args.num_shards,
         number=args.shard,
         store=args.articles if args.in_place else None,
+        snippet_chars=args.snippet_chars or None,
     )
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from masthead.functions.clean import with_clean_headline
+from masthead.functions.payload import SNIPPET_CHARS
 from masthead.functions.prompt import render
 from masthead.functions.validate import with_format_reason
 from masthead.operators.decisions import (
@@ -43,14 +44,16 @@ def audit_headlines(
     model: ModelRunner,
     templates: Templates,
     staging: Staging,
+    snippet_chars: int | None = SNIPPET_CHARS,
 ) -> DataFrame:
     """One decision per candidate (``id, rephrased_title, rephrased_article``).
 
-    The critic sees the published headline as it is, and a repaired one after cleaning.
+    The critic sees the published headline as it is, and a repaired one after cleaning. Prompts show the first
+    ``snippet_chars`` characters of an article, or with None all of it.
     """
     proposed = F.col("proposed")
     inputs = candidates.select("id", F.col("rephrased_title").alias("proposed"), "rephrased_article")
-    published = with_snippet(model.spread(inputs))
+    published = with_snippet(model.spread(inputs), snippet_chars)
     judged = staging.save(
         with_lead(model.critique(published, templates.critic, proposed, "critic")), "critic"
     )

@@ -8,13 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from masthead.functions.lead import with_lead_headline
-from masthead.functions.payload import snippet, with_content
+from masthead.functions.payload import SNIPPET_CHARS, snippet, with_content
 from masthead.schema import ATTEMPT, DECISION_COLUMNS
 
 
-def with_snippet(df: DataFrame) -> DataFrame:
-    """Replace the packed text by ``content`` and by the ``snippet`` the prompts show."""
-    return with_content(df).drop("corrupt").withColumn("snippet", snippet(F.col("content")))
+def with_snippet(df: DataFrame, chars: int | None = SNIPPET_CHARS) -> DataFrame:
+    """Replace the packed text by ``content`` and by the ``snippet`` the prompts show: its first ``chars`` characters, or all."""
+    return with_content(df).drop("corrupt").withColumn("snippet", snippet(F.col("content"), chars))
 
 
 def with_lead(answered: DataFrame) -> DataFrame:

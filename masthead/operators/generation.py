@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from masthead.functions.clean import with_clean_headline
+from masthead.functions.payload import SNIPPET_CHARS
 from masthead.functions.prompt import render
 from masthead.functions.validate import EMPTY, with_format_reason
 from masthead.operators.decisions import (
@@ -38,14 +39,15 @@ def generate_headlines(
     model: ModelRunner,
     templates: Templates,
     staging: Staging,
+    snippet_chars: int | None = SNIPPET_CHARS,
 ) -> DataFrame:
     """One decision per candidate (``id, title, rephrased_article``).
 
     A critic judges the text as the model wrote it; cleaning and the format check follow. An article without a
-    title is an error.
+    title is an error. Prompts show the first ``snippet_chars`` characters of an article, or with None all of it.
     """
     inputs = candidates.select("id", "rephrased_article", F.col("title").isNotNull().alias("titled"))
-    articles = with_snippet(model.spread(inputs))
+    articles = with_snippet(model.spread(inputs), snippet_chars)
     prompt = F.when(F.col("titled"), render(templates.hook, body_snippet=F.col("snippet")))
     hooked = staging.save(with_lead(model.generate(articles, prompt, HOOK_CALL, "hook")), "hook")
     hook = F.col("hook")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from masthead.functions.payload import SNIPPET_CHARS
 from masthead.operators.candidates import GENERATION_WINDOW_S, pending, recent
 from masthead.operators.generation import generate_headlines
 from masthead.operators.inference import ModelRunner
@@ -51,6 +52,7 @@ def stream_headlines(
     as_of: Callable[[], int] = _now,
     window_s: int = GENERATION_WINDOW_S,
     once: bool = True,
+    snippet_chars: int | None = SNIPPET_CHARS,
 ) -> StreamingQuery:
     """Decide headlines for everything that has arrived, and stop.
 
@@ -78,7 +80,7 @@ def stream_headlines(
             if chosen.isEmpty():
                 decisions = spark.createDataFrame([], DECISIONS)
             else:
-                decisions = generate_headlines(chosen.drop("scraped_at"), model, templates, staging)
+                decisions = generate_headlines(chosen.drop("scraped_at"), model, templates, staging, snippet_chars)
             decisions.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
             decided = spark.read.schema(DECISIONS).parquet(f"{out}/batch_id={batch_id}")
             rejected = rejections(decided, F.timestamp_seconds(F.lit(now)))

@@ -329,8 +329,10 @@ def test_payload_round_trip(spark):
     rows = (
         with_content(df.withColumn("p", deflate(F.col("t"))), "p")
         .withColumn("s", snippet(F.col("content")))
+        .withColumn("whole", snippet(F.col("content"), None))
         .orderBy("n")
         .collect()
     )
     assert [row["content"] for row in rows] == [text or "" for text in texts]
     assert [row["s"] for row in rows] == [(text or "")[:1500] for text in texts]
+    assert [row["whole"] for row in rows] == [row["content"] for row in rows]
