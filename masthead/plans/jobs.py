@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from masthead.functions.payload import SNIPPET_CHARS
 from masthead.operators.audit import audit_headlines
 from masthead.operators.candidates import (
     AUDIT_WINDOW_S,
@@ -20,11 +21,11 @@ from masthead.operators.updates import apply_decisions, rejections
 from masthead.plans.reports import audit_summary, generation_summary
 from masthead.schema import DECISIONS
 from masthead.sources.articles import read_articles
-from masthead.sources.sinks import append_rejections, update_articles
-from masthead.sources.staging import Staging
+from masthead.sources.sinks import replace_rejections, update_articles
+from masthead.sources.staging import Staging, is_complete
 from masthead.sources.templates import Templates
 
-Cascade = Callable[[DataFrame, ModelRunner, Templates, Staging], DataFrame]
+Cascade = Callable[[DataFrame, ModelRunner, Templates, Staging, int | None], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -47,15 +48,18 @@ def run_generation(
     shards: int = 1,
     number: int | None = None,
     store: str | None = None,
+    snippet_chars: int | None = SNIPPET_CHARS,
 ) -> Run:
     """Give waiting articles a headline: all of the window, or with ``limit`` the newest.
 
-    Writes ``<out>/decisions`` and appends to ``<out>/rejections``. With ``store``, the folder ``articles`` was
-    read from, the decisions are also written into the stored table.
+    Writes ``<out>/decisions`` and ``<out>/rejections``. With ``store``, the folder ``articles`` was
+    read from, the decisions are also written into the stored table. Started again with the same ``out`` after it
+    was interrupted, the run keeps complete decisions, asks the model nothing, and does what is left. Prompts
+    show the first ``snippet_chars`` characters of an article, or with None all of it.
     """
     chosen = generation_candidates(articles, as_of, limit, GENERATION_WINDOW_S, shards, number)
     chosen = chosen.select("id", "title", "rephrased_article")
-    decisions = _decide(spark, chosen, generate_headlines, model, templates, out, limit)
+    decisions = _decide(spark, chosen, generate_headlines, model, templates, out, limit, snippet_chars)
     updated = _update(spark, articles, decisions, as_of - GENERATION_WINDOW_S, store)
     return Run(decisions, updated, generation_summary(decisions, limit))
 
@@ -71,11 +75,12 @@ def run_audit(
     shards: int = 1,
     number: int | None = None,
     store: str | None = None,
+    snippet_chars: int | None = SNIPPET_CHARS,
 ) -> Run:
     """Audit published headlines and repair the refused ones; written like a generation run."""
     chosen = audit_candidates(articles, as_of, limit, AUDIT_WINDOW_S, shards, number)
     chosen = chosen.select("id", "rephrased_title", "rephrased_article")
-    decisions = _decide(spark, chosen, audit_headlines, model, templates, out, limit)
+    decisions = _decide(spark, chosen, audit_headlines, model, templates, out, limit, snippet_chars)
     updated = _update(spark, articles, decisions, as_of - AUDIT_WINDOW_S, store)
     return Run(decisions, updated, audit_summary(decisions, updated, as_of))
 
@@ -88,17 +93,33 @@ def _decide(
     templates: Templates,
     out: str,
     limit: int | None,
+    snippet_chars: int | None,
 ) -> DataFrame:
+    if not is_complete(spark, f"{out}/decisions"):
+        _run(spark, chosen, cascade, model, templates, out, limit, snippet_chars)
+    decisions = spark.read.schema(DECISIONS).parquet(f"{out}/decisions")
+    replace_rejections(rejections(decisions), f"{out}/rejections")
+    return decisions
+
+
+def _run(
+    spark: SparkSession,
+    chosen: DataFrame,
+    cascade: Cascade,
+    model: ModelRunner,
+    templates: Templates,
+    out: str,
+    limit: int | None,
+    snippet_chars: int | None,
+) -> None:
     with Staging(spark) as staging:
         if limit is not None:
             # A small batch comes in one partition; the model should have more.
             chosen = chosen.repartition(max(1, min(limit, spark.sparkContext.defaultParallelism)), "id")
             # Text is unpacked behind the top-k: Spark would otherwise unpack every candidate first.
             chosen = staging.save(chosen, "batch")
-        cascade(chosen, model, templates, staging).write.parquet(f"{out}/decisions")
-    decisions = spark.read.schema(DECISIONS).parquet(f"{out}/decisions")
-    append_rejections(rejections(decisions), f"{out}/rejections")
-    return decisions
+        decided = cascade(chosen, model, templates, staging, snippet_chars)
+        decided.write.mode("overwrite").parquet(f"{out}/decisions")  # over what an interrupted run left
 
 
 def _update(

@@ -65,6 +65,12 @@ def append_rejections(rejected: DataFrame, path: str) -> None:
     by_day.write.mode("append").partitionBy("run_date").parquet(path)
 
 
+def replace_rejections(rejected: DataFrame, path: str) -> None:
+    """Write the rejections of one run to a folder of its own, one folder per day. Repeating it changes nothing but the time."""
+    by_day = rejected.withColumn("run_date", F.to_date("ts"))
+    by_day.write.mode("overwrite").partitionBy("run_date").parquet(path)
+
+
 def append_rejection_log(rejected: DataFrame, path: str) -> None:
     """Append to the rejections as lines of text."""
     rejected.select(rejection_line(F.col("ts")).alias("value")).write.mode("append").text(path)

@@ -30,6 +30,12 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_roots[app].name
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Has a write to this folder been committed? A job's committer leaves a mark when all its files are in place."""
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
 class Staging:
     """The staged tables of one run. As a context manager it deletes them at the end."""
 

@@ -9,6 +9,7 @@ from pyspark import cloudpickle
 
 from masthead.operators.inference import ModelRunner
 from masthead.operators.updates import apply_decisions, latest_decisions
+from masthead.plans import jobs
 from masthead.plans.jobs import run_audit, run_generation
 from masthead.schema import ARTICLES, DECISIONS
 from masthead.sources.articles import read_articles
@@ -70,6 +71,28 @@ def test_failing_articles_stay_pending(spark, tmp_path, script):
     assert run.summary.first()["errors"] == 1
 
 
+def test_interrupted_run_is_finished_without_the_model(spark, tmp_path, script, monkeypatch):
+    refused = zlib.compress(b"a wrong headline here|a safe headline here|a safe headline here")
+    table = spark.createDataFrame([article(1), article(2, text=STUCK), article(3, text=refused)], ARTICLES)
+    out = str(tmp_path / "1")
+
+    def interrupted(*_):
+        raise RuntimeError("interrupted")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs, "replace_rejections", interrupted)
+        with pytest.raises(RuntimeError, match="interrupted"):
+            run_generation(spark, table, ModelRunner(script), TEMPLATES, out, NOW)
+    asked = sorted(p.name for p in (tmp_path / "notes").iterdir())
+    for _ in range(2):
+        run = run_generation(spark, table, ModelRunner(script), TEMPLATES, out, NOW)
+        assert headlines(run.articles) == {
+            1: ("A good headline here", 0), 2: (None, None), 3: ("A safe headline here", 0),
+        }
+        assert 0 < spark.read.parquet(f"{out}/rejections").count() == run.decisions.selectExpr("explode(attempts)").count()
+    assert sorted(p.name for p in (tmp_path / "notes").iterdir()) == asked
+
+
 def test_audit_job(spark, tmp_path, script):
     rows = [article(n, age=n, title="a good headline here", flag=0 if n else None) for n in range(2)]
     rows += [article(2, age=2, title="made up", flag=0), article(3, age=3, title="made up", flag=0, text=STUCK)]
