@@ -64,13 +64,13 @@ def capped_count(words: Column) -> Column:
 
 
 def _solid(word: str, position: int) -> str:
-    bare = f"find_in_set(btrim(lower({word}), :marks), :tails) = 0"
-    return f"{bare} and not endswith(lower({word}), 'ing')" if position > GERUND_AFTER else bare
+    bare = f"find_in_set(btrim({word}, :marks), :tails) = 0"
+    return f"{bare} and not endswith({word}, 'ing')" if position > GERUND_AFTER else bare
 
 
 def kept_words(words: str, count: str) -> Column:
-    """How many of the first ``count`` words (both column names) stay: up to the last one a headline may end
-    on, 0 if none.
+    """How many of the first ``count`` words (both column names, the words in lower case) stay: up to the last
+    one a headline may end on, 0 if none.
 
     A word is dropped only if all behind it are, so its own position is the length it is judged at. At most
     14 positions exist; they are tried from the back, and the first hit ends the search.
@@ -98,7 +98,8 @@ def with_lead_headline(df: DataFrame, content: str, into: str) -> DataFrame:
         drop_date_lead(first_sentence(F.col(content))).alias("_sentence"),
         sentence_words(sentence).alias("_words"),
         capped_count(words).alias("_count"),
-        kept_words("_words", "_count").alias("_kept"),
+        sentence_words(F.lower(sentence)).alias("_lower"),  # once, not at every position: keeps the method small
+        kept_words("_lower", "_count").alias("_kept"),
         trim_tail(words, kept).alias("_lead"),
     )
-    return with_clean_headline(steps, "_lead", into).drop("_sentence", "_words", "_count", "_kept", "_lead")
+    return with_clean_headline(steps, "_lead", into).drop("_sentence", "_words", "_lower", "_count", "_kept", "_lead")
