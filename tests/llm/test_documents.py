@@ -107,6 +107,35 @@ def test_passages(documents, rows):
         assert r.n_equal >= passages.AGREEMENT * max(r.end - r.start, r.source_end - r.source_start)
 
 
+def uncovered(texts: dict[int, str], found) -> set[tuple[int, int]]:
+    """Documents and places of repeated LENGTH-word windows with a word that no passage of the document has."""
+    size, first, out, covered = passages.LENGTH, {}, set(), defaultdict(set)
+    for r in found:
+        covered[r.doc_id].update(range(r.start, r.end))
+    for doc in sorted(texts):
+        words = lower(texts[doc] or "").split()
+        for i in range(len(words) - size + 1):
+            if first.setdefault(tuple(words[i : i + size]), doc) != doc and not covered[doc].issuperset(range(i, i + size)):
+                out.add((doc, i))
+    return out
+
+
+def test_passage_whose_parts_stand_in_different_documents(documents):
+    shared = prose(40, 90).split()
+    rows = [(k, " ".join([prose(1000 + k, 30), *shared[8 * k : 8 * k + 24], prose(2000 + k, 30)])) for k in range(10)]
+    rows += [(50 + k, " ".join([prose(3000 + k, 70), *shared, prose(4000 + k, 40)])) for k in range(3)]
+    rows += [(60 + k, "so on and " * (80 + k) + prose(5000 + k, 20)) for k in range(3)]
+    found = passages.repeated_passages(documents(rows)).collect()
+    assert uncovered(dict(rows), found) == set()
+    assert {(51, 50, 70, 160, 90), (52, 50, 70, 160, 90)} <= {(r.doc_id, r.source_id, r.start, r.end, r.n_equal) for r in found}
+
+
+def test_every_repeated_window_is_in_a_passage(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = passages.repeated_passages(docs).collect()
+    assert uncovered({r.doc_id: r.text for r in docs.collect()}, found) == set()
+
+
 def test_chain_is_the_best_of_all_chains():
     pick = random.Random(5)
     for _ in range(50):
