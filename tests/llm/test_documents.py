@@ -130,6 +130,30 @@ def test_passage_whose_parts_stand_in_different_documents(documents):
     assert {(51, 50, 70, 160, 90), (52, 50, 70, 160, 90)} <= {(r.doc_id, r.source_id, r.start, r.end, r.n_equal) for r in found}
 
 
+def test_all_passages_of_a_chain(documents):
+    one, two = edited(prose(60, 70), 1, 3), prose(61, 60)
+    rows = [(1, f"{prose(60, 70)} {prose(62, 150)} {two} {prose(63, 30)}"), (2, f"{prose(64, 20)} {one} {prose(65, 40)} {edited(two, 2, 4)} {prose(66, 300)}")]
+    found = sorted((r.start, r.source_start, r.n_equal) for r in passages.repeated_passages(documents(rows)).collect())
+    assert len(found) == 2
+    assert [(round(a / 10), round(b / 10)) for a, b, _ in found] == [(2, 0), (13, 22)]
+    assert found[0][2] >= 60 and found[1][2] >= 50
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_align_finds_what_qualifies(seed):
+    """A stretch from one equal word to another is no passage only if it meets one, or falls short."""
+    pick = random.Random(seed)
+    a = np.arange(400)
+    b = np.array([k if pick.random() < (0.95 if k // 80 % 2 else 0.78) else -1 - k for k in range(400)])
+    found = passages.align(a.astype(np.uint64), b.astype(np.int64).view(np.uint64))
+    equal = np.flatnonzero(a == b)
+    assert found and all(n == (a[i:end] == b[i:end]).sum() and n >= 0.8 * (end - i) and end - i >= passages.LENGTH for i, end, _, _, n in found)
+    for x in equal:
+        for y in equal[equal >= x + passages.LENGTH - 1]:
+            if (a[x : y + 1] == b[x : y + 1]).mean() >= 0.8:
+                assert any(x < end and i <= y for i, end, *_ in found)
+
+
 def test_every_repeated_window_is_in_a_passage(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = passages.repeated_passages(docs).collect()
