@@ -1,19 +1,22 @@
 """From raw documents to packed training sequences, in five stages.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that the caller writes as Parquet and rereads as the next
-stage's ``docs``. All but the last return the columns of ``documents``. A row without id is never dropped as a duplicate.
+stage's ``docs``. All but the last return the columns of ``documents``. Duplicates are dropped by row: of rows repeated whole
+one stays, and rows that share an id, or have none, are documents of their own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from masthead.llm import exact, jaccard, language, packing, pii
-from masthead.llm.common import held_out, release, table
+from masthead.llm.common import held_out, release, staging, table
 from masthead.llm.queries import word_tokenizer
 from masthead.sources.staging import Staging
 
+ROW = "row_of_stage"
+
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that could be told; a missing ``lang`` is filled in."""
@@ -24,18 +27,32 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return found.select(*[(filled if c == "lang" else F.col(f"kept.{c}")).alias(c) for c in columns])
 
 
+def _numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The rows with a number of their own each, as ids may repeat or be null; written, so that it stays the same."""
+    return staging(spark).save(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
+def _first_of(docs: DataFrame, groups: DataFrame, *rank: Column) -> DataFrame:
+    """Of each group (ROW, member_of) the row of lowest rank, then of the smallest id; a row without id comes last."""
+    order = F.struct(*rank, F.col("doc_id").isNull(), F.col("doc_id"), F.col(ROW))
+    best = docs.select(ROW, order.alias("order")).join(groups, ROW).groupBy("member_of").agg(F.min("order").alias("best"))
+    return docs.join(best.select(f"best.{ROW}"), ROW, "left_semi").drop(ROW)
+
+
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
+    """One row of each group of equal texts: the longest, then the one with the smallest id."""
     release()
-    gone = exact.exact_duplicates(docs).filter("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    docs = _numbered(spark, docs)
+    groups = exact.exact_duplicates(docs, ROW).select(F.col("doc_id").alias(ROW), F.col("keep_id").alias("member_of"))
+    return _first_of(docs, groups, -F.length(F.coalesce("text", F.lit(""))))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each group of similar texts."""
+    """One row, the one with the smallest id, of each group of similar texts."""
     release()
-    gone = jaccard.similar_groups(docs).filter("component_id <> doc_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    docs = _numbered(spark, docs)
+    groups = jaccard.similar_groups(docs, ROW).select(F.col("doc_id").alias(ROW), F.col("component_id").alias("member_of"))
+    return _first_of(docs, groups)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

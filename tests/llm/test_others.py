@@ -101,6 +101,33 @@ def test_pipeline(spark):
     assert {r.doc_id for r in corpus_pipeline.run(spark, SF_DIR).collect()} == seen
 
 
+def test_duplicates_are_dropped_by_row(spark):
+    a, b, c = (" ".join(f"{name}{k}" for k in range(60)) for name in "abc")
+    rows = [(7, a), (3, a), (7, b), (5, c), (5, c), (9, c + " "), (None, b), (None, "x y"), (None, "x y"), (1, None), (2, " ")]
+    near = [(4, a + " z"), (7, b + " z"), (6, b + " q"), (None, c + " z"), (8, "p q"), (8, "q p")]
+    docs = spark.createDataFrame([(k, text, "en", "s", len(text or "")) for k, text in rows + near], "doc_id long, text string, lang string, source string, n_chars long")
+
+    def same(x, y):
+        return "".join((x or "").split()) == "".join((y or "").split())
+
+    def rank(row):
+        return row[0] is None, row[0] or 0
+
+    want = []
+    for row in sorted(rows + near, key=lambda r: (-len(r[1] or ""), *rank(r))):
+        if not any(same(row[1], kept[1]) for kept in want):
+            want.append(row)
+    left = _kept(spark, corpus_pipeline.without_copies, docs)
+    assert Counter((r.doc_id, r.text) for r in left.collect()) == Counter(want)
+
+    def group(row):
+        return row[1][:2] if row[1] and len(row[1]) > 9 else row[1]
+
+    want_near = [min((r for r in want if group(r) == g), key=rank) for g in {group(r) for r in want}]
+    found = Counter((r.doc_id, r.text) for r in corpus_pipeline.without_near_copies(spark, left, SF_DIR).collect())
+    assert found == Counter(want_near)
+
+
 def _kept(spark, stage, docs):
     found = stage(spark, docs, SF_DIR)
     return spark.createDataFrame(found.collect(), found.schema)
