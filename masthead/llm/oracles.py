@@ -89,10 +89,50 @@ from (select doc_id, sha256(norm) as text_sha256,
 """
 
 
+# crc32 byte by byte from its table; near words meet in the word without one letter.
+SPELLING = r"""
+with recursive crc as (
+  select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t),
+runs as (
+  select doc_id, run, count(*) as n from (
+    select doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run from documents)
+  where length(run) >= 7 group by all),
+hashed as (
+  select run, n, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(coalesce(doc_id::varchar, '') || ':' || run, ''),
+    lambda c: case when unicode(c) < 128 then [unicode(c)::bigint] else [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)]::bigint[] end))),
+    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) as h
+  from runs, crc),
+words as (
+  select word, sum(n)::bigint as n from (
+    select case when h % 31 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word, n from hashed)
+  where length(word) >= 7 group by word having sum(n) >= 2),
+cut as (
+  select word, i, substr(word, 1, i - 1) || substr(word, i + 1) as rest
+  from (select word, unnest(range(1, length(word) + 1)) as i from words)),
+near as (
+  select a.word, b.word as other from cut a join cut b on a.i = b.i and a.rest = b.rest and a.word <> b.word
+  union select word, rest from cut where rest in (select word from words)
+  union select rest, word from cut where rest in (select word from words)),
+best as (
+  select near.word, count(*) as n_near, first(other order by w.n desc, other) as other, max(w.n) as other_n
+  from near join words w on w.word = near.other group by near.word),
+forms as (
+  select word, n, coalesce(n_near, 0) as n_near, case when other_n >= 10 * n then other end as form, case when other_n >= 10 * n then other_n end as form_n
+  from words left join best using (word)),
+steps(word, root) as (
+  select word, word from forms union all select s.word, f.form from steps s join forms f on f.word = s.root where f.form is not null)
+select f.word, form, s.root, n, n_near, form_n
+from forms f join steps s on s.word = f.word where s.root in (select word from forms where form is null)
+"""
+
+
 def oracles() -> dict[str, str]:
     return {
         "op1_preference_pairs": PREFERENCE,
         "op4_adaptive_prefix_join": SIMILAR,
         "op5_robust_pruned_graph": VECTORS,
         "op6_chunk_recipes": EXACT,
+        "op11_kd_letter_counts": SPELLING,
     }

@@ -8,7 +8,21 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from masthead.llm import exact, jaccard, language, neighbours, packing, passages, pieces, pii, preference, quality
+from masthead.llm import (
+    alignment,
+    exact,
+    jaccard,
+    language,
+    neighbours,
+    packing,
+    passages,
+    pieces,
+    pii,
+    preference,
+    quality,
+    secret_scan,
+    spelling,
+)
 from masthead.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +100,20 @@ def op10_batched_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("ids").alias("n_ids"), "ids_crc32", "round_trip")
 
 
+def op11_kd_letter_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.count_words(table(spark, sf_dir, "documents")))
+
+
+def op12_recursive_decoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
+def op13_interval_coalescing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = Path(tokenizer_path("byte_bpe_50k.json")).read_text()
+    second = Path(tokenizer_path("piece_bpe_32k.model")).read_bytes()
+    return alignment.aligned_documents(table(spark, sf_dir, "documents"), first, second)
+
+
 def registered() -> dict[str, Query]:
     every = (
         op1_preference_pairs,
@@ -98,5 +126,8 @@ def registered() -> dict[str, Query]:
         op8_collinear_chains,
         op9_information_theoretic,
         op10_batched_viterbi,
+        op11_kd_letter_counts,
+        op12_recursive_decoding,
+        op13_interval_coalescing,
     )
     return {f.__name__: f for f in every}
