@@ -56,11 +56,15 @@ def expected(rows, files) -> list[tuple]:
     for doc, text in rows:
         a, b = tokens(text, files)
         common = sorted({e for _, _, e in a} & {e for _, _, e in b})
-        groups, start = [], 0
+        groups, rest = [], (list(reversed(a)), list(reversed(b)))
         for end in common:
-            inside = [",".join(str(i) for i, s, e in side if start <= s and e <= end) for side in (a, b)]
+            inside = []
+            for side in rest:
+                own = []
+                while side and side[-1][2] <= end:
+                    own.append(str(side.pop()[0]))
+                inside.append(",".join(own))
             groups.append("|".join(inside))
-            start = end
         links, first = [], 0
         for i, s, e in a:
             while first < len(b) and b[first][2] <= s:
