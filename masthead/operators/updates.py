@@ -83,7 +83,7 @@ def rejections(decisions: DataFrame, ts: Column | None = None) -> DataFrame:
 
 
 def rejection_line(ts: Column) -> Column:
-    """One rejection as a line of the log file."""
+    """One rejection as a line of the log file. Fixed value: the form of the line."""
     return F.concat(
         F.lit("["), F.date_format(ts, "yyyy-MM-dd HH:mm:ss"), F.lit("] Article ID: "), F.col("id").cast("string"),
         F.lit(" | Stage: "), F.col("stage"), F.lit(" | Generated: '"), F.col("generated"),
