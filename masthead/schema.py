@@ -5,6 +5,8 @@ ARTICLES = (
     "rephrased_title string, headline_verified int"
 )
 
+ARTICLE_COLUMNS = [c.split()[0] for c in ARTICLES.split(", ")]
+
 # Stored articles are partitioned by the day they were scraped on, counted from the epoch.
 DAY_COLUMN = "scraped_day"
 DAY_S = 86400

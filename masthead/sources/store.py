@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from masthead.operators.updates import apply_decisions, written
-from masthead.schema import ARTICLES, DAY_COLUMN, DAY_S, DECISIONS
+from masthead.schema import ARTICLE_COLUMNS, ARTICLES, DAY_COLUMN, DAY_S, DECISIONS
 
 NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
 KEPT = 50  # versions that `expire` leaves
@@ -144,8 +144,7 @@ def create_store(articles: DataFrame, path: str) -> None:
         raise ValueError(f"there is a stored table in {path}")
     _, files = _files(spark, path)
     files.mkdirs(_files(spark, f"{path}/versions")[0])
-    columns = [c.strip().split()[0] for c in ARTICLES.split(",")]
-    days = _write_days(_day(articles.select(*columns)), path)
+    days = _write_days(_day(articles.select(*ARTICLE_COLUMNS)), path)
     if not _publish(spark, path, Version(1, days)):
         raise ValueError(f"somebody else has just made a stored table in {path}")
 

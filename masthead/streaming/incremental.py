@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,10 +13,14 @@ from masthead.functions.payload import SNIPPET_CHARS
 from masthead.operators.candidates import GENERATION_WINDOW_S, pending, recent
 from masthead.operators.generation import generate_headlines
 from masthead.operators.inference import ModelRunner
-from masthead.operators.updates import rejections, written
-from masthead.schema import ARTICLES, DECISIONS
+from masthead.operators.updates import rejections
+from masthead.schema import ARTICLE_COLUMNS, ARTICLES, DECISIONS
 from masthead.sources.staging import Staging
+from masthead.sources.store import update_store
 from masthead.sources.templates import Templates
+from masthead.streaming.once import ATTEMPT, KEEP_S, only_batches_with_data, passing
+
+RETRY_S = 600.0
 
 
 def _now() -> int:
@@ -31,16 +35,9 @@ def stream_articles(spark, path: str, files_per_batch: int | None = None, form:
     return reader.load(path)
 
 
-def once_per_id(stream: DataFrame, delay_s: int = GENERATION_WINDOW_S) -> DataFrame:
-    """Only the first arrival of every article. State is kept for ``delay_s`` seconds of scrape time; whatever is older than
-    the newest article by more than that is dropped as late, so dates ahead of the clock must be kept out. The
-    headline stream does without it and asks its own log."""
-    return (
-        stream.withColumn("_scraped", F.timestamp_seconds("scraped_at"))
-        .withWatermark("_scraped", f"{delay_s} seconds")
-        .dropDuplicatesWithinWatermark(["id"])
-        .drop("_scraped")
-    )
+def once_per_id(stream: DataFrame, keep_s: int = KEEP_S) -> DataFrame:
+    """Only the first arrival of every article, whatever its dates. Ids are remembered for ``keep_s`` seconds of the clock."""
+    return passing(stream.withColumn(ATTEMPT, F.lit(0)), keep_s).drop(ATTEMPT)
 
 
 def stream_headlines(
@@ -53,57 +50,64 @@ def stream_headlines(
     window_s: int = GENERATION_WINDOW_S,
     once: bool = True,
     snippet_chars: int | None = SNIPPET_CHARS,
+    store: str | None = None,
+    trigger_s: float | None = None,
+    retry_s: float = RETRY_S,
+    keep_s: int = KEEP_S,
 ) -> StreamingQuery:
-    """Decide headlines for everything that has arrived, and stop.
+    """Decide headlines for everything that has arrived, and stop; with ``trigger_s``, look again that often and go on.
 
     Every micro-batch writes its decisions to ``<out>/batch_id=<n>`` and the rejected texts to
     ``<out>/_rejections/batch_id=<n>``, replacing what an earlier attempt at the same batch left, so a replayed batch
-    changes nothing. Started again on the same checkpoint, only new files are taken. The age rule uses the clock
-    of the micro-batch, like a batch run.
-
-    With ``once``, an article that has a decision is not taken again; the log is asked for the ids of the micro-batch,
-    so neither dates ahead of the clock nor late arrivals matter. Articles that failed go to ``<out>/_failed`` and are tried
-    again with the next micro-batch, in their newest version.
+    changes nothing. With ``store``, a table of :func:`masthead.sources.store.create_store`, arrivals it does not hold are added
+    to it and the decisions written into it, as one new version for each micro-batch. Started again on the same
+    checkpoint, only new files are taken. The age rule uses the clock of the micro-batch, like a batch run.
+
+    With ``once``, an article that has arrived is not taken again for ``keep_s`` seconds; keyed state remembers its id, and
+    nothing is read of what was decided before. Articles that failed are written to ``<out>/_retry``, which the stream reads as
+    well. They are tried again as long as they are in the window: by a run that ends, in the next run, with or without new
+    files; by one that goes on, after ``retry_s`` seconds, twice as long after each further failure. A new arrival of
+    a failed article takes its place.
     """
-    kept = ["id", "title", "rephrased_article", "scraped_at"]
+    spark = stream.sparkSession
+    again = f"{out}/_retry"
+    _make_folder(spark, again)
+    failed = spark.readStream.schema(f"{ARTICLES}, {ATTEMPT} int").parquet(again)
+    rows = stream.select(*ARTICLE_COLUMNS).withColumn(ATTEMPT, F.lit(0)).unionByName(failed)
+    if once:
+        rows = passing(rows, keep_s, 0 if trigger_s is None else retry_s)
 
     def decide_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        session = batch.sparkSession
         now = as_of()
-        with Staging(spark) as staging:
-            chosen = recent(batch, now, window_s).select(*kept)
-            if once:
-                chosen = chosen.dropDuplicates(["id"])
-            chosen = staging.save(chosen, "arrived")
-            if batch_id > 0:
-                chosen = staging.save(_with_failed(chosen, out, batch_id, now, window_s, once), "batch")
+        with Staging(session) as staging:
+            arrived = staging.save(batch, "arrived")
+            due = recent(pending(arrived), now, window_s)
+            if not once:
+                due = due.dropDuplicates(["id"])
+            chosen = staging.save(due.select("id", "title", "rephrased_article"), "due")
             if chosen.isEmpty():
-                decisions = spark.createDataFrame([], DECISIONS)
+                decisions = session.createDataFrame([], DECISIONS)
             else:
-                decisions = generate_headlines(chosen.drop("scraped_at"), model, templates, staging, snippet_chars)
+                decisions = generate_headlines(chosen, model, templates, staging, snippet_chars)
             decisions.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-            decided = spark.read.schema(DECISIONS).parquet(f"{out}/batch_id={batch_id}")
+            decided = session.read.schema(DECISIONS).parquet(f"{out}/batch_id={batch_id}")
             rejected = rejections(decided, F.timestamp_seconds(F.lit(now)))
             rejected.write.mode("overwrite").parquet(f"{out}/_rejections/batch_id={batch_id}")
-            failed = chosen.join(decided.filter("outcome = 'error'").select("id"), "id", "left_semi")
-            failed.write.mode("overwrite").parquet(f"{out}/_failed/batch_id={batch_id}")
-
-    return (
-        pending(stream)
-        .writeStream.foreachBatch(decide_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
-def _with_failed(arrived: DataFrame, out: str, batch_id: int, now: int, window_s: int, once: bool) -> DataFrame:
-    """The arrivals without a decision, and what failed in the micro-batch before."""
-    spark = arrived.sparkSession
-    if once:
-        log = spark.read.schema("id bigint, outcome string, batch_id bigint").parquet(out)
-        seen = written(log.filter(F.col("batch_id") < batch_id)).select("id")
-        arrived = arrived.join(seen.join(arrived.select("id"), "id", "left_semi"), "id", "left_anti")
-    failed = spark.read.schema(arrived.schema).parquet(f"{out}/_failed/batch_id={batch_id - 1}")
-    again = recent(failed, now, window_s).join(arrived.select("id"), "id", "left_anti")
-    return arrived.unionByName(again)
+            if store is not None:
+                new = arrived.drop(ATTEMPT).dropDuplicates(["id"])
+                update_store(session, store, decided, now - window_s, new, source=out, batch=batch_id)
+            lost = staging.save(due.join(decided.filter("outcome = 'error'").select("id"), "id", "left_semi"), "failed")
+            if not lost.isEmpty():  # a replay adds them a second time, which the state makes up for
+                lost.withColumn(ATTEMPT, F.col(ATTEMPT) + 1).write.mode("append").parquet(again)
+
+    writer = rows.writeStream.foreachBatch(decide_batch).option("checkpointLocation", checkpoint)
+    if trigger_s is not None:
+        return writer.trigger(processingTime=f"{trigger_s} seconds").start()
+    with only_batches_with_data(spark):
+        return writer.trigger(availableNow=True).start()
+
+
+def _make_folder(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)

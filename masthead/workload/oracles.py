@@ -396,8 +396,12 @@ def oracles() -> dict[str, str]:
             *_audited(), final="select stage, outcome, count(*) as n from decided group by 1, 2"
         ),
         "streamed_headlines": _with(
+            *_generated(_WAITING), _UPDATED, final="select id, rephrased_title, headline_verified from updated"
+        ),
+        "streamed_decisions": _with(
             *_generated(_WAITING),
-            final="select id, headline, verified, outcome from decided where outcome <> 'error'",
+            final="""select id, headline, verified, outcome, case when outcome = 'error' then 2 else 1 end::bigint as times
+              from decided""",
         ),
         "arrivals_once": _with(_ARTICLES, final="select id, 1::bigint as n from articles"),
         "still_waiting": _with(

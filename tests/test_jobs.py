@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import zlib
 
 import pytest
@@ -15,6 +16,8 @@ from masthead.schema import ARTICLES, DECISIONS
 from masthead.sources.articles import read_articles
 from masthead.sources.sinks import write_articles
 from masthead.sources.staging import Staging, shared_folder
+from masthead.sources.store import create_store, read_store, version
+from masthead.streaming import incremental
 from masthead.streaming.incremental import stream_articles, stream_headlines
 from tests import scripted
 from tests.scripted import TEMPLATES, Script
@@ -33,6 +36,15 @@ def script(tmp_path):
     return Script(str(notes))
 
 
+@pytest.fixture
+def few(spark):
+    """Few partitions, as each of keyed state has a Python worker of its own."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def article(n, age=0, title=None, flag=None, text=TEXT):
     return (n, f"title {n}", text, NOW - age, title, flag)
 
@@ -151,7 +163,7 @@ def test_staging_is_removed(spark):
     assert not Path(staging.folder).exists()
 
 
-def test_stream(spark, tmp_path, script):
+def test_stream(spark, tmp_path, script, few):
     inbox, out, checkpoint = (str(tmp_path / name) for name in ("inbox", "out", "checkpoint"))
 
     def run():
@@ -183,20 +195,90 @@ def test_stream(spark, tmp_path, script):
     }
 
 
-def test_stream_retries_what_failed_and_bears_dates_ahead(spark, tmp_path, script):
-    inbox, out, checkpoint = (str(tmp_path / name) for name in ("inbox", "out", "checkpoint"))
+class Stream:
+    """An inbox, a log and a stored table."""
 
-    def run(*rows):
-        spark.createDataFrame(rows, ARTICLES).coalesce(1).write.mode("append").parquet(inbox)
-        stream = stream_articles(spark, inbox, files_per_batch=1)
-        query = stream_headlines(stream, ModelRunner(script), TEMPLATES, out, checkpoint, as_of=lambda: NOW)
-        query.awaitTermination()
-        log = spark.read.schema(f"{DECISIONS}, batch_id bigint").parquet(out)
+    def __init__(self, spark, folder, model):
+        self.spark, self.model = spark, ModelRunner(model)
+        self.inbox, self.out, self.checkpoint, self.store = (str(folder / name) for name in ("inbox", "out", "checkpoint", "store"))
+        create_store(spark.createDataFrame([], ARTICLES), self.store)
+
+    def arrive(self, *rows):
+        self.spark.createDataFrame(rows, ARTICLES).coalesce(1).write.mode("append").parquet(self.inbox)
+
+    def start(self, **how):
+        stream = stream_articles(self.spark, self.inbox, files_per_batch=1)
+        how = {"store": self.store} | how
+        return stream_headlines(stream, self.model, TEMPLATES, self.out, self.checkpoint, as_of=lambda: NOW, **how)
+
+    def run(self, *rows, **how):
+        """What the log holds after a run: (batch, id, decided)."""
+        if rows:
+            self.arrive(*rows)
+        self.start(**how).awaitTermination()
+        log = self.spark.read.schema(f"{DECISIONS}, batch_id bigint").parquet(self.out)
         return sorted((r["batch_id"], r["id"], r["outcome"] != "error") for r in log.collect())
 
-    assert run(article(1, age=-10 * 86400), article(7, text=STUCK)) == [(0, 1, True), (0, 7, False)]
-    assert run(article(2), article(1))[2:] == [(1, 2, True), (1, 7, False)]
-    assert run(article(7))[4:] == [(2, 7, True)]
-    assert run(article(3), article(7))[5:] == [(3, 3, True)]
-    rejected = spark.read.parquet(f"{out}/_rejections/batch_id=0")
+    def table(self):
+        rows = read_store(self.spark, self.store).select("id", "rephrased_title", "headline_verified").collect()
+        assert len(rows) == len({r["id"] for r in rows})
+        return {r["id"]: (r["rephrased_title"], r["headline_verified"]) for r in rows}
+
+
+GOOD = ("A good headline here", 0)
+
+
+def test_stream_retries_what_failed_and_bears_dates_ahead(spark, tmp_path, script, few):
+    stream = Stream(spark, tmp_path, script)
+    assert stream.run(article(1, age=-10 * 86400), article(7, text=STUCK), article(8, age=10**6)) == [(0, 1, True), (0, 7, False)]
+    assert stream.table() == {1: GOOD, 7: (None, None), 8: (None, None)}
+    assert stream.run()[2:] == [(1, 7, False)]  # without a new file
+    assert stream.run(article(2), article(1), article(8, age=10**6))[3:] == [(2, 2, True), (2, 7, False)]
+    assert stream.run(article(7))[5:] == [(3, 7, True)]  # a new arrival takes the place of what failed
+    assert stream.run(article(3), article(7))[6:] == [(4, 3, True)]
+    assert stream.run() == stream.run()
+    assert stream.table() == {1: GOOD, 2: GOOD, 3: GOOD, 7: (None, None), 8: (None, None)} | {7: GOOD}
+    rejected = spark.read.parquet(f"{stream.out}/_rejections/batch_id=0")
     assert rejected.columns == ["ts", "id", "stage", "generated", "reason"]
+
+
+def test_stream_that_goes_on_retries_by_the_clock(spark, tmp_path, script, few):
+    stream = Stream(spark, tmp_path, script)
+    stream.arrive(article(1), article(7, text=STUCK))
+    query = stream.start(trigger_s=0.5, retry_s=1)
+    try:
+        again = 0
+        for _ in range(120):
+            time.sleep(0.5)
+            log = spark.read.schema(f"{DECISIONS}, batch_id bigint").parquet(stream.out) if (tmp_path / "out").exists() else None
+            again = log.filter("id = 7").count() if log is not None else 0
+            if again > 1:
+                break
+        assert again > 1  # no file has come
+        assert log.filter("id = 1").count() == 1
+    finally:
+        query.stop()
+
+
+@pytest.mark.parametrize("where", ["update_store", "rejections"])
+def test_stream_fails_and_is_started_again(spark, tmp_path, script, few, monkeypatch, where):
+    """A failure before, or after, the new version of the table is published: the next start makes up for it."""
+    stream = Stream(spark, tmp_path, script)
+    real = getattr(incremental, where)
+
+    def broken(*args, **how):
+        if where == "update_store":
+            real(*args, **how)  # published, but the stream does not hear of it
+        raise OSError("no more power")
+
+    stream.arrive(article(1), article(2))
+    with monkeypatch.context() as patch:
+        patch.setattr(incremental, where, broken)
+        with pytest.raises(Exception, match="no more power"):
+            stream.start().awaitTermination()
+    published = where == "update_store"
+    assert stream.table() == ({1: GOOD, 2: GOOD} if published else {})
+    number = version(spark, stream.store).number
+    assert stream.run() == [(0, 1, True), (0, 2, True)]
+    assert stream.table() == {1: GOOD, 2: GOOD}
+    assert version(spark, stream.store).number == (number if published else 2)
