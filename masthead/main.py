@@ -18,6 +18,7 @@ from masthead.functions.payload import SNIPPET_CHARS
 from masthead.operators.inference import ModelRunner
 from masthead.plans.jobs import Run, run_audit, run_generation
 from masthead.sources.articles import read_articles
+from masthead.sources.store import is_store, read_store
 from masthead.sources.templates import load_templates
 
 
@@ -32,14 +33,15 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--batch-size", type=int, help="at most this many articles, the newest; default all of the window")
     parser.add_argument("--shard", type=int)
     parser.add_argument("--num-shards", type=int, default=1)
+    parser.add_argument("--all-shards", action="store_true", help="the batches of all shards in one run")
     parser.add_argument("--model-partitions", type=int, help="partitions of every model call")
     parser.add_argument("--rows-per-task", type=int, help="rows of a model call per task; beats the former")
     parser.add_argument("--prompts-per-call", type=int, default=64)
     parser.add_argument("--snippet-chars", type=int, default=SNIPPET_CHARS, help="characters of an article in a prompt; 0: all")
     parser.add_argument("--in-place", action="store_true", help="write the decisions into the article table")
     args = parser.parse_args(argv)
-    if args.in_place and args.shard is not None:
-        parser.error("--in-place replaces whole days, so runs of several shards would undo each other")
+    if args.all_shards and args.shard is not None:
+        parser.error("--shard and --all-shards exclude each other")
     return args
 
 
@@ -47,9 +49,12 @@ def run(spark: SparkSession, args: argparse.Namespace) -> Run:
     module, function = args.model.split(":")
     factory = getattr(import_module(module), function)
     job = run_generation if args.job == "generate" else run_audit
+    versioned = is_store(spark, args.articles)
+    if args.in_place and args.shard is not None and not versioned:
+        raise ValueError("a table without versions is replaced day by day, so runs of several shards would undo each other")
     return job(
         spark,
-        read_articles(spark, args.articles),
+        read_store(spark, args.articles) if versioned else read_articles(spark, args.articles),
         ModelRunner(factory, args.prompts_per_call, args.model_partitions, args.rows_per_task),
         load_templates(spark, args.templates),
         args.out,
@@ -59,6 +64,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> Run:
         number=args.shard,
         store=args.articles if args.in_place else None,
         snippet_chars=args.snippet_chars or None,
+        all_shards=args.all_shards,
     )
 
 

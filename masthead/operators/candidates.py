@@ -90,6 +90,13 @@ def newest_per_shard(df: DataFrame, shards: int, limit: int, salts: int = 16) ->
     )
 
 
+def newest_of_all_shards(df: DataFrame, shards: int, limit: int) -> DataFrame:
+    """The ``limit`` newest articles of every shard. Ranks the two key columns alone; the articles meet the chosen ids by an
+    equi-join. Ids are unique."""
+    keys = newest_per_shard(df.select("scraped_at", "id"), shards, limit).select("id")
+    return df.join(keys, "id", "left_semi")
+
+
 def headline_state() -> Column:
     """pending, unverified, verified or parked; NULL for an article without headline and text."""
     title = F.col("rephrased_title")
@@ -117,9 +124,10 @@ def generation_candidates(
     window_s: int = GENERATION_WINDOW_S,
     shards: int = 1,
     number: int | None = None,
+    all_shards: bool = False,
 ) -> DataFrame:
-    """What a generation run works on."""
-    return newest(shard(pending(recent(articles, as_of, window_s)), shards, number), limit)
+    """What a generation run works on; with ``all_shards``, the batches of all shards, of ``limit`` each."""
+    return _chosen(pending(recent(articles, as_of, window_s)), limit, shards, number, all_shards)
 
 
 def audit_candidates(
@@ -129,6 +137,15 @@ def audit_candidates(
     window_s: int = AUDIT_WINDOW_S,
     shards: int = 1,
     number: int | None = None,
+    all_shards: bool = False,
 ) -> DataFrame:
-    """What an audit run works on."""
-    return newest(shard(unverified(recent(articles, as_of, window_s)), shards, number), limit)
+    """What an audit run works on; with ``all_shards``, the batches of all shards, of ``limit`` each."""
+    return _chosen(unverified(recent(articles, as_of, window_s)), limit, shards, number, all_shards)
+
+
+def _chosen(df: DataFrame, limit: int | None, shards: int, number: int | None, all_shards: bool) -> DataFrame:
+    if not all_shards:
+        return newest(shard(df, shards, number), limit)
+    if number is not None:
+        raise ValueError("a run takes one shard or all of them")
+    return df.filter(F.col("id") >= 0) if limit is None else newest_of_all_shards(df, shards, limit)

@@ -18,11 +18,12 @@ from masthead.operators.candidates import (
 from masthead.operators.generation import generate_headlines
 from masthead.operators.inference import ModelRunner
 from masthead.operators.updates import apply_decisions, rejections
-from masthead.plans.reports import audit_summary, generation_summary
+from masthead.plans.reports import audit_shard_summary, audit_summary, generation_summary, shard_summary
 from masthead.schema import DECISIONS
 from masthead.sources.articles import read_articles
 from masthead.sources.sinks import replace_rejections, update_articles
 from masthead.sources.staging import Staging, is_complete
+from masthead.sources.store import is_store, read_store, update_store
 from masthead.sources.templates import Templates
 
 Cascade = Callable[[DataFrame, ModelRunner, Templates, Staging, int | None], DataFrame]
@@ -30,7 +31,7 @@ Cascade = Callable[[DataFrame, ModelRunner, Templates, Staging, int | None], Dat
 
 @dataclass(frozen=True)
 class Run:
-    """What a run decided, the articles with that applied, and the one-row summary."""
+    """What a run decided, the articles with that applied, and the summary: one row, or one for each shard."""
 
     decisions: DataFrame
     articles: DataFrame
@@ -49,19 +50,24 @@ def run_generation(
     number: int | None = None,
     store: str | None = None,
     snippet_chars: int | None = SNIPPET_CHARS,
+    all_shards: bool = False,
 ) -> Run:
-    """Give waiting articles a headline: all of the window, or with ``limit`` the newest.
+    """Give waiting articles a headline: all of the window, or with ``limit`` the newest. With ``all_shards``, the newest of every
+    shard in one run, and a summary for each shard.
 
     Writes ``<out>/decisions`` and ``<out>/rejections``. With ``store``, the folder ``articles`` was
-    read from, the decisions are also written into the stored table. Started again with the same ``out`` after it
+    read from, the decisions are also written into the stored table. One of
+    :func:`masthead.sources.store.create_store` may be written to by several runs at once. Started again with the same ``out`` after it
     was interrupted, the run keeps complete decisions, asks the model nothing, and does what is left. Prompts
     show the first ``snippet_chars`` characters of an article, or with None all of it.
     """
-    chosen = generation_candidates(articles, as_of, limit, GENERATION_WINDOW_S, shards, number)
+    chosen = generation_candidates(articles, as_of, limit, GENERATION_WINDOW_S, shards, number, all_shards)
     chosen = chosen.select("id", "title", "rephrased_article")
-    decisions = _decide(spark, chosen, generate_headlines, model, templates, out, limit, snippet_chars)
+    rows = _rows(limit, shards, all_shards)
+    decisions = _decide(spark, chosen, generate_headlines, model, templates, out, rows, snippet_chars)
     updated = _update(spark, articles, decisions, as_of - GENERATION_WINDOW_S, store)
-    return Run(decisions, updated, generation_summary(decisions, limit))
+    summary = shard_summary(decisions, shards, limit) if all_shards else generation_summary(decisions, limit)
+    return Run(decisions, updated, summary)
 
 
 def run_audit(
@@ -76,15 +82,24 @@ def run_audit(
     number: int | None = None,
     store: str | None = None,
     snippet_chars: int | None = SNIPPET_CHARS,
+    all_shards: bool = False,
 ) -> Run:
     """Audit published headlines and repair the refused ones; written like a generation run."""
-    chosen = audit_candidates(articles, as_of, limit, AUDIT_WINDOW_S, shards, number)
+    chosen = audit_candidates(articles, as_of, limit, AUDIT_WINDOW_S, shards, number, all_shards)
     chosen = chosen.select("id", "rephrased_title", "rephrased_article")
-    decisions = _decide(spark, chosen, audit_headlines, model, templates, out, limit, snippet_chars)
+    rows = _rows(limit, shards, all_shards)
+    decisions = _decide(spark, chosen, audit_headlines, model, templates, out, rows, snippet_chars)
     updated = _update(spark, articles, decisions, as_of - AUDIT_WINDOW_S, store)
+    if all_shards:
+        return Run(decisions, updated, audit_shard_summary(decisions, updated, as_of, shards))
     return Run(decisions, updated, audit_summary(decisions, updated, as_of))
 
 
+def _rows(limit: int | None, shards: int, all_shards: bool) -> int | None:
+    """How many articles a run takes at most."""
+    return limit if limit is None or not all_shards else limit * shards
+
+
 def _decide(
     spark: SparkSession,
     chosen: DataFrame,
@@ -127,5 +142,8 @@ def _update(
 ) -> DataFrame:
     if store is None:
         return apply_decisions(articles, decisions, since)
+    if is_store(spark, store):
+        update_store(spark, store, decisions, since)
+        return read_store(spark, store)
     update_articles(spark, store, decisions, since)
     return read_articles(spark, store)

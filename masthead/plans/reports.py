@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from masthead.functions.skip import skip_reason
 from masthead.functions.validate import reason_kind, with_format_reason
-from masthead.operators.candidates import AUDIT_WINDOW_S, any_unverified, headline_state
+from masthead.operators.candidates import AUDIT_WINDOW_S, any_unverified, headline_state, recent, unverified
 
 
 def _count(*outcomes: str) -> Column:
@@ -27,6 +27,46 @@ def generation_summary(decisions: DataFrame, batch: int | None = None) -> DataFr
     )
 
 
+def _by_shard(decisions: DataFrame, shards: int) -> DataFrame:
+    """The decisions with a row more for each shard, without an outcome, so that a shard without work is counted too."""
+    every = decisions.sparkSession.range(shards).select(F.col("id").alias("shard"), F.lit(None).cast("string").alias("outcome"))
+    return decisions.select((F.col("id") % shards).alias("shard"), "outcome").unionByName(every)
+
+
+def shard_summary(decisions: DataFrame, shards: int, batch: int | None = None) -> DataFrame:
+    """The counters of a generation run over all shards, a row for each shard. ``has_more`` says that the shard's batch was full."""
+    loaded = F.count("outcome")
+    return (
+        _by_shard(decisions, shards)
+        .groupBy("shard")
+        .agg(
+            loaded.alias("loaded"),
+            _count("hook", "safe").alias("processed"),
+            _count("fallback", "format_fallback").alias("fallback"),
+            _count("error").alias("errors"),
+            (F.lit(False) if batch is None else loaded == batch).alias("has_more"),
+        )
+    )
+
+
+def audit_shard_summary(decisions: DataFrame, updated: DataFrame, as_of: int, shards: int, window_s: int = AUDIT_WINDOW_S) -> DataFrame:
+    """The counters of an audit run over all shards, a row for each shard. ``has_more``: the shard got something done and has more to audit."""
+    counts = (
+        _by_shard(decisions, shards)
+        .groupBy("shard")
+        .agg(
+            F.count("outcome").alias("loaded"),
+            _count("validated").alias("validated"),
+            _count("fixed", "fallback").alias("fixed"),
+            _count("error").alias("llm_failures"),
+        )
+    )
+    left = unverified(recent(updated, as_of, window_s)).filter(F.col("id") >= 0).select((F.col("id") % shards).alias("shard")).distinct()
+    left = left.withColumn("_left", F.lit(True))
+    progress = F.col("validated") + F.col("fixed") > 0
+    return counts.join(left, "shard", "left").withColumn("has_more", progress & F.coalesce("_left", F.lit(False))).drop("_left")
+
+
 def audit_summary(
     decisions: DataFrame, updated: DataFrame, as_of: int, window_s: int = AUDIT_WINDOW_S
 ) -> DataFrame:

@@ -250,7 +250,7 @@ def oracles() -> dict[str, str]:
             _ARTICLES,
             final=f"select id, scraped_at from articles where {_WAITING} and id % 4 = 1 {_NEWEST} limit 10",
         ),
-        "newest_many": _with(_ARTICLES, final=f"select id, scraped_at from articles {_NEWEST} limit 12000"),
+        "newest_many": _with(_ARTICLES, final=f"select id, scraped_at // 200000 as scraped_at from articles order by 2 desc, 1 desc limit 70"),
         "pending_all": _with(_ARTICLES, final=f"select id, scraped_at from articles where {_WAITING}"),
         "audit_batch": _with(
             _ARTICLES,
@@ -380,6 +380,28 @@ def oracles() -> dict[str, str]:
             final=counted + ", count(*) = 10 as has_more from decided",
         ),
         "generation_counts_all": _with(*_generated(_WAITING), final=counted + ", false as has_more from decided"),
+        "generation_shard_counts": _with(
+            *_generated(f"{_WAITING} qualify row_number() over (partition by id % 4 {_NEWEST}) <= 2"),
+            final="""select shard, count(outcome) as loaded, count(*) filter (outcome in ('hook', 'safe')) as processed,
+              count(*) filter (outcome in ('fallback', 'format_fallback')) as fallback,
+              count(*) filter (outcome = 'error') as errors, count(outcome) = 2 as has_more
+              from (select unnest(range(4)) as shard) s left join decided on id % 4 = shard group by shard""",
+        ),
+        "audit_shard_counts": _with(
+            *_audited(f"{_DAYS} and {_UNVERIFIED} qualify row_number() over (partition by id % 4 {_NEWEST}) <= 2"),
+            _UPDATED,
+            f"""open as (select distinct id % 4 as left_shard from updated where {_DAYS} and {_UNVERIFIED})""",
+            final="""select shard, count(outcome) as loaded, count(*) filter (outcome = 'validated') as validated,
+              count(*) filter (outcome in ('fixed', 'fallback')) as fixed, count(*) filter (outcome = 'error') as llm_failures,
+              count(*) filter (outcome <> 'error') > 0 and bool_or(left_shard is not null) as has_more
+              from (select unnest(range(4)) as shard) s left join decided on id % 4 = shard
+              left join open on left_shard = shard group by shard""",
+        ),
+        "side_by_side": _with(
+            *_generated(_WAITING),
+            _UPDATED,
+            final="select id, rephrased_title, headline_verified, scraped_at // 86400 as scraped_day from updated",
+        ),
         "audit_counts": _with(
             *_audited(f"{_DAYS} and {_UNVERIFIED}"),
             _UPDATED,

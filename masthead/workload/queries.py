@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,11 +39,14 @@ from masthead.operators.updates import (
     rejections,
     undecided,
 )
+from masthead.plans.jobs import run_generation
 from masthead.plans.reports import (
+    audit_shard_summary,
     audit_summary,
     format_report,
     generation_summary,
     outcome_report,
+    shard_summary,
     skip_report,
     state_report,
 )
@@ -62,6 +66,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SHARDS = 4
 SHARD = 1
+SHARD_BATCH = 2
 
 _queries: dict[str, Query] = {}
 
@@ -112,8 +117,9 @@ def pending_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def newest_many(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A batch of 12,000 out of the articles of all ages."""
-    return newest(articles(spark, sf_dir), 12_000).select("id", "scraped_at")
+    """A batch of 70 out of the articles of all ages, less than there are; their ages are made to tie."""
+    table = articles(spark, sf_dir).withColumn("scraped_at", F.expr("scraped_at div 200000"))
+    return newest(table, 70).select("id", "scraped_at")
 
 
 @_query
@@ -366,6 +372,41 @@ def generation_counts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return generation_summary(_generated(spark, generation_candidates(articles(spark, sf_dir), AS_OF)))
 
 
+@_query
+def generation_shard_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of one run over all shards, of two articles each."""
+    chosen = generation_candidates(articles(spark, sf_dir), AS_OF, SHARD_BATCH, shards=SHARDS, all_shards=True)
+    return shard_summary(_generated(spark, chosen.select("id", "title", "rephrased_article")), SHARDS, SHARD_BATCH)
+
+
+@_query
+def audit_shard_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of one audit run over all shards, of two articles each, and which of them have more to do."""
+    table = articles(spark, sf_dir)
+    chosen = audit_candidates(table, AS_OF, SHARD_BATCH, shards=SHARDS, all_shards=True)
+    decisions = _audited(spark, chosen)
+    updated = apply_decisions(table, decisions, AS_OF - AUDIT_WINDOW_S)
+    return audit_shard_summary(decisions, updated, AS_OF, SHARDS)
+
+
+@_query
+def side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored table after the runs of all shards, started together, have written into it."""
+    staging = Staging(spark)
+    store = staging.path("store")
+    create_store(articles(spark, sf_dir), store)
+
+    def one(number: int) -> None:
+        run_generation(
+            spark, read_store(spark, store), _runner(spark), load_templates(), staging.path(f"run-{number}"), AS_OF,
+            shards=SHARDS, number=number, store=store,
+        )
+
+    with ThreadPoolExecutor(SHARDS) as pool:
+        list(pool.map(one, range(SHARDS)))
+    return read_store(spark, store).select("id", "rephrased_title", "headline_verified", F.col("scraped_day").cast("bigint"))
+
+
 @_query
 def audit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = articles(spark, sf_dir)
