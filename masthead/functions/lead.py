@@ -63,25 +63,25 @@ def capped_count(words: Column) -> Column:
     return F.when(F.size(words) > LONG_SENTENCE, KEPT_WORDS).otherwise(F.size(words))
 
 
-def _solid(word: str, position: int) -> str:
-    bare = f"find_in_set(btrim({word}, :marks), :tails) = 0"
-    return f"{bare} and not endswith({word}, 'ing')" if position > GERUND_AFTER else bare
+# What a word can be that a headline may not end on, marks around it included; and where a word ends.
+_MARKS = "[.,;:\"']*"
+_WEAK = f"{_MARKS}(?:{'|'.join(TAIL_WORDS)}){_MARKS}(?: |$)"
+_END = "(?= |$)"
+# The longest run of first words that ends on a good one: behind GERUND_AFTER words no "-ing" word is good.
+_SOLID = (
+    f"^(?:(?:[^ ]+ ){{{GERUND_AFTER},}}(?!{_WEAK})(?![^ ]*ing(?: |$))[^ ]+{_END}"
+    f"|(?:[^ ]+ ){{0,{GERUND_AFTER - 1}}}(?!{_WEAK})[^ ]+{_END})"
+)
 
 
-def kept_words(words: str, count: str) -> Column:
-    """How many of the first ``count`` words (both column names, the words in lower case) stay: up to the last
-    one a headline may end on, 0 if none.
+def kept_words(words: Column) -> Column:
+    """How many of the words (in lower case) stay: up to the last one a headline may end on, 0 if none.
 
-    A word is dropped only if all behind it are, so its own position is the length it is judged at. At most
-    14 positions exist; they are tried from the back, and the first hit ends the search.
+    A word is dropped only if all behind it are, so its own position is the length it is judged at. One pattern finds the
+    place, tried from the back; a test at every position would make a method too long for the JIT.
     """
-    tried = [
-        f"case when {count} >= {p} and {_solid(f'get({words}, {p - 1})', p)} then {p} end"
-        for p in range(LONG_SENTENCE, 0, -1)
-    ]
-    search = f"coalesce({', '.join(tried)}, 0)"
-    tails = ",".join(TAIL_WORDS)
-    return F.expr(search.replace(":marks", "'.,;:\"\\''").replace(":tails", f"'{tails}'"))
+    kept = F.regexp_extract(F.array_join(words, " "), _SOLID, 0)
+    return F.when(kept == "", 0).otherwise(F.size(F.split(kept, " ")))
 
 
 def trim_tail(words: Column, kept: Column) -> Column:
@@ -98,8 +98,8 @@ def with_lead_headline(df: DataFrame, content: str, into: str) -> DataFrame:
         drop_date_lead(first_sentence(F.col(content))).alias("_sentence"),
         sentence_words(sentence).alias("_words"),
         capped_count(words).alias("_count"),
-        sentence_words(F.lower(sentence)).alias("_lower"),  # once, not at every position: keeps the method small
-        kept_words("_lower", "_count").alias("_kept"),
+        sentence_words(F.lower(sentence)).alias("_lower"),
+        kept_words(F.slice(F.col("_lower"), F.lit(1), F.col("_count"))).alias("_kept"),
         trim_tail(words, kept).alias("_lead"),
     )
     return with_clean_headline(steps, "_lead", into).drop("_sentence", "_words", "_lower", "_count", "_kept", "_lead")

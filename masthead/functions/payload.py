@@ -13,16 +13,26 @@ from pyspark.sql import types as T
 SNIPPET_CHARS = 1500  # fixed value: what a prompt sees of an article, unless a job is told otherwise
 _SLICE = 500
 
-_UNPACKED = T.StructType().add("content", T.StringType()).add("corrupt", T.BooleanType())
+_UNPACKED = T.StructType().add("content", T.StringType()).add("cause", T.StringType())
 
+# Why a text cannot be read.
+NOT_COMPRESSED, CUT_OFF, DAMAGED, NOT_UTF8 = "not compressed", "cut off", "damaged", "not UTF-8"
 
-def _unpack(packed: bytes | None) -> tuple[str, bool]:
+
+def _unpack(packed: bytes | None) -> tuple[str, str | None]:
     if not packed:
-        return "", False
+        return "", None
+    reader = zlib.decompressobj()
     try:
-        return zlib.decompress(packed).decode("utf-8"), False
-    except (zlib.error, UnicodeDecodeError):
-        return "", True
+        text = reader.decompress(packed)
+        if not reader.eof:
+            return "", CUT_OFF
+        return text.decode("utf-8"), None
+    except zlib.error:
+        header = len(packed) > 1 and packed[0] & 15 == 8 and (packed[0] * 256 + packed[1]) % 31 == 0
+        return "", DAMAGED if header else NOT_COMPRESSED
+    except UnicodeDecodeError:
+        return "", NOT_UTF8
 
 
 def _unpack_batches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -30,7 +40,7 @@ def _unpack_batches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for packed in batches:
         for start in range(0, len(packed), _SLICE):
             unpacked = map(_unpack, packed.iloc[start : start + _SLICE])
-            yield pd.DataFrame(unpacked, columns=["content", "corrupt"])
+            yield pd.DataFrame(unpacked, columns=["content", "cause"], dtype=object)
 
 
 def _pack_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -39,8 +49,8 @@ def _pack_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def inflate(packed: Column) -> Column:
-    """zlib bytes to ``struct<content, corrupt>``. NULL and empty bytes are empty text; unreadable bytes are
-    too, and marked corrupt."""
+    """zlib bytes to ``struct<content, cause>``. NULL and empty bytes are empty text; unreadable bytes are
+    too, and have the cause."""
     return F.pandas_udf(_unpack_batches, _UNPACKED)(packed)
 
 
@@ -50,10 +60,10 @@ def deflate(text: Column) -> Column:
 
 
 def with_content(df: DataFrame, packed: str = "rephrased_article") -> DataFrame:
-    """Replace the packed column by ``content`` and ``corrupt``."""
+    """Replace the packed column by ``content``, ``corrupt`` and the ``cause`` of that."""
     rest = [name for name in df.columns if name != packed]
     unpacked = df.select(*rest, inflate(F.col(packed)).alias("_inflated"))
-    return unpacked.select(*rest, "_inflated.content", "_inflated.corrupt")
+    return unpacked.select(*rest, "_inflated.content", F.col("_inflated.cause").isNotNull().alias("corrupt"), "_inflated.cause")
 
 
 def snippet(content: Column, chars: int | None = SNIPPET_CHARS) -> Column:

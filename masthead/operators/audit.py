@@ -75,7 +75,7 @@ def audit_headlines(
 
     rejudged = staging.save(
         model.critique(model.spread(repaired.filter(worthwhile)), templates.critic, fixed, "critic").select(
-            "id", "lead", "fixed", "first", "critic"
+            "id", "lead", "cause", "fixed", "first", "critic"
         ),
         "repair_critic",
     )

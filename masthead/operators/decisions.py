@@ -11,9 +11,13 @@ from masthead.functions.lead import with_lead_headline
 from masthead.functions.payload import SNIPPET_CHARS, snippet, with_content
 from masthead.schema import ATTEMPT, DECISION_COLUMNS
 
+LOAD = "load"
+UNREADABLE = "unreadable text: "
+
 
 def with_snippet(df: DataFrame, chars: int | None = SNIPPET_CHARS) -> DataFrame:
-    """Replace the packed text by ``content`` and by the ``snippet`` the prompts show: its first ``chars`` characters, or all."""
+    """Replace the packed text by ``content`` and by the ``snippet`` the prompts show: its first ``chars`` characters, or all. ``cause``
+    says why a text could not be read; such an article goes on without text, and its decision names the cause as an attempt."""
     return with_content(df).drop("corrupt").withColumn("snippet", snippet(F.col("content"), chars))
 
 
@@ -53,8 +57,12 @@ def decide(
     error: Column | None = None,
     tried: Column | None = None,
 ) -> DataFrame:
-    """Bring rows that are decided into the shape of the decisions table."""
+    """Bring rows that are decided into the shape of the decisions table. An unreadable text (``cause``) is the first of the attempts."""
     null = F.lit(None)
+    tried = F.array() if tried is None else tried
+    if "cause" in df.columns:
+        load = attempt(LOAD, F.lit(""), F.concat(F.lit(UNREADABLE), F.col("cause")))
+        tried = F.concat(attempts(load), tried.cast(f"array<{ATTEMPT}>"))
     values = [
         F.col("id"),
         (null if headline is None else headline).cast("string"),
@@ -63,10 +71,18 @@ def decide(
         F.lit(stage),
         (null if reason is None else reason).cast("string"),
         (null if error is None else error).cast("string"),
-        (F.array() if tried is None else tried).cast(f"array<{ATTEMPT}>"),
+        tried.cast(f"array<{ATTEMPT}>"),
     ]
     return df.select(*[v.alias(name) for v, name in zip(values, DECISION_COLUMNS, strict=True)])
 
 
 def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
+
+
+def quarantined(decisions: DataFrame, articles: DataFrame) -> DataFrame:
+    """``id, cause, rephrased_article`` of the decided articles whose text could not be read."""
+    bad = decisions.select("id", F.get("attempts", F.lit(0)).alias("first"))
+    bad = bad.filter((F.col("first.stage") == LOAD) & F.col("first.reason").startswith(UNREADABLE))
+    cause = F.substring("first.reason", len(UNREADABLE) + 1, 100)
+    return bad.select("id", cause.alias("cause")).join(articles.select("id", "rephrased_article"), "id")

@@ -65,7 +65,7 @@ def generate_headlines(
         "first", attempt("hook", hook["text"], F.lit(EMPTY))
     )
     wrong = judged.filter(refused).withColumn("first", attempt("hook", hook["text"], refusal(critic)))
-    retry = union_all([part.select("id", "snippet", "lead", "first") for part in (empty, wrong)])
+    retry = union_all([part.select("id", "snippet", "lead", "cause", "first") for part in (empty, wrong)])
     prompt = render(templates.safe, body_snippet=F.col("snippet"))
     retried = staging.save(model.generate(model.spread(retry), prompt, SAFE_CALL, "safe"), "safe")
     safe, first = F.col("safe"), F.col("first")

@@ -15,11 +15,12 @@ from masthead.operators.candidates import (
     audit_candidates,
     generation_candidates,
 )
+from masthead.operators.decisions import quarantined
 from masthead.operators.generation import generate_headlines
 from masthead.operators.inference import ModelRunner
 from masthead.operators.updates import apply_decisions, rejections
 from masthead.plans.reports import audit_shard_summary, audit_summary, generation_summary, shard_summary
-from masthead.schema import DECISIONS
+from masthead.schema import DECISIONS, QUARANTINE
 from masthead.sources.articles import read_articles
 from masthead.sources.sinks import replace_rejections, update_articles
 from masthead.sources.staging import Staging, is_complete
@@ -31,11 +32,13 @@ Cascade = Callable[[DataFrame, ModelRunner, Templates, Staging, int | None], Dat
 
 @dataclass(frozen=True)
 class Run:
-    """What a run decided, the articles with that applied, and the summary: one row, or one for each shard."""
+    """What a run decided, the articles with that applied, the summary (one row, or one for each shard), and the articles whose
+    text could not be read, with the cause."""
 
     decisions: DataFrame
     articles: DataFrame
     summary: DataFrame
+    quarantine: DataFrame
 
 
 def run_generation(
@@ -55,7 +58,7 @@ def run_generation(
     """Give waiting articles a headline: all of the window, or with ``limit`` the newest. With ``all_shards``, the newest of every
     shard in one run, and a summary for each shard.
 
-    Writes ``<out>/decisions`` and ``<out>/rejections``. With ``store``, the folder ``articles`` was
+    Writes ``<out>/decisions``, ``<out>/rejections`` and ``<out>/quarantine``. With ``store``, the folder ``articles`` was
     read from, the decisions are also written into the stored table. One of
     :func:`masthead.sources.store.create_store` may be written to by several runs at once. Started again with the same ``out`` after it
     was interrupted, the run keeps complete decisions, asks the model nothing, and does what is left. Prompts
@@ -65,9 +68,10 @@ def run_generation(
     chosen = chosen.select("id", "title", "rephrased_article")
     rows = _rows(limit, shards, all_shards)
     decisions = _decide(spark, chosen, generate_headlines, model, templates, out, rows, snippet_chars)
+    quarantine = _quarantine(spark, articles, decisions, out)
     updated = _update(spark, articles, decisions, as_of - GENERATION_WINDOW_S, store)
     summary = shard_summary(decisions, shards, limit) if all_shards else generation_summary(decisions, limit)
-    return Run(decisions, updated, summary)
+    return Run(decisions, updated, summary, quarantine)
 
 
 def run_audit(
@@ -89,10 +93,16 @@ def run_audit(
     chosen = chosen.select("id", "rephrased_title", "rephrased_article")
     rows = _rows(limit, shards, all_shards)
     decisions = _decide(spark, chosen, audit_headlines, model, templates, out, rows, snippet_chars)
+    quarantine = _quarantine(spark, articles, decisions, out)
     updated = _update(spark, articles, decisions, as_of - AUDIT_WINDOW_S, store)
-    if all_shards:
-        return Run(decisions, updated, audit_shard_summary(decisions, updated, as_of, shards))
-    return Run(decisions, updated, audit_summary(decisions, updated, as_of))
+    summary = audit_shard_summary(decisions, updated, as_of, shards) if all_shards else audit_summary(decisions, updated, as_of)
+    return Run(decisions, updated, summary, quarantine)
+
+
+def _quarantine(spark: SparkSession, articles: DataFrame, decisions: DataFrame, out: str) -> DataFrame:
+    """Keep what could not be read; nothing is read again where everything could be."""
+    quarantined(decisions, articles).write.mode("overwrite").parquet(f"{out}/quarantine")
+    return spark.read.schema(QUARANTINE).parquet(f"{out}/quarantine")
 
 
 def _rows(limit: int | None, shards: int, all_shards: bool) -> int | None:

@@ -89,6 +89,11 @@ def outcome_report(decisions: DataFrame) -> DataFrame:
     return decisions.groupBy("stage", "outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
+def quarantine_report(quarantined: DataFrame) -> DataFrame:
+    """Unreadable articles per cause."""
+    return quarantined.groupBy("cause").agg(F.count(F.lit(1)).alias("n"))
+
+
 def format_report(df: DataFrame, headline: str, *dims: str) -> DataFrame:
     """Headlines per format reason (``valid`` for good ones), and subtotals over ``dims`` from the last to the
     first. ``level`` is the number of dimensions a row sums over, so that a subtotal is told from a NULL in the data.

@@ -34,3 +34,5 @@ DECISIONS = (
 )
 
 REJECTIONS = "ts timestamp, id bigint, stage string, generated string, reason string"
+
+QUARANTINE = "id bigint, cause string, rephrased_article binary"

@@ -19,6 +19,8 @@ def local_session(cores: int | str = "*", app: str = "masthead", **conf: str) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "8g")
+        # Methods beyond the JIT's limit (the text rules fuse into one) are split by expression instead of being interpreted.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         # Building a job makes thousands of column calls; do not note where each came from.
         .config("spark.sql.dataFrameQueryContext.enabled", "false")
     )

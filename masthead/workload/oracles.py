@@ -7,8 +7,6 @@ one by one, the tail trimmed with a list maximum.
 
 from __future__ import annotations
 
-from masthead.functions.lead import DATE_LEAD, TAIL_WORDS
-from masthead.functions.prompt import STOPS
 from masthead.sources.templates import load_templates
 from masthead.workload.inputs import ARTICLE_VIEW, AS_OF
 from masthead.workload.standin import FOREIGN, INVENTED, INVENTED_TOO, UNREADABLE
@@ -17,6 +15,22 @@ WS = r"[\t-\r\x1c-\x1f\x{85}\p{Z}]"
 DAY = 86400
 MANY_WORDS = 14
 
+# Fixed values, given here once more so that a slip in the library is seen.
+STOPS = ("<|im_end|>", "Article:", "<|im_start|>")
+TAIL_WORDS = """
+    a an the of to in on at for with and or
+    but as by when while after before that which
+    who whose its his her their over under against
+    amid despite during is are was were has have
+    had will would could should may might been being
+    from into about than because if so not no
+    new other several various more most key top
+    major latest former first last this these those
+    such any all both each every few many some
+""".split()
+MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec".split()
+DATE_LEAD = rf"(?i)^on +({'|'.join(MONTHS)})[a-z]*[.]? +[0-9][0-9]?,? +[0-9]{{4}},? *"
+
 
 def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
@@ -98,12 +112,11 @@ def _lead(source: str, into: str) -> list[str]:
     """Steps from a table with columns ``id, content`` to one with ``lead``, not yet cleaned."""
     tails = "[" + ", ".join(map(_text, TAIL_WORDS)) + "]"
     weak = f"""list_contains({tails}, trim(lower(x), '.,;:"''')) or (ends_with(lower(x), 'ing') and i > 6)"""
-    date = DATE_LEAD.replace("(?iu)", "(?i)")
     return [
         f"""{into}_1 as (select id, regexp_replace(trim(regexp_replace(content, '{WS}+', ' ', 'g')),
           '[*_`#]+', '', 'g') as x from {source})""",
         f"""{into}_2 as (select id, regexp_replace(case when regexp_matches(x, '[.!?] ')
-          then regexp_extract(x, '^(.*?[.!?]) ', 1) else x end, {_text(date)}, '') as x from {into}_1)""",
+          then regexp_extract(x, '^(.*?[.!?]) ', 1) else x end, {_text(DATE_LEAD)}, '') as x from {into}_1)""",
         f"{into}_3 as (select id, list_filter(string_split(x, ' '), lambda x: x <> '') as w from {into}_2)",
         f"{into}_4 as (select id, w, case when len(w) > {MANY_WORDS} then w[1:12] else w end as u from {into}_3)",
         f"""{into}_5 as (select id, w, u, coalesce(list_max(list_transform(u,
@@ -123,8 +136,8 @@ def _answers(where: str) -> list[str]:
     hook = f"""case k % 9 when 0 then '"' || line || '"' when 1 then '**' || line || '**' when 2 then line || '.'
       when 3 then {_text(INVENTED)} when 4 then '' when 5 then {_text(FOREIGN)} || line
       when 6 then '''*' || line || '*''' when 7 then line || '<|im_end|>Article: {INVENTED}' else line end"""
-    safe = f"""case k % 5 when 0 then {_text(INVENTED_TOO)} when 1 then '"' || substring(line, 1, 50) || '"'
-      when 2 then '' when 3 then line else substring(line, 1, 40) || '.' end"""
+    safe = f"""case k % 5 when 0 then {_text(INVENTED_TOO)} when 1 then '"' || line || '"'
+      when 2 then '' when 3 then line else line || '.' end"""
     return [
         _ARTICLES,
         f"""seen as (select *, substring(content, 1, 1500) as snippet from articles where {where})""",
@@ -184,7 +197,8 @@ _GENERATION_REJECTIONS = """rejected as (
     case when hook = '' then 'empty headline' else 'critic answered NO' end as reason
     from decided where way not in ('untitled', 'hook fails', 'hook critic fails', 'hook')
   union all select id, 'safe', safe, reason from decided where way in ('safe empty', 'safe refused')
-  union all select id, 'format', clean, format_reason from decided where format_reason is not null)"""
+  union all select id, 'format', clean, format_reason from decided where format_reason is not null
+  union all select id, 'load', '', 'unreadable text: ' || broken from decided where broken is not null)"""
 
 
 def _audited(where: str = _UNVERIFIED) -> list[str]:
@@ -214,7 +228,8 @@ def _audited(where: str = _UNVERIFIED) -> list[str]:
 _AUDIT_REJECTIONS = """rejected as (
   select id, 'published' as stage, rephrased_title as generated, 'critic answered NO' as reason
     from decided where way not in ('critic fails', 'validated')
-  union all select id, 'repair', fixed, reason from decided where way in ('doubt', 'refused'))"""
+  union all select id, 'repair', fixed, reason from decided where way in ('doubt', 'refused')
+  union all select id, 'load', '', 'unreadable text: ' || broken from decided where broken is not null)"""
 
 _DECISIONS = "select id, headline, verified, outcome, stage, reason, error from decided"
 _UPDATED = """updated as (select a.id, a.scraped_at, a.content,
@@ -314,8 +329,12 @@ def oracles() -> dict[str, str]:
         ),
         "inflated_content": _with(
             _ARTICLES,
-            final="""select id, length(content)::bigint as n_chars, md5(content) as content_md5, false as corrupt
-              from articles""",
+            final="""select id, length(content)::bigint as n_chars, md5(content) as content_md5,
+              broken is not null as corrupt from articles""",
+        ),
+        "quarantine": _with(_ARTICLES, final="select id, broken as cause from articles where broken is not null"),
+        "quarantine_counts": _with(
+            _ARTICLES, final="select broken as cause, count(*) as n from articles where broken is not null group by 1"
         ),
         "snippets": _with(_ARTICLES, final="select id, substring(content, 1, 1500) as snippet from articles"),
         "prompts": _with(

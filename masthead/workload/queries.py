@@ -30,6 +30,7 @@ from masthead.operators.candidates import (
     recent,
     unverified,
 )
+from masthead.operators.decisions import quarantined
 from masthead.operators.generation import generate_headlines
 from masthead.operators.inference import HOOK_CALL, ModelRunner
 from masthead.operators.updates import (
@@ -46,6 +47,7 @@ from masthead.plans.reports import (
     format_report,
     generation_summary,
     outcome_report,
+    quarantine_report,
     shard_summary,
     skip_report,
     state_report,
@@ -53,6 +55,7 @@ from masthead.plans.reports import (
 from masthead.schema import DECISIONS
 from masthead.session import ship_package
 from masthead.sources.articles import read_articles
+from masthead.sources.rejection_table import read_rejections, write_rejections
 from masthead.sources.sinks import update_articles, write_articles
 from masthead.sources.staging import Staging
 from masthead.sources.store import create_store, read_store
@@ -349,7 +352,10 @@ def rejected_repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rejection_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_time = F.timestamp_seconds(F.lit(AS_OF))
     rejected = rejections(_generated(spark, articles(spark, sf_dir)), run_time)
-    return rejected.select("id", rejection_line(F.col("ts")).alias("line"))
+    path = Staging(spark).path("rejections")
+    for _ in range(2):  # as after a failure; nothing is there twice
+        write_rejections(rejected, path, "run-1")
+    return read_rejections(spark, path).select("id", rejection_line(F.col("ts")).alias("line"))
 
 
 @_query
@@ -359,6 +365,19 @@ def blanked_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reject_and_blank(table, rejected).select("id", "rephrased_title", "headline_verified")
 
 
+@_query
+def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The articles whose text a generation run over everything could not read."""
+    table = articles(spark, sf_dir)
+    return quarantined(_generated(spark, table), table).select("id", "cause")
+
+
+@_query
+def quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = articles(spark, sf_dir)
+    return quarantine_report(quarantined(_generated(spark, table), table))
+
+
 @_query
 def generation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counters of a run of a full batch."""

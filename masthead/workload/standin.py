@@ -47,7 +47,7 @@ def _safe(snippet: str) -> str:
     count, line = snippet.count("a"), _opening(snippet)
     if count % 29 == 8:
         raise ValueError(UNREADABLE)
-    return [INVENTED_TOO, f'"{line[:50]}"', "", line, f"{line[:40]}."][count % 5]
+    return [INVENTED_TOO, f'"{line}"', "", line, f"{line}."][count % 5]
 
 
 def _critic(snippet: str, headline: str) -> str:
