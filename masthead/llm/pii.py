@@ -1,11 +1,12 @@
 """Personal data: patterns, and terms that give a protected entity away.
 
 The patterns find entities: e-mail and IP addresses, card and phone numbers. A term can reveal an entity as well, if it
-hardly occurs without it. How much it reveals is estimated from the corpus: the pointwise mutual information of term
-and entity, counted in documents, over the information content of the entity (1: whoever reads the term knows the entity). In a
-document that names the entity, terms from ``GENERALISE`` on are replaced by what kind of word they are, from
-``REMOVE`` on they are deleted. An entity or pair must be seen in ``SUPPORT`` different texts, as one text says
-nothing about what goes together.
+hardly occurs without it. How much it reveals is estimated from the corpus: the information content of the entity less the
+pointwise mutual information of term and entity are the bits that a reader of the term still lacks. That is minus the logarithm of the
+share of documents with the term that name the entity. To the documents with the term one is added that does not name it, so little
+evidence counts for less. The disclosure of a term is this share. In a document that names the entity, terms that leave
+at most one bit open (a disclosure from ``GENERALISE`` on) are replaced by what kind of word they are, those that leave
+almost nothing open (from ``REMOVE`` on) are deleted.
 
 Built-in functions only. Positions come from the lengths of the pieces that a pattern leaves. Quantified groups in the patterns
 are possessive, and attempts inside a run that has just failed are ruled out, so long junk costs neither stack nor square time.
@@ -18,10 +19,8 @@ from pyspark.sql import functions as F
 
 from masthead.llm.common import staging
 
-REMOVE = 0.95
-GENERALISE = 0.8
-SUPPORT = 3
-SHORTEST_TERM = 3
+REMOVE = 0.87
+GENERALISE = 0.5
 
 _LOCAL = "A-Za-z0-9._%+-"
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
@@ -99,41 +98,27 @@ def base_spans(hits: DataFrame) -> DataFrame:
 def _terms(text: Column) -> Column:
     """The distinct terms of a text, lower case."""
     split = F.split(F.lower(text), _GAP, -1)
-    return F.array_distinct(F.filter(split, lambda t: F.length(t) >= SHORTEST_TERM))
+    return F.array_distinct(F.filter(split, lambda t: t != ""))
 
 
-def _without_entities(text: Column) -> Column:
-    for _, pattern in KINDS.values():
-        text = F.regexp_replace(text, pattern, " ")
-    return text
+def revealing_terms(docs: DataFrame, hits: DataFrame, spans: DataFrame, stage) -> DataFrame:
+    """(row, term, disclosure) of the terms of a row that reveal an entity named in it, with the most that one of them reveals.
 
-
-def revealing_terms(docs: DataFrame, hits: DataFrame, spans: DataFrame, stage) -> tuple[DataFrame, DataFrame]:
-    """(entity, term, disclosure) of the terms that reveal an entity, and where they may stand: (row, entity, term)."""
-    texts = hits.select("row", F.xxhash64("text").alias("content"))
-    named = spans.select("row", "entity").distinct().join(texts, "row")
-    entities = named.groupBy("entity", "content").agg(F.count("*").alias("n")).groupBy("entity").agg(
-        F.sum("n").alias("n_entity"), F.count("*").alias("texts")
-    )
-    entities = stage.save(entities.filter(F.col("texts") >= SUPPORT).drop("texts"), "entities")
-    named = named.join(entities.select("entity"), "entity")
-    words = hits.select("row", F.explode(_terms(_without_entities(F.col("text")))).alias("term"))
-    pairs = stage.save(named.join(words, "row").select("row", "content", "entity", "term"), "pairs")
-    together = pairs.groupBy("entity", "term", "content").agg(F.count("*").alias("n")).groupBy("entity", "term").agg(
-        F.sum("n").alias("n_both"), F.count("*").alias("texts")
-    )
-    together = stage.save(together.filter(F.col("texts") >= SUPPORT).drop("texts"), "together")
+    Parts of the entities count as terms too: where they stand alone they give their entity away.
+    """
+    named = spans.select("row", "entity").distinct()
+    entities = named.groupBy("entity").agg(F.count("*").alias("n_entity"))
+    named = stage.save(named.join(entities, "entity"), "named")
+    words = hits.join(named.select("row").distinct(), "row", "left_semi")
+    words = words.select("row", F.explode(_terms(F.col("text"))).alias("term"))
     everywhere = docs.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    n_docs = F.lit(docs.count())
-    reveals = F.log2(n_docs * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))
-    known = F.log2(n_docs / F.col("n_entity"))
-    return (
-        together.join(everywhere, "term")
-        .join(entities, "entity")
-        .withColumn("disclosure", F.when(known > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), reveals / known))))
-        .filter(F.col("disclosure") >= GENERALISE)
-        .select("entity", "term", "disclosure")
-    ), pairs.select("row", "entity", "term")
+    # A term with more documents than this cannot have half of them in common with the entity.
+    rare = F.col("n_term") <= 2 * F.col("n_entity") - 1
+    pairs = stage.save(named.join(words, "row").join(everywhere, "term").filter(rare).select("row", "entity", "term", "n_term"), "pairs")
+    together = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both"), F.first("n_term").alias("n_term"))
+    disclosure = (F.col("n_both") / (F.col("n_term") + 1)).alias("disclosure")
+    flagged = together.select("entity", "term", disclosure).filter(F.col("disclosure") >= GENERALISE)
+    return pairs.join(flagged, ["entity", "term"]).groupBy("row", "term").agg(F.max("disclosure").alias("disclosure"))
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -153,12 +138,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
         any_kind = any_kind | _has(kind)
     hits = stage.save(docs.filter(any_kind).withColumn("row", F.monotonically_increasing_id()), "hits")
     spans = stage.save(base_spans(hits.select("row", "text")), "base")
-    flagged, pairs = revealing_terms(docs.select("text"), hits, spans, stage)
-    flagged = stage.save(flagged, "revealing")
-    strongest = (
-        pairs.join(flagged, ["entity", "term"]).groupBy("row", "term").agg(F.max("disclosure").alias("disclosure"))
-    )
-    strongest = stage.save(strongest, "strongest")
+    strongest = stage.save(revealing_terms(docs.select("text"), hits, spans, stage), "revealing")
     own = F.struct("start", "rank", "end", "kind", F.lit(1.0).alias("disclosure"))
     base = stage.save(spans.groupBy("row").agg(F.sort_array(F.collect_list(own)).alias("base")), "base-lists")
     marked = hits.select("row", "text").join(strongest.select("row").distinct(), "row", "left_semi")

@@ -283,6 +283,34 @@ def test_pii_terms(documents):
         assert rows[doc].clean == text and rows[doc].spans == []
 
 
+def test_pii_disclosures(documents):
+    """Every term of every row against counts over all rows."""
+    pick = random.Random(8)
+    people = [f"p{k}@x.org" for k in range(6)]
+    vocabulary = [f"w{k}" for k in range(40)] + ["ab", "c", "7", "Ünder"]
+    rows = []
+    for k in range(150):
+        own = [people[pick.randrange(6)]] if k % 3 == 0 else []
+        own += [f"mark{own[0][1]}", f"mark{own[0][1]}s{k % 2}"] if own and pick.random() < 0.9 else []
+        rows.append((k, " ".join(pick.sample(vocabulary, 6) + own + [f"solo{k}"])))
+    rows += [(rows[0][0], rows[0][1]), (None, rows[3][1]), (190, None), (191, "")]
+    terms = [set(re.findall(r"[^\W_]+", (t or "").lower())) for _, t in rows]
+    entities = [set(re.findall(r"p\d@x\.org", t or "")) for _, t in rows]
+    want = []
+    for (doc, text), named in zip(rows, entities, strict=True):
+        plain = re.sub(r"p\d@x\.org", lambda m: " " * len(m[0]), text or "")
+        for m in re.finditer(r"[^\W_]+", plain):
+            term, best = m[0].lower(), 0.0
+            for entity in named:
+                both = sum(term in t and entity in e for t, e in zip(terms, entities, strict=True))
+                best = max(best, both / (sum(term in t for t in terms) + 1))
+            if best >= pii.GENERALISE:
+                want.append((doc, m.start(), m.end(), round(best, 9)))
+    found = pii.find(documents(rows)).collect()
+    got = [(r.doc_id, s.start, s.end, round(s.disclosure, 9)) for r in found for s in r.spans if s.kind == "term"]
+    assert Counter(got) == Counter(want) and len({w[3] for w in want}) > 3 and any(w[3] >= pii.REMOVE for w in want)
+
+
 def test_language(documents, spark):
     def text(words, seed, n=200):
         pick = random.Random(seed)
