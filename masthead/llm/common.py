@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -17,23 +18,30 @@ from masthead.sources.staging import Staging
 SLAB = 1 << 20  # bytes of text worked on at once
 
 
-_open: list[Staging] = []
+_watched: list[list[Staging]] = []
 
 
 def staging(spark: SparkSession) -> Staging:
     """Staged tables in the folder of ``spark.checkpoint.dir``; makes the package importable in Python workers.
 
-    The results of operators are read from them lazily, so they stay until ``release``.
+    The results of operators are read from them lazily, so they stay; see ``opened``.
     """
     ship_package(spark)
-    _open.append(Staging(spark))
-    return _open[-1]
-
-
-def release() -> None:
-    """Delete the staged tables of all operators called so far; call it once their results have been written."""
-    while _open:
-        _open.pop().close()
+    stage = Staging(spark)
+    for own in _watched:
+        own.append(stage)
+    return stage
+
+
+@contextmanager
+def opened() -> Iterator[list[Staging]]:
+    """Collects the staged tables of the operators called inside, for whoever wants to close them once the results are written."""
+    own: list[Staging] = []
+    _watched.append(own)
+    try:
+        yield own
+    finally:
+        _watched[:] = [other for other in _watched if other is not own]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

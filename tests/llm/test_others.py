@@ -8,12 +8,13 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from masthead.llm import neighbours, preference
+from masthead.llm import exact, neighbours, preference
 from masthead.llm.common import components, staging
 from masthead.llm.oracles import oracles
 from masthead.llm.queries import registered
 from tests.compare import connection, differences
 
+DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long"
 SF_DIR = "/root/testdata/sf0.001"
 
 
@@ -131,3 +132,21 @@ def test_duplicates_are_dropped_by_row(spark):
 def _kept(spark, stage, docs):
     found = stage(spark, docs, SF_DIR)
     return spark.createDataFrame(found.collect(), found.schema)
+
+
+def test_stages_leave_the_results_of_others_alone(spark):
+    docs = spark.createDataFrame([(k, f"some words of text {k % 3}", "en", "s", 1, "x") for k in range(9)], f"{DOCUMENT}, row_of_stage string")
+    before = exact.exact_duplicates(docs)
+    first = _kept(spark, corpus_pipeline.without_copies, docs)
+    assert before.count() == 9
+    assert sorted((r.doc_id, r.row_of_stage) for r in first.collect()) == [(0, "x"), (1, "x"), (2, "x")]
+    second = _kept(spark, corpus_pipeline.without_near_copies, first)
+    assert second.columns == docs.columns and second.count() == 3
+
+
+def test_stages_of_an_empty_table(spark):
+    docs = spark.createDataFrame([], DOCUMENT)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = _kept(spark, stage, docs)
+        assert docs.count() == 0 and docs.columns == [c.split()[0] for c in DOCUMENT.split(", ")], name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).count() == 0
