@@ -154,6 +154,43 @@ def test_align_finds_what_qualifies(seed):
                 assert any(x < end and i <= y for i, end, *_ in found)
 
 
+def test_common_is_longest():
+    pick = random.Random(3)
+    for _ in range(200):
+        a, b = ([pick.randrange(5) for _ in range(pick.randrange(30))] for _ in range(2))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        pairs = passages._common(a, b)
+        assert len(pairs) == best[-1][-1] and all(a[i] == b[j] for i, j in pairs)
+        assert all(i < k and j < m for (i, j), (k, m) in zip(pairs, pairs[1:], strict=False))
+
+
+def changed(text: str, share: float, seed: int) -> str:
+    """The text with a share of its words replaced, or every eighth one; its ends stay."""
+    pick, words = random.Random(seed), text.split()
+    inner = range(1, len(words) - 1)
+    for k in pick.sample(inner, round(share * len(words))) if share else inner[7::8]:
+        words[k] = f"changed{seed}x{k}"
+    return " ".join(words)
+
+
+def test_changed_passages_are_found(documents):
+    """``share`` 0 stands for every eighth word. Every passage meets LENGTH and AGREEMENT."""
+    cases = [(share, length) for share in (0.05, 0.1, 0.15, 0.19, 0) for length in (60, 120)]
+    rows = []
+    for c, (share, length) in enumerate(cases):
+        for k in range(25):
+            number = 100 * c + k
+            shared = prose(50_000 + number, length)
+            rows += [(2 * number, f"{prose(60_000 + number, 80)} {shared} {prose(70_000 + number, 60)}")]
+            rows += [(2 * number + 1, f"{prose(80_000 + number, 50)} {changed(shared, share, number)} {prose(90_000 + number, 90)}")]
+    found = {(r.source_id, r.doc_id) for r in passages.repeated_passages(documents(rows)).collect()}
+    caught = {case: sum((2 * (100 * c + k), 2 * (100 * c + k) + 1) in found for k in range(25)) for c, case in enumerate(cases)}
+    assert all(n >= (23 if length == 120 else 20) for (_, length), n in caught.items()) and sum(caught.values()) >= 0.95 * 250, caught
+
+
 def test_every_repeated_window_is_in_a_passage(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = passages.repeated_passages(docs).collect()
