@@ -5,7 +5,8 @@ graph: of its nearest neighbours a vector keeps those that no kept one is much c
 all its shards are united. Then every vector is searched for in its nearest shard: greedily from the medoid to the
 closest vectors, and from there on along all edges as long as what they reach is within range. Found pairs are verified in
 double precision. An audit compares one vector in a hundred with all rows of its label; if less than ``LEAST_RECALL`` of their
-links were found, the search is repeated with more overlap and a wider beam.
+links were found, the search is repeated with more overlap and a wider beam. If less than ``FLOOR`` is found even then, the labels
+that miss links are compared whole, in blocks.
 """
 
 from __future__ import annotations
@@ -22,7 +23,10 @@ from masthead.sources.staging import Staging
 
 SIMILARITY = 0.93
 SHARD = 1000  # vectors per centroid aimed at
-SAMPLE = 20_000  # rows the centroids are fitted on, over all labels
+SAMPLE = 20_000  # rows the first centroids are fitted on, over all labels
+FANOUT = 64  # centroids an oversized shard is split around
+FIT = 32  # rows of it to a centroid they are fitted on
+PART = 20_000  # rows of it that a task deals
 OVERLAP = 2  # shards of a vector
 DEGREE = 24  # edges a vector keeps in a shard
 CANDIDATES = 64  # nearest neighbours considered for them
@@ -31,10 +35,11 @@ BEAM = 32
 SLACK = 0.05  # edges are followed to vectors that are this much less similar than asked for
 AUDITED = 100  # ids divisible by this
 LEAST_RECALL = 0.98
+FLOOR = 0.9
 ROUNDS = 4
 BLOCK = 2000  # rows of an audit block
 LARGEST = 6000  # vectors of a shard; above, it is split anew
-LEVELS = 4
+PROGRESS = 0.9  # of the largest shard; if the largest one of its parts has more, it is compared in blocks
 
 
 def _unit(rows: pd.Series) -> np.ndarray:
@@ -65,49 +70,77 @@ def _centroids(sample: np.ndarray, count: int) -> np.ndarray:
     return centres
 
 
-def _dealt(vectors: DataFrame, overlap: int, stage: Staging, name: str) -> DataFrame:
-    """(space, node, vector, home): every vector in its nearest shards; home marks the nearest of all.
+def _split(rows: pd.DataFrame, centres: np.ndarray, overlap: int) -> pd.DataFrame:
+    """The rows of one space, each in its nearest parts."""
+    order = np.argsort(-(_unit(rows["vector"]) @ centres.T), axis=1, kind="stable")[:, :overlap]
+    out = [rows.assign(space=rows["space"] + "/" + order[:, k].astype(str), home=rows["home"] & (k == 0)) for k in range(order.shape[1])]
+    return pd.concat(out)[["space", "node", "vector", "home"]]
 
-    Spaces (at first labels, then oversized shards) are split around centroids fitted on a sample of about SAMPLE rows, up to
-    LEVELS times.
+
+def _first_level(rest: DataFrame, total: int, overlap: int, schema: str) -> DataFrame:
+    """Labels split around centroids that are fitted on the driver, on about SAMPLE rows of all of them."""
+    share = F.abs(F.xxhash64("node", F.lit(0)) % 1_000_000) < F.lit(min(1.0, SAMPLE / total) * 1_000_000)
+    rows = rest.filter(share).select("space", "n", "vector").toPandas()
+    centres = {}
+    for (space, n), group in rows.groupby(["space", "n"]):
+        count = int(min(-(-n // SHARD), max(1, len(group) // 8)))
+        centres[space] = _centroids(_unit(group["vector"]), count)
+    shared = rest.sparkSession.sparkContext.broadcast(centres)
+
+    def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for space, group in frame.groupby("space"):
+                own = shared.value.get(space)
+                yield group.assign(space=f"{space}/0") if own is None else _split(group, own, overlap)
+
+    return rest.select("space", "node", "vector", "home").mapInPandas(deal, schema)
+
+
+def _next_level(rest: DataFrame, level: int, overlap: int, schema: str) -> DataFrame:
+    """Oversized shards split around up to FANOUT centroids each, fitted on a sample of their own.
+
+    A shard is dealt in parts of about PART rows; each part is sent the sample and fits the same centroids on it.
+    """
+    centroids = F.least(F.ceil(F.col("n") / SHARD), F.lit(FANOUT))
+    parts = F.ceil(F.col("n") / PART).cast("int")
+    chosen = F.abs(F.xxhash64("node", F.lit(level)) % 1_000_000) < centroids * (FIT * 1_000_000) / F.col("n")
+    sample = rest.filter(chosen).withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    sample = sample.select("space", "part", "node", "vector").toDF("s_space", "s_part", "s_node", "s_vector")
+    rows = rest.withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int")).select("space", "part", "n", "node", "vector", "home")
+
+    def deal(own: pd.DataFrame, fitted: pd.DataFrame) -> pd.DataFrame:
+        if not len(own):
+            return pd.DataFrame({"space": [], "node": [], "vector": [], "home": []})
+        if not len(fitted):
+            return own.assign(space=own["space"] + "/0")[["space", "node", "vector", "home"]]
+        count = int(min(-(-own["n"].iloc[0] // SHARD), FANOUT))
+        return _split(own, _centroids(_unit(fitted.sort_values("s_node")["s_vector"]), count), overlap)
+
+    return rows.groupBy("space", "part").cogroup(sample.groupBy("s_space", "s_part")).applyInPandas(deal, schema)
+
+
+def _dealt(vectors: DataFrame, overlap: int, stage: Staging, name: str) -> tuple[DataFrame, DataFrame | None]:
+    """(space, node, vector, home): every vector in its nearest shards; home marks the nearest of all. Then the rows of
+    shards above LARGEST that splitting makes no smaller.
     """
-    dealt, done, level = vectors.withColumn("home", F.lit(True)), None, 0
+    schema = f"space string, node long, vector {vectors.schema['vector'].dataType.simpleString()}, home boolean"
+    dealt, done, level, before = vectors.withColumn("home", F.lit(True)), None, 0, None
     while True:
         sizes = dealt.groupBy("space").agg(F.count("*").alias("n"))
         large = stage.save(sizes.filter(F.col("n") > (SHARD if not level else LARGEST)), f"{name}-large-{level}")
         small = dealt.join(large, "space", "left_anti").select("space", "node", "vector", "home")
         done = small if done is None else done.unionByName(small)
-        total = large.agg(F.sum("n")).first()[0]
-        if not total or level == LEVELS:
-            return done if not total else done.unionByName(dealt.join(large, "space", "left_semi").select(*done.columns))
+        total, largest = large.agg(F.sum("n"), F.max("n")).first()
+        if not total:
+            return done, None
         rest = dealt.join(large, "space")
-        share = F.abs(F.xxhash64("node", F.lit(level)) % 1_000_000) < F.lit(min(1.0, SAMPLE / total) * 1_000_000)
-        rows = rest.filter(share).select("space", "n", "vector").toPandas()
-        centres = {}
-        for (space, n), group in rows.groupby(["space", "n"]):
-            count = int(min(-(-n // SHARD), max(1, len(group) // 8)))
-            centres[space] = _centroids(_unit(group["vector"]), count)
-        shared = vectors.sparkSession.sparkContext.broadcast(centres)
-
-        def deal(frames: Iterator[pd.DataFrame], at: int = level) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                out = []
-                for space, group in frame.groupby("space"):
-                    own = shared.value.get(space)
-                    if own is None:
-                        out.append(group.assign(space=f"{space}/{at}"))
-                        continue
-                    order = np.argsort(-(_unit(group["vector"]) @ own.T), axis=1, kind="stable")[:, :overlap]
-                    for rank in range(order.shape[1]):
-                        names = [f"{space}/{c}" for c in order[:, rank].tolist()]
-                        out.append(group.assign(space=names, home=group["home"] & (rank == 0)))
-                if out:
-                    yield pd.concat(out)[["space", "node", "vector", "home"]]
-
-        schema = f"space string, node long, vector {vectors.schema['vector'].dataType.simpleString()}, home boolean"
-        dealt = stage.save(rest.select("space", "node", "vector", "home").mapInPandas(deal, schema), f"{name}-{level}")
+        if before is not None and largest > PROGRESS * before:
+            return done, rest.select("space", "node", "vector")
+        parts = _next_level(rest, level, overlap, schema) if level else _first_level(rest, total, overlap, schema)
+        dealt = stage.save(parts, f"{name}-{level}")
         # A vector may come to a shard by two ways.
         dealt = dealt.groupBy("space", "node").agg(F.first("vector").alias("vector"), F.max("home").alias("home"))
+        before = largest if level else None
         level += 1
 
 
@@ -210,22 +243,29 @@ def _range_search(
 
 def _found(vectors: DataFrame, overlap: int, beam: int, similarity: float, stage: Staging, name: str) -> DataFrame:
     """The linked pairs (a < b) that the search finds."""
-    shards = stage.save(_dealt(vectors, overlap, stage, name), f"{name}-shards")
+    shards, stuck = _dealt(vectors, overlap, stage, name)
+    shards = stage.save(shards, f"{name}-shards")
     lists = shards.groupBy("space").applyInPandas(lambda frame: _build(frame), "node long, near array<long>")
     united = lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
     graph = shards.join(stage.save(united, f"{name}-graph"), "node")
     pairs = graph.groupBy("space").applyInPandas(_searcher(beam, similarity), "a long, b long")
+    if stuck is not None:
+        stuck = stage.save(stuck, f"{name}-stuck")
+        pairs = pairs.unionByName(true_links(stuck, stuck, similarity))
     return stage.save(pairs.distinct(), f"{name}-pairs")
 
 
-def recall(vectors: DataFrame, asked: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) -> tuple[int, int]:
-    """How many links the nodes ``asked`` have, against all rows of their space in blocks, and how many were found."""
-    spaces = vectors.groupBy("space").agg(F.count("*").alias("n"))
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / BLOCK)).cast("int")
-    rows = vectors.join(spaces, "space").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).drop("n")
-    queries = asked.join(spaces, "space")
-    queries = queries.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    queries = queries.select("space", "node", "vector", "block").toDF("q_space", "q_node", "q_vector", "q_block")
+def true_links(vectors: DataFrame, asked: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(a, b), a < b: the links of the nodes ``asked`` with all rows of their space, compared in blocks of both."""
+    blocks = vectors.groupBy("space").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    q_blocks = asked.groupBy("space").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("q_blocks"))
+    limits = blocks.join(q_blocks, "space")
+    number = F.xxhash64("node")
+    rows = vectors.join(limits, "space").withColumn("block", F.pmod(number, "blocks").cast("int"))
+    rows = rows.withColumn("q_block", F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)))
+    queries = asked.join(limits, "space").withColumn("q_block", F.pmod(number, "q_blocks").cast("int"))
+    queries = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    queries = queries.select("space", "block", "q_block", "node", "vector").toDF("q_space", "at", "part", "q_node", "q_vector")
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
@@ -238,12 +278,25 @@ def recall(vectors: DataFrame, asked: DataFrame, pairs: DataFrame, similarity: f
         a, b = (np.concatenate(c) for c in zip(*found, strict=True))
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})[a != b]
 
-    blocked = rows.select("space", "node", "vector", "block").groupBy("space", "block")
-    true = queries.groupBy("q_space", "q_block").cogroup(blocked).applyInPandas(compare, "a long, b long").distinct()
+    blocked = rows.select("space", "block", "q_block", "node", "vector").groupBy("space", "block", "q_block")
+    return queries.groupBy("q_space", "at", "part").cogroup(blocked).applyInPandas(compare, "a long, b long").distinct()
+
+
+def recall(vectors: DataFrame, asked: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) -> tuple[int, int]:
+    """How many links the nodes ``asked`` have, and how many were found."""
+    true = true_links(vectors, asked, similarity)
     one = true.join(pairs.withColumn("hit", F.lit(1)), ["a", "b"], "left").agg(F.count("*"), F.count("hit")).first()
     return int(one[0]), int(one[1])
 
 
+def completed(vectors: DataFrame, asked: DataFrame, pairs: DataFrame, similarity: float, stage: Staging) -> DataFrame:
+    """``pairs`` with every link of the spaces in which a link of the nodes ``asked`` is missing."""
+    missed = true_links(vectors, asked, similarity).join(pairs, ["a", "b"], "left_anti").select(F.col("a").alias("node")).distinct()
+    spaces = stage.save(vectors.join(missed, "node").select("space").distinct(), "missed")
+    whole = stage.save(vectors.join(spaces, "space", "left_semi"), "compared-whole")
+    return stage.save(pairs.unionByName(true_links(whole, whole, similarity)).distinct(), "completed-pairs")
+
+
 def linked_vectors(
     vectors: DataFrame,
     similarity: float = SIMILARITY,
@@ -257,7 +310,7 @@ def linked_vectors(
     directly, component_id is the smallest id reachable, kept marks the row that has it. A vector that is null, empty, zero or has a
     null or non-finite component links with nothing, nor does a row without id; vectors of different length do not
     link. Rows that repeat an id with the same vector and label count as links of each other. An empty table gives no rows.
-    Equal vectors of a label are one node of the graph.
+    Equal vectors of a label are one node of the graph. Of the links of audited nodes at least FLOOR are found.
     """
     stage = staging(vectors.sparkSession)
     rows = vectors.select(
@@ -278,6 +331,9 @@ def linked_vectors(
         if hits >= LEAST_RECALL * links:
             break
         overlap, beam = overlap + 1, beam * 2
+    else:
+        if hits < FLOOR * links:
+            pairs = completed(graph, asked, pairs, similarity, stage)
     both = pairs.union(pairs.select("b", "a")).toDF("node", "other")
     copies = nodes.select(F.col("node").alias("other"), "copies")
     others = both.join(copies, "other").groupBy("node").agg(F.sum("copies").alias("others"))

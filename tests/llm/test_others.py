@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from masthead.llm import exact, neighbours, preference
@@ -52,6 +53,31 @@ def test_vectors(spark):
     assert found == {i: (links[i], find(i), find(i) == i) for i in top}
 
 
+def test_vectors_of_oversized_shards(spark, monkeypatch):
+    """Scaled down so that shards are split anew, and a crowd that no split makes smaller is compared in blocks."""
+    for name, value in {"SAMPLE": 80, "SHARD": 20, "LARGEST": 60, "FANOUT": 4, "FIT": 16, "PART": 150, "BLOCK": 50}.items():
+        monkeypatch.setattr(neighbours, name, value)
+    random = np.random.default_rng(11)
+    centres = random.normal(size=(30, 8))
+    x = centres[random.integers(0, 30, 900)] + 0.12 * random.normal(size=(900, 8))
+    rows = [(i, x[i].tolist(), "a" if i % 3 else "b") for i in range(900)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string").repartition(4)
+    unit = x / np.sqrt((x * x).sum(1))[:, None]
+    alike = (unit @ unit.T >= neighbours.SIMILARITY) & ((np.arange(900) % 3 == 0)[:, None] == (np.arange(900) % 3 == 0))
+    np.fill_diagonal(alike, False)
+    space = frame.select(F.col("label").alias("space"), F.col("vec_id").alias("node"), F.col("embedding").alias("vector"))
+    exact_links = neighbours.true_links(space, space).collect()
+    assert {(r.a, r.b) for r in exact_links} == {(i, j) for i, j in np.argwhere(alike).tolist() if i < j}
+    stage = staging(spark)
+    shards, stuck = neighbours._dealt(space, 2, stage, "test")
+    assert shards.groupBy("space").count().agg(F.max("count")).first()[0] <= neighbours.LARGEST
+    left = set() if stuck is None else {r.node for r in stuck.select("node").collect()}
+    assert {r.node for r in shards.select("node").collect()} | left == set(range(900))
+    none = spark.createDataFrame([], "a long, b long")
+    whole = neighbours.completed(space, space.filter("node % 100 = 0"), none, neighbours.SIMILARITY, stage)
+    assert {tuple(r) for r in whole.collect()} == {(r.a, r.b) for r in exact_links}
+
+
 def test_robust_prune_keeps_no_neighbour_that_a_kept_one_rules_out():
     pick = np.random.default_rng(2)
     x = pick.normal(size=(60, 5))
