@@ -5,8 +5,10 @@ occur in no longer piece. New words of equal length advance together, one charac
 substring, a binary search finds it among the sorted hashes of the pieces, and the best predecessor of every word is one
 maximum along an axis. Of equally good segmentations the one whose last piece is longer wins, at every step.
 
-The vocabulary is read as it is, its scores as those of a unigram model: the encoding is the segmentation with
-the highest sum of scores. For a vocabulary made by merging pairs that need not be the order of its merges.
+The encoding is the segmentation with the highest sum of scores, those of a unigram model. A vocabulary made by merging pairs has
+ranks instead of scores; a sum of ranks would prefer many short pieces. Its pieces stand in order of frequency, so a rank is
+read as the log of a probability that falls with it by the law of Zipf and Mandelbrot. Nothing is fitted. The
+encoding need not be that of its merges.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from masthead.llm.memory import WordMemory
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0  # below the lowest score
+SHIFT = 100  # added to a rank, as its probability falls with one over that sum
 NONE = -(1 << 40)
 CELLS = 1 << 20  # characters of equally long words that advance together
 
@@ -148,13 +151,23 @@ class Pieces:
         return b"".join(map(self.plain.__getitem__, ids.tolist())).decode("utf-8", "replace")[1:]
 
 
+def log_probabilities(scores: list[float], kinds: list[int]) -> list[float]:
+    """Scores that are ranks (0 or whole numbers below, a different one for nearly every piece) as log-probabilities; others as they are."""
+    own = np.array([score for score, kind in zip(scores, kinds, strict=True) if kind == 0])
+    if len(own) < 2 or (own > 0).any() or (own != np.floor(own)).any() or len(np.unique(own)) < 0.99 * len(own):
+        return scores
+    total = np.log((1 / (SHIFT - own)).sum())
+    return [float(-np.log(SHIFT - score) - total) if kind == 0 else score for score, kind in zip(scores, kinds, strict=True)]
+
+
 def read_pieces(path: str) -> Pieces:
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     n = model.get_piece_size()
     kinds = [2 if model.is_byte(i) else 1 if model.is_control(i) or model.is_unknown(i) or model.is_unused(i) else 0 for i in range(n)]
-    return Pieces([model.id_to_piece(i) for i in range(n)], [model.get_score(i) for i in range(n)], kinds, model.unk_id())
+    scores = log_probabilities([model.get_score(i) for i in range(n)], kinds)
+    return Pieces([model.id_to_piece(i) for i in range(n)], scores, kinds, model.unk_id())
 
 
 _FIELDS = ["doc_id", "ids", "ids_crc32", "round_trip"]
