@@ -15,7 +15,7 @@ from importlib import import_module
 from pyspark.sql import SparkSession
 
 from masthead.functions.payload import SNIPPET_CHARS
-from masthead.operators.inference import ModelRunner
+from masthead.operators.inference import CHARS_PER_TASK, ModelRunner
 from masthead.plans.jobs import Run, run_audit, run_generation
 from masthead.sources.articles import read_articles
 from masthead.sources.store import is_store, read_store
@@ -36,6 +36,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--all-shards", action="store_true", help="the batches of all shards in one run")
     parser.add_argument("--model-partitions", type=int, help="partitions of every model call")
     parser.add_argument("--rows-per-task", type=int, help="rows of a model call per task; beats the former")
+    parser.add_argument("--chars-per-task", type=int, default=CHARS_PER_TASK, help="characters of prompts per task, unless one of the former is given")
     parser.add_argument("--prompts-per-call", type=int, default=64)
     parser.add_argument("--snippet-chars", type=int, default=SNIPPET_CHARS, help="characters of an article in a prompt; 0: all")
     parser.add_argument("--in-place", action="store_true", help="write the decisions into the article table")
@@ -55,7 +56,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> Run:
     return job(
         spark,
         read_store(spark, args.articles) if versioned else read_articles(spark, args.articles),
-        ModelRunner(factory, args.prompts_per_call, args.model_partitions, args.rows_per_task),
+        ModelRunner(factory, args.prompts_per_call, args.model_partitions, args.rows_per_task, args.chars_per_task),
         load_templates(spark, args.templates),
         args.out,
         as_of=int(time.time()) if args.as_of is None else args.as_of,

@@ -18,10 +18,9 @@ from masthead.operators.decisions import (
     attempt,
     attempts,
     decide,
+    first_call,
     refusal,
     union_all,
-    with_lead,
-    with_snippet,
 )
 from masthead.operators.inference import REPAIR_CALL, ModelRunner
 from masthead.sources.staging import Staging
@@ -53,10 +52,10 @@ def audit_headlines(
     """
     proposed = F.col("proposed")
     inputs = candidates.select("id", F.col("rephrased_title").alias("proposed"), "rephrased_article")
-    published = with_snippet(model.spread(inputs), snippet_chars)
-    judged = staging.save(
-        with_lead(model.critique(published, templates.critic, proposed, "critic")), "critic"
+    answered = first_call(
+        inputs, model, staging, snippet_chars, lambda a: model.critique(a, templates.critic, proposed, "critic")
     )
+    judged = staging.save(answered, "critic")
     critic = F.col("critic")
     failed = critic["error"].isNotNull()
     approved = ~failed & critic["approved"]
@@ -68,13 +67,14 @@ def audit_headlines(
         .drop("critic")
     )
     prompt = render(templates.safe, body_snippet=F.col("snippet"))
-    repaired = staging.save(with_repair(model.generate(model.spread(wrong), prompt, REPAIR_CALL, "safe")), "repair")
+    answered = model.generate(model.spread(wrong, "chars"), prompt, REPAIR_CALL, "safe")
+    repaired = staging.save(with_repair(answered), "repair")
     safe, fixed, first = F.col("safe"), F.col("fixed"), F.col("first")
     doubt = F.when(safe["error"].isNull(), F.col("doubt"))
     worthwhile = safe["error"].isNull() & F.col("doubt").isNull()
 
     rejudged = staging.save(
-        model.critique(model.spread(repaired.filter(worthwhile)), templates.critic, fixed, "critic").select(
+        model.critique(model.spread(repaired.filter(worthwhile), "chars"), templates.critic, fixed, "critic").select(
             "id", "lead", "cause", "fixed", "first", "critic"
         ),
         "repair_critic",

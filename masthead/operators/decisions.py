@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -9,7 +10,9 @@ from pyspark.sql import functions as F
 
 from masthead.functions.lead import with_lead_headline
 from masthead.functions.payload import SNIPPET_CHARS, snippet, with_content
+from masthead.operators.inference import ModelRunner
 from masthead.schema import ATTEMPT, DECISION_COLUMNS
+from masthead.sources.staging import Staging
 
 LOAD = "load"
 UNREADABLE = "unreadable text: "
@@ -17,19 +20,34 @@ UNREADABLE = "unreadable text: "
 
 def with_snippet(df: DataFrame, chars: int | None = SNIPPET_CHARS) -> DataFrame:
     """Replace the packed text by ``content`` and by the ``snippet`` the prompts show: its first ``chars`` characters, or all. ``cause``
-    says why a text could not be read; such an article goes on without text, and its decision names the cause as an attempt."""
-    return with_content(df).drop("corrupt").withColumn("snippet", snippet(F.col("content"), chars))
+    says why a text could not be read; such an article goes on without text, and its decision names the cause as an attempt.
+    ``chars`` is the length of the snippet."""
+    shown = with_content(df).drop("corrupt").withColumn("snippet", snippet(F.col("content"), chars))
+    return shown.withColumn("chars", F.length("snippet"))
 
 
 def with_lead(answered: DataFrame) -> DataFrame:
     """Replace the text by the ``lead`` headline, for use should nothing pass; the text goes no further.
 
-    To be called behind the model call of the same stage: the optimizer folds all projections below a Python
-    call into one expression, which for these rules grows beyond any use.
+    To be called behind a model call of the same stage, if it has one: the optimizer folds all projections below a
+    Python call into one expression, which for these rules grows beyond any use.
     """
     return with_lead_headline(answered, "content", "lead").drop("content")
 
 
+def first_call(
+    inputs: DataFrame, model: ModelRunner, staging: Staging, chars: int | None, call: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Unpack the articles, ``call`` the model on them, and give them their lead headlines.
+
+    Prompts are as long as their texts, so a model dealt by work sees articles that were unpacked and staged before; what is not
+    in the prompt stops there. Otherwise all of it is one stage."""
+    if model.by_work:
+        opened = staging.save(with_lead(with_snippet(inputs, chars)), "opened")
+        return call(model.spread(opened, "chars"))
+    return with_lead(call(with_snippet(model.spread(inputs), chars)))
+
+
 def attempt(stage: str, generated: Column, reason: Column) -> Column:
     """A rejected text, or NULL where there is no reason to reject it."""
     fields = F.struct(F.lit(stage).alias("stage"), generated.alias("generated"), reason.alias("reason"))

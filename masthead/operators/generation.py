@@ -18,10 +18,9 @@ from masthead.operators.decisions import (
     attempt,
     attempts,
     decide,
+    first_call,
     refusal,
     union_all,
-    with_lead,
-    with_snippet,
 )
 from masthead.operators.inference import HOOK_CALL, SAFE_CALL, ModelRunner
 from masthead.sources.staging import Staging
@@ -47,9 +46,9 @@ def generate_headlines(
     title is an error. Prompts show the first ``snippet_chars`` characters of an article, or with None all of it.
     """
     inputs = candidates.select("id", "rephrased_article", F.col("title").isNotNull().alias("titled"))
-    articles = with_snippet(model.spread(inputs), snippet_chars)
     prompt = F.when(F.col("titled"), render(templates.hook, body_snippet=F.col("snippet")))
-    hooked = staging.save(with_lead(model.generate(articles, prompt, HOOK_CALL, "hook")), "hook")
+    answered = first_call(inputs, model, staging, snippet_chars, lambda a: model.generate(a, prompt, HOOK_CALL, "hook"))
+    hooked = staging.save(answered, "hook")
     hook = F.col("hook")
     written = hook["error"].isNull() & (hook["text"] != "")
 
@@ -57,7 +56,7 @@ def generate_headlines(
     failed = critic["error"].isNotNull()
     approved = ~failed & critic["approved"]
     refused = ~failed & ~critic["approved"]
-    judged = model.critique(model.spread(hooked.filter(written)), templates.critic, hook["text"], "critic")
+    judged = model.critique(model.spread(hooked.filter(written), "chars"), templates.critic, hook["text"], "critic")
     judged = staging.save(_checked(judged, "hook"), "hook_critic")
 
     # Everything without an approved hook gets a second, safer text.
@@ -65,13 +64,14 @@ def generate_headlines(
         "first", attempt("hook", hook["text"], F.lit(EMPTY))
     )
     wrong = judged.filter(refused).withColumn("first", attempt("hook", hook["text"], refusal(critic)))
-    retry = union_all([part.select("id", "snippet", "lead", "cause", "first") for part in (empty, wrong)])
+    retry = union_all([part.select("id", "snippet", "chars", "lead", "cause", "first") for part in (empty, wrong)])
     prompt = render(templates.safe, body_snippet=F.col("snippet"))
-    retried = staging.save(model.generate(model.spread(retry), prompt, SAFE_CALL, "safe"), "safe")
+    retried = staging.save(model.generate(model.spread(retry, "chars"), prompt, SAFE_CALL, "safe"), "safe")
     safe, first = F.col("safe"), F.col("first")
     rewritten = safe["error"].isNull() & (safe["text"] != "")
 
-    rejudged = model.critique(model.spread(retried.filter(rewritten)), templates.critic, safe["text"], "critic")
+    rewrites = model.spread(retried.filter(rewritten), "chars")
+    rejudged = model.critique(rewrites, templates.critic, safe["text"], "critic")
     rejudged = staging.save(_checked(rejudged.drop("snippet"), "safe"), "safe_critic")
 
     # What leaves the funnel at each stage.
