@@ -14,6 +14,7 @@ from masthead.operators.candidates import (
     shard,
 )
 from masthead.schema import ARTICLES
+from masthead.workload.queries import registered
 
 NOW = 1_700_000_000
 
@@ -109,3 +110,11 @@ def test_any_unverified(states):
     assert any_unverified(states, NOW).first()["has_more"] is True
     assert any_unverified(recent(states, NOW + 10**6, 1), NOW).first()["has_more"] is False
     assert any_unverified(states, NOW + 259201).first()["has_more"] is False
+
+
+def test_the_large_batch_takes_all_there_is_room_for(spark, tmp_path):
+    """More articles than fit into a small batch, fewer than into the large one: all come, with their own dates."""
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("A text.").alias("text"), F.lit("en").alias("lang"), F.lit("web").alias("source"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {(r["id"], r["scraped_at"]) for r in registered()["newest_many"](spark, str(tmp_path)).collect()}
+    assert got == {(n, 1704672000 - n * 7919 % 604800) for n in range(300)}
