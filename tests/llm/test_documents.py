@@ -7,8 +7,10 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from itertools import pairwise
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from masthead.llm import exact, jaccard, language, packing, passages, pieces, pii, quality
@@ -191,6 +193,32 @@ def test_changed_passages_are_found(documents):
     assert all(n >= (23 if length == 120 else 20) for (_, length), n in caught.items()) and sum(caught.values()) >= 0.95 * 250, caught
 
 
+def test_no_changed_passage_is_left_out(documents):
+    """Changes at random places, and at every fifth, between which no five words agree in a row: all that meet the threshold are found."""
+    rows = []
+    for number in range(60):
+        shared = prose(50_000 + number, 64)
+        words = shared.split()
+        words[4:60:5] = [f"changed{number}x{k}" for k in range(4, 60, 5)]
+        other = " ".join(words) if number % 2 else changed(shared, 0.19, number)
+        rows += [(2 * number, f"{prose(60_000 + number, 80)} {shared} {prose(70_000 + number, 60)}")]
+        rows += [(2 * number + 1, f"{prose(80_000 + number, 50)} {other} {prose(90_000 + number, 90)}")]
+    found = {(r.source_id, r.doc_id) for r in passages.repeated_passages(documents(rows)).collect()}
+    assert {(2 * n, 2 * n + 1) for n in range(60)} <= found
+
+
+def test_places_are_linked_to_the_first_across_batches():
+    pick = random.Random(8)
+    for _ in range(100):
+        places = sorted((pick.randrange(6), pick.randrange(4), pick.randrange(9)) for _ in range(40))
+        cuts = sorted(pick.randrange(41) for _ in range(pick.randrange(8)))
+        kinds = [("seed", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int32())]
+        batches = [pa.RecordBatch.from_pylist([dict(zip(("seed", "doc_id", "at"), p, strict=True)) for p in places[a:b]], pa.schema(kinds)) for a, b in pairwise([0, *cuts, 40])]
+        got = [tuple(r.values()) for batch in passages._linked(iter(batches)) for r in batch.to_pylist()]
+        first = {s: min(p[1:] for p in places if p[0] == s) for s, *_ in places}
+        assert sorted(got) == sorted((d, a, *first[s]) for s, d, a in places if len({p[1] for p in places if p[0] == s}) > 1)
+
+
 def test_every_repeated_window_is_in_a_passage(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = passages.repeated_passages(docs).collect()
