@@ -207,6 +207,15 @@ def test_no_changed_passage_is_left_out(documents):
     assert {(2 * n, 2 * n + 1) for n in range(60)} <= found
 
 
+def test_passage_that_repeats_itself_is_one(documents):
+    """A word written many times in a row is joined to its first place; the passage around it stays whole, and comes once."""
+    text = " ".join(f"{'same ' * 17}{prose(500 + k, 1)}" for k in range(6)) + " " + prose(510, 20)
+    rows = [(1, text), (2, edited(text, 3, 2))]
+    found = [(r.start, r.end, r.source_start, r.source_end) for r in passages.repeated_passages(documents(rows)).collect()]
+    n = len(text.split())
+    assert len(found) == 1 and found[0][0] <= 4 and found[0][1] >= n - 4
+
+
 def test_places_are_linked_to_the_first_across_batches():
     pick = random.Random(8)
     for _ in range(100):
