@@ -10,7 +10,8 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, pairwise
+from string import ascii_lowercase
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from masthead.llm.common import slabs, staging, utf8
-from masthead.llm.memory import WordMemory
+from masthead.llm.memory import WordMemory, distinct_slices
 
 CAPACITY = 2048
 SEPARATOR = 0  # id after each document
@@ -55,44 +56,70 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        self.plain = self._without_rules()
         self.memory = WordMemory(self.encoded)
 
+    def _without_rules(self):
+        """The model alone, with words cut at spaces, if words of small ASCII letters pass the rules before it as they are."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        rules, cut = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        two = f"{ascii_lowercase} {ascii_lowercase}"
+        if cut is None or (rules is not None and rules.normalize_str(two) != two):
+            return self.tokenizer
+        if [word for word, _ in cut.pre_tokenize_str(two)] != two.split():
+            return self.tokenizer
+        plain = Tokenizer(self.tokenizer.model)
+        plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        return plain
+
     def encoded(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of words, and how many each has. Words of letters have one last token each, so many can be encoded as one text."""
-        words = [w.decode() for w in raw]
-        out: list[list[int]] = [[]] * len(words)
-        alone = range(len(words))
+        counts = np.zeros(len(raw), np.int64)
+        found: list[tuple[np.ndarray, np.ndarray]] = []  # numbers of words, their ids
         if self.last.any():
-            plain = [i for i, w in enumerate(words) if w.isalpha()]
-            for at in range(0, len(plain), 1000):
-                part = plain[at : at + 1000]
-                ids = self.tokenizer.encode_batch_fast([" ".join([words[i] for i in part])], add_special_tokens=False)[0].ids
-                ends = (np.flatnonzero(self.last[ids]) + 1).tolist()
-                if len(ends) == len(part):
-                    for i, first, last in zip(part, [0, *ends], ends, strict=False):
-                        out[i] = ids[first:last]
-            alone = [i for i, ids in enumerate(out) if not ids]
-        found = self.tokenizer.encode_batch_fast([words[i] for i in alone], add_special_tokens=False)
-        for i, x in zip(alone, found, strict=True):
-            out[i] = x.ids
-        return np.fromiter(chain.from_iterable(out), np.uint32), np.fromiter(map(len, out), np.int64, len(out))
-
-    def split(self, data: np.ndarray, limits: np.ndarray) -> list[list[bytes]]:
-        """The words of each text."""
+            small = np.fromiter([w.isalpha() and w.islower() for w in raw], bool, len(raw))  # ASCII letters only
+            other = [i for i in np.flatnonzero(~small).tolist() if raw[i].decode().isalpha()]
+            for tokenizer, own in ((self.plain, np.flatnonzero(small).tolist()), (self.tokenizer, other)):
+                for at in range(0, len(own), 1000):
+                    part = own[at : at + 1000]
+                    text = b" ".join([raw[i] for i in part]).decode()
+                    ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+                    ends = np.flatnonzero(self.last[ids]) + 1
+                    if len(ends) == len(part) and ends[-1] == len(ids):
+                        counts[part] = np.diff(ends, prepend=0)
+                        found.append((np.array(part), ids))
+        alone = np.flatnonzero(counts == 0)
+        each = [x.ids for x in self.tokenizer.encode_batch_fast([raw[i].decode() for i in alone.tolist()], add_special_tokens=False)]
+        counts[alone] = np.fromiter(map(len, each), np.int64, len(each))
+        found.append((alone, np.fromiter(chain.from_iterable(each), np.uint32)))
+        begin = np.cumsum(counts) - counts
+        out = np.zeros(counts.sum(), np.uint32)
+        for own, ids in found:
+            n = counts[own]
+            out[np.arange(len(ids)) + np.repeat(begin[own] - np.cumsum(n) + n, n)] = ids
+        return out, counts
+
+    def split(self, data: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The words of all texts, one after the other; where each begins; how many words stand before each text, and in all."""
+        solid = (data != 32) & ((data < 9) | (data > 13))
+        opens = np.ones(len(data) + 1, bool)  # may a word begin here?
+        opens[1:-1] = ~solid[:-1]
         if not self.special or self.special not in data.tobytes():
             data = data + ((data >= 65) & (data <= 90)).astype(np.uint8) * np.uint8(32)
             letter = (data >= 97) & (data <= 122)
             mark = (data > 32) & (data < 127) & ~letter & ~((data >= 48) & (data <= 57)) & (data != 39)
-            at = np.flatnonzero(letter[:-1] & mark[1:]) + 1
-            data = np.insert(data, at, 32)
-            limits = limits + np.searchsorted(at, limits, "left")
-        raw = data.tobytes()
-        return [raw[a:b].split() for a, b in zip(limits[:-1].tolist(), limits[1:].tolist(), strict=True)]
+            opens[1:-1] |= letter[:-1] & mark[1:]
+        opens[limits] = True
+        start = np.flatnonzero(opens[:-1] & solid)
+        return data[solid], (np.cumsum(solid) - 1)[start], np.searchsorted(start, limits)
 
     def encode(self, data: np.ndarray, limits: np.ndarray) -> Iterator[np.ndarray]:
         """The ids of each text, with the separator."""
-        for ids in self.memory.ids_of(self.split(data, limits)):
-            yield np.append(ids, np.uint32(SEPARATOR))
+        letters, start, first = self.split(data, limits)
+        flat, ends = self.memory.flat_ids(*distinct_slices(letters, start, pa.binary()))
+        for a, b in pairwise(ends[first].tolist()):
+            yield np.append(flat[a:b], np.uint32(SEPARATOR))
 
 
 _encoders: dict[str, WordEncoder] = {}

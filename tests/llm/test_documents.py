@@ -254,6 +254,25 @@ def test_chain_is_the_best_of_all_chains():
         assert (start, other) in matches and (end - passages.KMER, other_end - passages.KMER) in matches
 
 
+def test_words_in_use_are_not_encoded_again():
+    from masthead.llm.memory import WordMemory
+
+    encoded = Counter()
+
+    def encode(words):
+        encoded.update(words)
+        return np.concatenate([[len(w), int(w[1:])] for w in words]), np.full(len(words), 2)
+
+    memory, most = WordMemory(encode, 100), 0
+    for k in range(60):
+        texts = [["a1", f"b{k}"], [], [f"c{n}" for n in range(20 * k, 20 * k + 20)] + ["a1", "a22"]]
+        for own, ids in zip(texts, memory.ids_of(texts), strict=True):
+            assert ids.tolist() == [x for w in own for x in (len(w), int(w[1:]))]
+        most = max(most, len(memory.known))
+    assert encoded["a1"] == encoded["a22"] == 1
+    assert most <= 100
+
+
 def test_packing(documents, rows):
     from tokenizers import Tokenizer
 
@@ -276,6 +295,24 @@ def test_packing(documents, rows):
         assert ends[-1] <= 2048
 
 
+def test_words_are_encoded_like_the_tokenizer():
+    from tokenizers import Tokenizer
+
+    from masthead.llm.common import slabs, utf8
+
+    tokenizer, encoder = Tokenizer.from_str(word_tokenizer()), packing.WordEncoder(word_tokenizer())
+    assert encoder.plain is not encoder.tokenizer
+    encoder.memory.most = 200
+    pick = random.Random(3)
+    letters = "aAbBzZst.,'-_ \t\n\r\v\f\x1c\x85\xa0  éÉß01<|>’…Ωж中\u2003\u3000"
+    texts = ["", " ", "a<|startoftext|>B", *("".join(pick.choices(letters, k=pick.randrange(50))) for _ in range(800))]
+    data, limits = utf8(pa.array(texts))
+    found = []
+    for first, last in slabs(limits, 3000):
+        found += encoder.encode(data[limits[first] : limits[last]], limits[first : last + 1] - limits[first])
+    assert [ids.tolist() for ids in found] == [[*tokenizer.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_plan_places_every_piece_once(seed):
     pick = random.Random(seed)
