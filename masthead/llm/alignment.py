@@ -5,7 +5,8 @@ ends tells where a group ends: a token that starts where the maximum stands begi
 every token of one is linked to the tokens of the other that its bytes overlap.
 
 A text is cut before every space that stands between two characters that are none: both tokenizers always cut there. So what
-they make of a word depends on the word alone; new words are aligned many at once, and a worker remembers them.
+they make of a word depends on the word alone; new words are aligned many at once, and a worker remembers them. When there is
+no room for more, it forgets those that were used once only.
 
 How often two ids are linked is counted over all texts. The ``KNOWN_PAIRS`` most frequent pairs, which are most links, go
 to all tasks; the links of the others are joined to their counts, and none of those pairs can be frequent.
@@ -14,9 +15,8 @@ to all tasks; the links of the others are joined to their counts, and none of th
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import chain, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -24,13 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from masthead.llm.common import slabs, staging, utf8
+from masthead.llm.memory import distinct_slices, gathered, kept_words
 
 KNOWN_PAIRS = 1 << 20  # pairs of ids that are sent to all tasks
 KNOWN_WORDS = 400_000  # words that a worker remembers, at most
 KNOWN_CHARS = 1 << 24  # and their characters
-CUT = re.compile(r"(?<=\S) (?=\S)")
-REGULAR = re.compile(r"\S(?:.*\S)?", re.S)
+TOGETHER = 1000  # words that are encoded as one text
 SPACE = "▁"
+WIDE = [0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]  # white space beyond ASCII
 
 
 def byte_level() -> dict[str, int]:
@@ -40,6 +41,34 @@ def byte_level() -> dict[str, int]:
     return {chr(b): b for b in seen} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def blanks(data: np.ndarray) -> np.ndarray:
+    """Which bytes of UTF-8 belong to white space."""
+    out = (data == 32) | ((data >= 9) & (data <= 13)) | ((data >= 28) & (data <= 31))
+    lead = np.flatnonzero((data == 0xC2) | ((data >= 0xE1) & (data <= 0xE3)))
+    if len(lead):
+        padded = np.append(data, np.zeros(2, np.uint8))
+        first, second, third = (padded[lead + k].astype(np.int64) for k in range(3))
+        two = first == 0xC2
+        point = np.where(two, (first & 31) << 6 | second & 63, (first & 15) << 12 | (second & 63) << 6 | third & 63)
+        wide = np.isin(point, WIDE)
+        for k in range(3):
+            out[lead[wide & ~two if k == 2 else wide] + k] = True
+    return out
+
+
+def cut(data: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Texts cut at every space between two characters that are none: the words of all, one after the other, without these spaces;
+    where each begins; how many stand before each text, and in all."""
+    solid = ~blanks(data)
+    edge = np.zeros(len(data) + 1, bool)
+    edge[limits] = True
+    space = np.zeros(len(data), bool)
+    space[1:-1] = (data[1:-1] == 32) & solid[:-2] & solid[2:] & ~edge[1:-2] & ~edge[2:-1]
+    edge[1:] |= space
+    start = np.flatnonzero(edge[:-1])
+    return data[~space], start - np.cumsum(space)[start], np.searchsorted(start, limits)
+
+
 class Aligned:
     """What two tokenizers make of words. ``first`` is the definition of a byte-level BPE, ``second`` a SentencePiece model."""
 
@@ -67,46 +96,72 @@ class Aligned:
             raise ValueError("a piece reaches across the beginning of a word")
         self.a_length = np.array([len(b) for b in self.a_bytes])
         self.b_length = np.array([len(b) for b in self.b_bytes])
-        self.decimal = [str(i) for i in range(max(len(self.a_bytes), self.n_b))]
+        n = max(len(self.a_bytes), self.n_b)
+        self.digits = np.char.encode(np.arange(n).astype(str)).view(np.uint8).reshape(n, -1)  # zeros behind the last
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.chars = 0
         self.sums = np.zeros((1 << 12, 5), np.int64)  # of a word: whether it failed, tokens of both, groups, links
+        self.used = np.zeros(1 << 12, np.int64)
         self.groups: list[str] = []
         self.ends = np.zeros(1, np.int64)
         self.pairs = np.zeros(1 << 14, np.int64)
 
-    def _ids(self, words: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both for each word with a space before it. Words that neither begin nor end with white space are encoded in one go by the first."""
-        own: list[list[int]] = [[]] * len(words)
-        regular = [i for i, w in enumerate(words) if REGULAR.fullmatch(w)]
-        if regular:
-            ids = self.a.encode_batch_fast([" " + " ".join([words[i] for i in regular])], add_special_tokens=False)[0].ids
-            ends = np.cumsum(self.a_length[ids])
-            limits = np.cumsum([len(words[i].encode()) + 1 for i in regular])
-            at = np.searchsorted(ends, limits)
-            if at[-1] == len(ids) - 1 and (ends[at] == limits).all():
-                for i, first, last in zip(regular, [0, *(at[:-1] + 1).tolist()], (at + 1).tolist(), strict=True):
-                    own[i] = ids[first:last]
-        alone = [i for i, w in enumerate(words) if not own[i]]
-        for i, x in zip(alone, self.a.encode_batch_fast([" " + words[i] for i in alone], add_special_tokens=False), strict=True):
-            own[i] = x.ids
-        return own, self.b.encode(words, num_threads=1)
+    def _make_room(self, need: int) -> None:
+        """Forget the words that were used once only, and others until half of the room is free."""
+        n = len(self.known)
+        words = list(self.known)
+        kept = kept_words(self.used[:n], min(KNOWN_WORDS // 2, max(0, KNOWN_WORDS - need)))
+        often = kept[np.argsort(-self.used[kept], kind="stable")]
+        chars = np.cumsum(np.fromiter((len(words[i]) for i in often.tolist()), np.int64, len(often)))
+        kept = np.sort(often[chars <= KNOWN_CHARS // 2])
+        pairs, _ = gathered(self.pairs, self.ends[kept], self.ends[kept + 1])
+        sums, used, at = self.sums[kept], self.used[kept] // 2, kept.tolist()
+        strings = [self.groups[i] for i in at]
+        self.forget()
+        self._remember([words[i] for i in at], sums, strings, pairs)
+        self.used[: len(used)] = used
+
+    def _first_ids(self, words: list[str], size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the first for words with a space before them, and how many each has. Words that neither begin nor end with white
+        space are encoded many at once."""
+        counts = np.zeros(len(words), np.int64)
+        found: list[tuple[np.ndarray, np.ndarray]] = []  # numbers of words, their ids
+        regular = [i for i, w in enumerate(words) if w.strip() == w]
+        for at in range(0, len(regular), TOGETHER):
+            part = np.array(regular[at : at + TOGETHER])
+            text = " " + " ".join([words[i] for i in part.tolist()])
+            ids = np.array(self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids)
+            ends, limits = np.cumsum(self.a_length[ids]), np.cumsum(size[part])
+            last = np.searchsorted(ends, limits)
+            if last[-1] == len(ids) - 1 and (ends[last] == limits).all():
+                counts[part] = np.diff(last, prepend=-1)
+                found.append((part, ids))
+        alone = np.flatnonzero(counts == 0)
+        each = [x.ids for x in self.a.encode_batch_fast([" " + words[i] for i in alone.tolist()], add_special_tokens=False)]
+        counts[alone] = np.fromiter(map(len, each), np.int64, len(each))
+        found.append((alone, np.fromiter(chain.from_iterable(each), np.int64)))
+        begin = np.cumsum(counts) - counts
+        out = np.zeros(counts.sum(), np.int64)
+        for own, ids in found:
+            n = counts[own]
+            out[np.arange(len(ids)) + np.repeat(begin[own] - np.cumsum(n) + n, n)] = ids
+        return out, counts
 
     def learn(self, words: list[str]) -> None:
         """Align words that are not known yet."""
-        own, other = self._ids(words)
         said = [b" " + w.encode() for w in words]
         size = np.fromiter(map(len, said), np.int64, len(words))
-        whole = np.ones(len(words), bool)
-        if not (self._spell(own, self.a_bytes, self.a_length, said, size) and self._spell(other, self.b_bytes, self.b_length, said, size)):
-            for i, (x, y) in enumerate(zip(own, other, strict=True)):
-                whole[i] = b"".join([self.a_bytes[t] for t in x]) == said[i] == b"".join([self.b_bytes[t] for t in y])
-        kept = [i for i in range(len(words)) if whole[i]]
-        a = np.fromiter(chain.from_iterable([own[i] for i in kept]), np.int64)
-        b = np.fromiter(chain.from_iterable([other[i] for i in kept]), np.int64)
+        a, a_count = self._first_ids(words, size)
+        other = self.b.encode(words, num_threads=1)
+        b_count = np.fromiter(map(len, other), np.int64, len(words))
+        b = np.fromiter(chain.from_iterable(other), np.int64, b_count.sum())
+        whole = self._spelt(a, a_count, self.a_bytes, self.a_length, said, size)
+        whole &= self._spelt(b, b_count, self.b_bytes, self.b_length, said, size)
+        kept = np.flatnonzero(whole)
+        a, b = a[np.repeat(whole, a_count)], b[np.repeat(whole, b_count)]
         a_end, b_end = np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b])
         a_start, b_start = a_end - self.a_length[a], b_end - self.b_length[b]
         word_end = np.cumsum(size[kept])
@@ -123,11 +178,15 @@ class Aligned:
         ids, start, group, side = ids[order], start[order], group[order], side[order]
         fresh = np.r_[True, group[1:] != group[:-1]] if len(group) else np.zeros(0, bool)
         turn = np.r_[True, side[1:] != side[:-1]] if len(side) else np.zeros(0, bool)
-        mark = np.where(fresh, 0, np.where(turn, 1, 2)).tolist()
-        written = [s + d for s, d in zip(map((";", "|", ",").__getitem__, mark), map(self.decimal.__getitem__, ids.tolist()), strict=True)]
+        # Each token as a mark and its digits, in a row of its own; without what is empty, the rows are the text.
+        rows = np.empty((len(ids), self.digits.shape[1] + 1), np.uint8)
+        rows[:, 0] = np.where(fresh, ord(";"), np.where(turn, ord("|"), ord(",")))
+        rows[:, 1:] = self.digits[ids]
+        seen = rows > 0
+        written, written_end = rows[seen].tobytes().decode(), np.append(0, np.cumsum(seen.sum(1)))
 
         of_word = np.searchsorted(word_end, start, "right")  # groups do not cross words, so words come one after the other
-        token_end = np.cumsum(np.bincount(of_word, minlength=len(kept)))
+        limits = written_end[np.append(0, np.cumsum(np.bincount(of_word, minlength=len(kept))))].tolist()
         a_word, b_word = np.searchsorted(word_end, a_start, "right"), np.searchsorted(word_end, b_start, "right")
         n_links = np.bincount(a_word, count, len(kept)).astype(np.int64)
         sums = np.zeros((len(words), 5), np.int64)
@@ -137,24 +196,24 @@ class Aligned:
         sums[kept, 3] = np.bincount(of_word[fresh], minlength=len(kept))
         sums[kept, 4] = n_links
         strings = [""] * len(words)
-        for i, first_, last_ in zip(kept, [0, *token_end[:-1].tolist()], token_end.tolist(), strict=False):
-            strings[i] = "".join(written[first_:last_])[1:]
+        for i, (begin, end) in zip(kept.tolist(), pairwise(limits), strict=True):
+            strings[i] = written[begin + 1 : end]
         self._remember(words, sums, strings, pairs)
 
     @staticmethod
-    def _spell(ids: list[list[int]], tokens: list[bytes], length: np.ndarray, said: list[bytes], size: np.ndarray) -> bool:
-        """Do the tokens of all words give them back? Looked at in one go, as they nearly always do."""
-        flat = list(chain.from_iterable(ids))
-        ends = np.cumsum(length[flat])
-        last = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) - 1
-        if not len(flat) or last[0] < 0 or not (ends[last] == np.cumsum(size)).all():
-            return False
-        return b"".join(map(tokens.__getitem__, flat)) == b"".join(said)
+    def _spelt(ids: np.ndarray, counts: np.ndarray, tokens: list[bytes], length: np.ndarray, said: list[bytes], size: np.ndarray) -> np.ndarray:
+        """Which words do their tokens give back? Looked at in one go, as nearly always all do."""
+        flat, limits = ids.tolist(), np.append(0, np.cumsum(counts))
+        ends = np.append(0, np.cumsum(length[ids]))[limits]
+        if (np.diff(ends) == size).all() and b"".join(map(tokens.__getitem__, flat)) == b"".join(said):
+            return np.ones(len(said), bool)
+        return np.array([b"".join([tokens[t] for t in flat[i:j]]) == w for (i, j), w in zip(pairwise(limits.tolist()), said, strict=True)], bool)
 
     def _remember(self, words: list[str], sums: np.ndarray, strings: list[str], pairs: np.ndarray) -> None:
         n, used = len(self.known), int(self.ends[len(self.known)])
         while len(self.sums) < n + len(words):
             self.sums = np.concatenate([self.sums, np.zeros_like(self.sums)])
+            self.used = np.concatenate([self.used, np.zeros_like(self.used)])
         while len(self.pairs) < used + len(pairs):
             self.pairs = np.concatenate([self.pairs, np.zeros_like(self.pairs)])
         self.sums[n : n + len(words)] = sums
@@ -164,30 +223,36 @@ class Aligned:
         self.known.update(zip(words, range(n, n + len(words)), strict=True))
         self.chars += sum(map(len, words))
 
-    def texts(self, texts: list[str]) -> Iterator[tuple[np.ndarray, str, np.ndarray]]:
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+
+    def texts(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, str, np.ndarray]]:
+        """``aligned`` of texts that are no column; null counts as empty."""
+        return self.aligned(*utf8(pa.array(texts, pa.string())))
+
+    def aligned(self, data: np.ndarray, limits: np.ndarray) -> Iterator[tuple[np.ndarray, str, np.ndarray]]:
         """For each text the sums over its words (the first is 0 if no word failed), its groups as text, its links as ``a * n_b + b``."""
-        split = [CUT.split(text) if text else [] for text in texts]
-        words = list(chain.from_iterable(split))
-        new = set(words).difference(self.known)
-        if self.known and (len(self.known) + len(new) > KNOWN_WORDS or self.chars > KNOWN_CHARS):
-            self.forget()
-            new = set(words)
-        if new:
-            self.learn(list(new))
-        numbers = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
-        begin, end = self.ends[numbers], self.ends[numbers + 1]
-        total = np.concatenate([[0], np.cumsum(end - begin)])
-        flat = self.pairs[np.arange(total[-1]) + np.repeat(begin - total[:-1], end - begin)]
-        first = 0
-        for own in split:
-            last = first + len(own)
-            at = numbers[first:last]
-            sums = self.sums[at].sum(0)
-            if sums[0] or not len(own):
+        letters, start, first = cut(data, limits)
+        words, at = distinct_slices(letters, start, pa.string())
+        numbers = self._numbers(words)
+        missing = np.flatnonzero(numbers < 0)
+        if len(missing) and self.known and (len(self.known) + len(missing) > KNOWN_WORDS or self.chars > KNOWN_CHARS):
+            self._make_room(len(missing))
+            numbers = self._numbers(words)
+            missing = np.flatnonzero(numbers < 0)
+        if len(missing):
+            numbers[missing] = np.arange(len(self.known), len(self.known) + len(missing))
+            self.learn([words[i] for i in missing.tolist()])
+        self.used[numbers] += np.bincount(at, minlength=len(words))
+        strings = np.array([self.groups[i] for i in numbers.tolist()], object)[at].tolist()
+        sums_of = self.sums[numbers]
+        flat, total = gathered(self.pairs, self.ends[numbers[at]], self.ends[numbers[at] + 1])
+        for begin, end in pairwise(first.tolist()):
+            sums = sums_of[at[begin:end]].sum(0)
+            if sums[0] or begin == end:
                 yield np.zeros(5, np.int64), "", flat[:0]
             else:
-                yield sums, ";".join([self.groups[i] for i in at.tolist()]), flat[total[first] : total[last]]
-            first = last
+                yield sums, ";".join(strings[begin:end]), flat[total[begin] : total[end]]
 
 
 def coalesced(a_start: np.ndarray, a_end: np.ndarray, b_start: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -238,9 +303,8 @@ def groups(docs: DataFrame, first: str, second: bytes, id_col: str = "doc_id", t
         for batch in batches:
             data, limits = utf8(batch.column(1))
             for begin, end in slabs(limits):
-                texts = [data[limits[i] : limits[i + 1]].tobytes().decode() for i in range(begin, end)]
                 sums, hashes, pairs, times = [], [], [], []
-                for total, said, links in own.texts(texts):
+                for total, said, links in own.aligned(data[limits[begin] : limits[end]], limits[begin : end + 1] - limits[begin]):
                     pair, number = np.unique(links, return_counts=True)
                     sums.append(total)
                     hashes.append(hashlib.sha256(said.encode()).hexdigest() if total[1] else "")

@@ -25,7 +25,7 @@ def distinct_slices(data: np.ndarray, start: np.ndarray, kind: pa.DataType) -> t
         kind = pa.large_string() if pa.types.is_string(kind) else pa.large_binary()
     words = pa.Array.from_buffers(kind, len(start), [None, pa.py_buffer(limits), pa.py_buffer(np.ascontiguousarray(data))])
     found = words.dictionary_encode()
-    return found.dictionary.to_pylist(), found.indices.to_numpy().astype(np.int64)
+    return found.dictionary.to_numpy(zero_copy_only=False).tolist(), found.indices.to_numpy().astype(np.int64)
 
 
 def kept_words(used: np.ndarray, most: int) -> np.ndarray:

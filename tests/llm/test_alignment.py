@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 from collections import Counter, defaultdict
 from functools import cache
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from masthead.llm import alignment
+from masthead.llm.common import utf8
 from masthead.llm.queries import op13_interval_coalescing, tokenizer_path
 
 
@@ -127,6 +130,27 @@ def test_forgetting_changes_nothing(files, monkeypatch):
     assert [(s.tolist(), g, p.tolist()) for t in rows for s, g, p in other.texts([t])] == want
 
 
+def test_words_in_use_are_not_aligned_again(files, monkeypatch):
+    monkeypatch.setattr(alignment, "KNOWN_WORDS", 50)
+    one, seen, learn = alignment.Aligned(*files), Counter(), alignment.Aligned.learn
+    monkeypatch.setattr(alignment.Aligned, "learn", lambda self, words: (seen.update(words), learn(self, words))[1])
+    for k in range(40):
+        list(one.texts([f"often {k}x", None, "often used " + " ".join(f"n{n}" for n in range(10 * k, 10 * k + 10))]))
+        assert len(one.known) <= 50
+    assert seen["often"] == seen["used"] == 1
+
+
+def test_cut():
+    pick = random.Random(4)
+    texts = ["".join(pick.choices("ab     \n\x1c\x85\xa0\u1680\u2003\u200b\u2028\u3000é…¢", k=pick.randrange(30))) for _ in range(3000)]
+    data, limits = utf8(pa.array(texts))
+    letters, start, first = alignment.cut(data, limits)
+    want = [re.split(r"(?<=\S) (?=\S)", text) if text else [] for text in texts]
+    ends = [*start[1:].tolist(), len(letters)]
+    assert [letters[a:b].tobytes().decode() for a, b in zip(start.tolist(), ends, strict=True)] == [w for own in want for w in own]
+    assert first.tolist() == np.cumsum([0, *map(len, want)]).tolist()
+
+
 def test_coalesced():
     group, own = alignment.coalesced(*(np.array(x) for x in ([0, 2, 5], [2, 5, 9], [0, 3, 5, 6], [3, 5, 6, 9])))
     assert own.tolist() == [0, 0, 1] and group.tolist() == [0, 0, 1, 0, 0, 1, 1]
