@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import sys
 import zlib
 from collections import Counter, defaultdict
 from itertools import pairwise
@@ -523,6 +524,40 @@ def test_pieces(documents):
     assert back[3] == texts[3] and back[None] == ""
 
 
+def small_vocabulary(with_bytes: bool) -> pieces.Pieces:
+    names = ["<unk>", "a", "b", "ab", "ba", "aab", "▁", "▁a", "▁▁", "é", "aaaa", "x y"] + [f"<0x{b:02X}>" for b in range(256 * with_bytes)]
+    scores = [0.0, -3.0, -3.0, -6.0, -5.5, -7.0, -2.0, -5.0, -4.0, -3.0, -9.0, -1.0] + [0.0] * 256 * with_bytes
+    return pieces.Pieces(names, scores, [1] + [0] * 11 + [2] * 256 * with_bytes, 0)
+
+
+@pytest.mark.parametrize("with_bytes", [True, False])
+@pytest.mark.parametrize("cells", [1, 40, pieces.CELLS])
+def test_pieces_of_words_of_all_lengths(cells, with_bytes, monkeypatch):
+    """Ties, unknown characters and words that are longer than what is searched at once."""
+    monkeypatch.setattr(pieces, "CELLS", cells)
+    own, pick = small_vocabulary(with_bytes), random.Random(9)
+    texts = ["".join(pick.choice("aabb é🙂▁y\u0800") for _ in range(pick.randrange(40))) for _ in range(150)] + ["ab" * 90, "a" * 75]
+    number = {name: i for i, name in enumerate(own.names)}
+    for text, got in zip(texts, own.encode(texts), strict=True):
+        path = best_pieces(own.names[1:12], own.scores[1:12], own.lowest, "▁" + text.replace(" ", "▁")) if text else []
+        spelt = [[number[p]] if p in number else [number[f"<0x{b:02X}>"] for b in p.encode()] if with_bytes else [0] for p in path]
+        assert got.tolist() == [i for ids in spelt for i in ids], text
+    raw = [t.encode() for t in texts]
+    _, _, same = own.encode_bytes(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    assert same.tolist() == [with_bytes or not set(text) & set("🙂y\u0800") for text in texts]
+
+
+def test_new_words_cost_no_call_each():
+    """op10 was over its budget of CPU time: it called more than 20 functions for every new word."""
+    own = pieces.read_pieces(tokenizer_path("piece_bpe_32k.model"))
+    pick, calls = random.Random(10), Counter()
+    text = " ".join("".join(pick.choices("abcdefghij", k=pick.randrange(3, 18))) for _ in range(20_000))
+    sys.setprofile(lambda _, event, __: calls.update([event]))
+    own.encode([text])
+    sys.setprofile(None)
+    assert calls["call"] + calls["c_call"] < 20_000
+
+
 def test_empty_tables(documents, spark):
     none = documents([(1, "x")]).filter("doc_id < 0")
     labels = spark.createDataFrame([], "doc_id long, quality int")
