@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 from itertools import pairwise
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 
@@ -217,6 +218,39 @@ def test_passage_that_repeats_itself_is_one(documents):
     assert len(found) == 1 and found[0][0] <= 4 and found[0][1] >= n - 4
 
 
+def test_pairs_with_one_match_are_chained_together():
+    """op8: pairs of texts with one match cost many calls of functions each."""
+    pick, calls = random.Random(12), Counter()
+    found = pa.struct([("at", pa.int32()), ("source_at", pa.int32()), ("whole", pa.bool_())])
+    schema = pa.schema([("doc_id", pa.int64()), ("source_id", pa.int64()), ("matches", pa.list_(found))])
+    rows = [(k + 9, k, [(pick.randrange(200), pick.randrange(200), False)]) for k in range(3000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+    sys.setprofile(lambda _, event, __: calls.update([event]))
+    got = list(passages._chained(iter([batch])))
+    sys.setprofile(None)
+    assert calls["call"] + calls["c_call"] < 3000
+    want = [
+        (doc, source, max(0, i - 50), i + 54, max(0, j - 50), j + 54, [{"start": i, "source_start": j, "n": 4, "equal": False}], [])
+        for doc, source, [(i, j, _)] in rows
+    ]
+    assert [tuple(r.values()) for b in got for r in b.to_pylist()] == want
+    mixed = [(9, 1, [(3, 7, False)]), (9, 2, [(3, 7, True)]), (9, 3, [(3, 7, False), (9, 13, False)]), (9, 4, [(60, 0, False)])]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*mixed, strict=True), schema, strict=True)], schema=schema)
+    got = sorted(tuple(r.values())[1:6] + (len(r["equal"]),) for b in passages._chained(iter([batch])) for r in b.to_pylist())
+    assert got == [(1, 0, 57, 0, 61, 0), (2, 0, 103, 0, 107, 1), (3, 0, 63, 0, 67, 0), (4, 10, 114, 0, 54, 0)]
+
+
+def test_stretches_with_too_few_words_in_common_are_not_aligned(monkeypatch):
+    pick, asked, n_common = random.Random(13), [], passages._n_common
+    monkeypatch.setattr(passages, "TOGETHER", 7)
+    sides = [[bytes(pick.randrange(letters) for _ in range(pick.randrange(30, 110))) for letters in (2, 256) for _ in range(40)] for _ in range(2)]
+    want = [k for k, (a, b) in enumerate(zip(*sides, strict=True)) if n_common(a, b) >= 40]
+    monkeypatch.setattr(passages, "_n_common", lambda a, b: asked.append(1) or n_common(a, b))
+    frame = pd.DataFrame({"region": range(80), "own": sides[0], "other": sides[1]})
+    assert [r for out in passages._can_be(iter([frame, frame[:0]])) for r in out["region"]] == want
+    assert 0 < len(want) <= len(asked) < 60
+
+
 def test_places_are_linked_to_the_first_across_batches():
     pick = random.Random(8)
     for _ in range(100):
