@@ -17,6 +17,7 @@ import pytest
 
 from masthead.llm import exact, jaccard, language, packing, passages, pieces, pii, quality
 from masthead.llm.queries import tokenizer_path, word_tokenizer
+from masthead.sources.staging import Staging
 
 BLANK = "[ \t-\r]"
 
@@ -263,6 +264,40 @@ def test_places_are_linked_to_the_first_across_batches():
         assert sorted(got) == sorted((d, a, *first[s]) for s, d, a in places if len({p[1] for p in places if p[0] == s}) > 1)
 
 
+def test_places_are_shuffled_as_blocks_and_linked_as_arrays(monkeypatch):
+    """op8: a row for every place made its seeds cost more than its budget. With few places in memory, most of one bucket come from a file."""
+    pick, files = random.Random(9), []
+    make = passages.tempfile.TemporaryFile
+    monkeypatch.setattr(passages.tempfile, "TemporaryFile", lambda: files.append(make()) or files[-1])
+    monkeypatch.setattr(passages, "DEALT", 100)
+    monkeypatch.setattr(passages, "SORTED", 30)
+    for limit in (1 << 22, 40):
+        monkeypatch.setattr(passages, "LIMIT", limit)
+        places = [(pick.choice([7, 7, pick.randrange(90), 2**64 - 1 - pick.randrange(9)]), pick.randrange(-3, 40), pick.randrange(400)) for _ in range(900)]
+        blocks = pa.Table.from_batches(passages._dealt(iter([np.array(places[a : a + 70], passages.PLACE) for a in range(0, 900, 70)])))
+        assert len(blocks) < len(places)
+        blocks = blocks.sort_by("bucket").combine_chunks().to_batches(max_chunksize=7)
+        found = list(passages._dealt(passages._marked(passages._joined(iter(blocks)), False)))
+        first = {s: min(p[1:] for p in places if p[0] == s) for s, *_ in places}
+        want = sorted((d, a, *first[s], False) for s, d, a in places if len({p[1] for p in places if p[0] == s}) > 1)
+        found = pa.Table.from_batches(found).sort_by("bucket").combine_chunks().to_batches()
+        assert sorted(m for rows, _ in passages._gathered(iter(found), passages.MATCH) for m in rows.tolist()) == want
+        got = [(r["doc_id"], *np.frombuffer(r["repeated"], "<i4").tolist()) for b in passages._repeated(iter(found)) for r in b.to_pylist()]
+        assert sorted((d, a) for d, *own in got for a in own) == sorted(m[:2] for m in want) and len(got) == len({m[0] for m in want})
+        pairs = [(r["doc_id"], r["source_id"], m["at"], m["source_at"], m["whole"]) for b in passages._pairs(iter(found)) for r in b.to_pylist() for m in r["matches"]]
+        assert sorted(pairs) == sorted((d, s, a, b, w) for d, a, s, b, w in want if d > s)
+        assert bool(files) == (limit == 40)
+
+
+def test_shuffle_files_of_the_seeds_are_removed(spark, documents):
+    """op8: they lay on disk until the driver collected garbage. The session's own setting comes back."""
+    before, seen, save = spark.conf.get(passages.CLEANUP), [], Staging.save
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(Staging, "save", lambda self, df, name: seen.append(spark.conf.get(passages.CLEANUP)) or save(self, df, name))
+        assert passages.repeated_passages(documents([(1, prose(1, 70)), (2, prose(1, 70))])).count() == 1
+    assert seen and set(seen) == {"true"} and spark.conf.get(passages.CLEANUP) == before
+
+
 def test_every_repeated_window_is_in_a_passage(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = passages.repeated_passages(docs).collect()
