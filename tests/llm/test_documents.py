@@ -241,6 +241,57 @@ def test_pairs_with_one_match_are_chained_together():
     assert got == [(1, 0, 57, 0, 61, 0), (2, 0, 103, 0, 107, 1), (3, 0, 63, 0, 67, 0), (4, 10, 114, 0, 54, 0)]
 
 
+def seeds_of(texts: dict[int, list[int]]) -> list[tuple[int, int, int, int, bool]]:
+    """Every place of a k-mer that several texts have, with the first one, as rows of MATCH."""
+    places = defaultdict(list)
+    for doc, words in sorted(texts.items()):
+        for i in range(len(words) - passages.KMER + 1):
+            places[tuple(words[i : i + passages.KMER])].append((doc, i))
+    return [(*p, *own[0], False) for own in places.values() if own[0][0] != own[-1][0] for p in own]
+
+
+def blocks_of(matches) -> list[pa.RecordBatch]:
+    found = pa.Table.from_batches(passages._dealt(iter([np.array(matches, passages.MATCH)])))
+    return found.sort_by("bucket").combine_chunks().to_batches()
+
+
+def test_matches_by_chance_are_not_looked_at():
+    """op8: with more texts, ever more pairs of them have a few words in common; each was cut out of both. No passage goes with them."""
+    pick, n_pairs, n_kept, n_found = random.Random(21), 0, 0, 0
+    for _ in range(60):
+        words = [pick.choice((pick.randrange(5), pick.randrange(500))) for _ in range(300)]
+        texts = {doc: [pick.choice((pick.randrange(5), pick.randrange(500))) for _ in range(250)] for doc in range(12)}
+        start = pick.randrange(200)
+        for doc in (3, 7, 9):
+            rate = pick.choice((0.05, 0.15, 0.2, 0.25))
+            texts[doc][100:160] = [w if pick.random() > rate else 1000 + pick.randrange(99) for w in words[start : start + 60]]
+        blocks = blocks_of(seeds_of(texts))
+        lists = [{(r["doc_id"], r["source_id"], m["at"], m["source_at"]) for b in f(iter(blocks)) for r in b.to_pylist() for m in r["matches"]} for f in (passages._pairs, passages._likely)]
+        assert lists[1] <= lists[0]
+        for doc, source, i, j in lists[0]:
+            a, b = (np.array(texts[d][max(0, k - 50) : k + 54], np.uint64) for d, k in ((doc, i), (source, j)))
+            found = bool(passages.align(a, b))
+            n_found += found
+            assert not found or (doc, source, i, j) in lists[1]
+        n_pairs, n_kept = n_pairs + len(lists[0]), n_kept + len(lists[1])
+    assert n_found > 100 and n_kept - n_found < 0.5 * (n_pairs - n_found)
+    alone = [(doc, 50, doc - 1000, 70, False) for doc in range(1000, 3000)]
+    assert sum(len(b) for b in passages._chains(iter(blocks_of(alone)))) == 0
+
+
+def test_parts_of_a_pair_that_no_chain_joins_are_chained_alike():
+    """All places are seeds of document 0, so that none is left out for want of them."""
+    pick = random.Random(22)
+    for _ in range(40):
+        matches = {(9, pick.randrange(1200), 5, pick.randrange(300)) for _ in range(pick.randrange(1, 25))}
+        rows = [(*m, False) for m in matches] + [(9, i, 0, i, False) for i in range(1300)]
+        n = len(rows) - 1300
+        found = [sorted((r["source_id"], tuple((m["at"], m["source_at"]) for m in r["matches"])) for b in f(iter(blocks_of(rows))) for r in b.to_pylist()) for f in (passages._pairs, passages._likely)]
+        assert sum(len(m) for s, m in found[1] if s == 5) == n
+        got = sorted(p for s, m in found[1] if s == 5 for p in map(tuple, passages.paths(list(m))))
+        assert got == sorted(map(tuple, passages.paths([(i, j) for _, i, _, j in matches])))
+
+
 def test_stretches_with_too_few_words_in_common_are_not_aligned(monkeypatch):
     pick, asked, n_common = random.Random(13), [], passages._n_common
     monkeypatch.setattr(passages, "TOGETHER", 7)
