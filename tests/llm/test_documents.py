@@ -292,6 +292,50 @@ def test_parts_of_a_pair_that_no_chain_joins_are_chained_alike():
         assert got == sorted(map(tuple, passages.paths([(i, j) for _, i, _, j in matches])))
 
 
+def test_changed_passage_whose_words_all_stand_in_earlier_texts(documents):
+    """op8: each run of four words that is left of a changed passage stands in some text before its source, so none led to the source."""
+    rows = []
+    for number in range(8):
+        shared = prose(30_000 + number, 60).split()
+        own = list(shared)
+        own[4::5] = [f"changed{number}x{k}" for k in range(12)]
+        first = 100 * number
+        rows += [(first + k, f"{prose(31_000 + first + k, 40)} {' '.join(shared[5 * k : 5 * k + 4])} {prose(32_000 + first + k, 40)}") for k in range(12)]
+        rows += [(first + 50, f"{prose(33_000 + number, 80)} {' '.join(shared)} {prose(34_000 + number, 60)}")]
+        rows += [(first + 60, f"{prose(35_000 + number, 50)} {' '.join(own)} {prose(36_000 + number, 90)}")]
+    found = {(r.doc_id, r.source_id, r.n_equal) for r in passages.repeated_passages(documents(rows)).collect()}
+    assert {(100 * n + 60, 100 * n + 50, 48) for n in range(8)} <= found
+
+
+def passages_of(a: list[int], b: list[int], matches: list[tuple[int, int]]) -> list[tuple[int, ...]]:
+    """The passages of two texts, of the given matches; the columns of stretches as they are joined."""
+    found = pa.struct([("at", pa.int32()), ("source_at", pa.int32()), ("whole", pa.bool_())])
+    batch = pa.RecordBatch.from_arrays([pa.array([9]), pa.array([1]), pa.array([[(*m, False) for m in matches]], pa.list_(found))], ["doc_id", "source_id", "matches"])
+    rows = [r for b in passages._chained(iter([batch])) for r in b.to_pylist()]
+    for r in rows:
+        for side, text, start, end in (("own", a, "start", "end"), ("other", b, "source_start", "source_end")):
+            cut = passages._cut(r[start], r[end], r["track"], start)
+            r[side] = b"".join(np.array(text[i:j], "<u8").tobytes() for i, j in cut)
+    frames = passages._passages(iter([pd.DataFrame(rows)]))
+    return sorted(r[2:] for f in frames for r in f.itertuples(index=False, name=None))
+
+
+def test_passage_on_another_diagonal_of_a_region():
+    """op8: two passages in another order in the source; the one with a single match stood inside the other's region and was not looked for."""
+    one, two = list(range(1000, 1060)), list(range(2000, 2056))
+    changed = [w if k % 5 else 5000 + k for k, w in enumerate(two)]
+    a = [*range(100), *one, *changed, *range(200, 300)]
+    b = [*range(300, 400), *two, *one, *range(400, 500)]
+    along = [(100 + k, 156 + k) for k in range(0, 57)]
+    got = passages_of(a, b, [*along, (161, 101)])
+    assert [(r[0], r[2]) for r in got] == [(100, 156), (161, 101)] and got[0][4] == 60 and got[1][4] >= 40
+    # A match that shares words with the next one on another diagonal leaves the chain, and is looked at as well.
+    got = passages_of(a, b, [(161, 101), (162, 219)])
+    assert (161, 101) in [(r[0], r[2]) for r in got]
+    # Words that a passage with this source has already are not looked at again.
+    assert passages_of(a, b, [*along, (130, 166)]) == [(100, 160, 156, 216, 60)]
+
+
 def test_stretches_with_too_few_words_in_common_are_not_aligned(monkeypatch):
     pick, asked, n_common = random.Random(13), [], passages._n_common
     monkeypatch.setattr(passages, "TOGETHER", 7)
