@@ -336,6 +336,19 @@ def test_passage_on_another_diagonal_of_a_region():
     assert passages_of(a, b, [*along, (130, 166)]) == [(100, 160, 156, 216, 60)]
 
 
+def test_matches_set_aside_with_too_few_words_in_common_are_not_aligned():
+    pick, n = random.Random(23), Counter()
+    for _ in range(300):
+        a = [pick.randrange(pick.choice((30, 2000))) for _ in range(130)]
+        b = [w if pick.random() < pick.choice((0.6, 0.9, 0.95)) else pick.randrange(2000) for w in a[5:]]
+        texts, region = ((7, np.array(a, np.uint64)), (3, np.array(b, np.uint64))), [10, 114, 3, 110]
+        found, enough = passages._found(*texts, region, [(60, 56, passages.KMER, False)]), passages._enough_words(*texts, region)
+        assert enough or not found
+        n.update([(bool(found), enough)])
+    texts = (0, np.arange(104, dtype=np.uint64)), (0, np.arange(104, dtype=np.uint64)[::-1])
+    assert n[True, True] > 20 and not passages._enough_words(*texts, [0, 104, 0, 104])
+
+
 def test_stretches_with_too_few_words_in_common_are_not_aligned(monkeypatch):
     pick, asked, n_common = random.Random(13), [], passages._n_common
     monkeypatch.setattr(passages, "TOGETHER", 7)
